@@ -195,18 +195,16 @@ def forecast_errors(spark, sf_dir):
 
 
 def sales_page(spark, sf_dir):
-    return lookup.sales_page(B.sales(spark, sf_dir), store="S01", limit=50, offset=20).withColumn(
-        "discount", F.col("discount").cast("double")
-    ).withColumn("revenue", F.col("revenue").cast("double"))
+    return _plain_sales(lookup.sales_page(B.sales(spark, sf_dir), limit=50, offset=20))
 
 
-def inventory_of_store(spark, sf_dir):
-    return lookup.only(B.inventory(spark, sf_dir), store="S03")
+def inventory_listing(spark, sf_dir):
+    return lookup.only(B.inventory(spark, sf_dir))
 
 
-def product_of_catalog(spark, sf_dir):
-    found = lookup.only(B.products(spark, sf_dir), product="P103")
-    return found.withColumn("unit_price", F.col("unit_price").cast("double"))
+def product_listing(spark, sf_dir):
+    catalog = lookup.only(B.products(spark, sf_dir))
+    return catalog.withColumn("unit_price", F.col("unit_price").cast("double"))
 
 
 def stock_lookup(spark, sf_dir):
@@ -591,8 +589,8 @@ QUERIES: dict[str, Query] = {
     "r5_forecast_accuracy": r5_forecast_accuracy,
     "forecast_errors": forecast_errors,
     "sales_page": sales_page,
-    "inventory_of_store": inventory_of_store,
-    "product_of_catalog": product_of_catalog,
+    "inventory_listing": inventory_listing,
+    "product_listing": product_listing,
     "stock_lookup": stock_lookup,
     "stock_for_keys": stock_for_keys,
     "region_lookup": region_lookup,
