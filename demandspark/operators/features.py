@@ -145,14 +145,15 @@ def add_history(
         middle = df.agg(F.median(schemas.TARGET).alias("median")).scalar()
     else:
         middle = F.lit(float(median))
+    past = past.withColumn("middle", middle)
     filled = {}
     for name, first_row in [(f"Lag_{k}", k) for k in lags] + [(f"Rolling_Mean_{n}", 1) for n in windows]:
         value = F.col(name)
         if fill == "bfill":
             known = F.col("series_rows") > first_row
             value = F.coalesce(value, F.when(known, F.col("series_first").cast("double")))
-        filled[name] = F.bround(F.coalesce(value, middle), 2)
-    return past.withColumns(filled).drop("series_first", "series_rows")
+        filled[name] = F.bround(F.coalesce(value, F.col("middle")), 2)
+    return past.withColumns(filled).drop("series_first", "series_rows", "middle")
 
 
 def build_features(df: DataFrame, **history_options) -> DataFrame:

@@ -513,15 +513,10 @@ def catalog_upsert(spark, sf_dir):
 # --- streams ----------------------------------------------------------------------------------
 
 
-def _stream(spark, sf_dir, name):
-    schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
-    return ingest.read_requests(spark, sf_dir, schema, pathGlobFilter=f"{name}.parquet")
-
-
 def stream_sales(spark, sf_dir):
     out = new_folder(spark, "stream-sales")
     catalog = stage(B.products(spark, sf_dir), "catalog")
-    requests = B.sale_requests(spark, sf_dir, _stream(spark, sf_dir, "lineitem"))
+    requests = B.sale_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "lineitem"))
     ingest.start_sales_stream(requests, catalog, out, f"{out}/checkpoint").awaitTermination()
     return _plain_sales(spark.read.parquet(f"{out}/sales").drop("batch"))
 
@@ -529,7 +524,7 @@ def stream_sales(spark, sf_dir):
 def stream_sales_rejects(spark, sf_dir):
     out = new_folder(spark, "stream-sales")
     catalog = stage(B.products(spark, sf_dir), "catalog")
-    requests = B.sale_requests(spark, sf_dir, _stream(spark, sf_dir, "lineitem"))
+    requests = B.sale_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "lineitem"))
     ingest.start_sales_stream(requests, catalog, out, f"{out}/checkpoint").awaitTermination()
     rejects = spark.read.parquet(f"{out}/rejects").drop("batch")
     return rejects.withColumn("reasons", F.concat_ws(",", "reasons"))
@@ -539,7 +534,7 @@ def stream_reorders(spark, sf_dir):
     out = new_folder(spark, "stream-reorders")
     catalog = stage(B.products(spark, sf_dir), "catalog")
     tables.write_version(B.inventory(spark, sf_dir), f"{out}/inventory", 0)
-    requests = B.reorder_requests(spark, sf_dir, _stream(spark, sf_dir, "orders"))
+    requests = B.reorder_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "orders"))
     ingest.start_reorder_stream(
         requests, catalog, f"{out}/inventory", out, f"{out}/checkpoint"
     ).awaitTermination()

@@ -12,17 +12,36 @@ from pyspark.sql import functions as F
 from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.operators.features import add_past
+from demandspark.streaming.ingest import read_requests
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+# The columns used here, with the types the files have; naming them saves reading the footers
+# once more for every query.
+_COLUMNS = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_discount double, l_shipdate timestamp_ntz"
+    ),
+    "part": "p_partkey bigint, p_type string, p_size int, p_retailprice double",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "events": "event_id bigint, user_id bigint",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+}
 
 
-def _store(nation_key: Column) -> Column:
-    return F.concat(F.lit("S"), F.lpad((nation_key + 1).cast("string"), 2, "0"))
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _product(part_type: Column, bucket: Column) -> Column:
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table's file as a stream."""
+    schema = table(spark, sf_dir, name).schema
+    return read_requests(spark, sf_dir, schema, pathGlobFilter=f"{name}.parquet")
+
+
+def _product_number(part_type: Column, bucket: Column) -> Column:
     rank = (
         F.when(part_type == "ECONOMY", 0)
         .when(part_type == "LARGE", 1)
@@ -31,48 +50,80 @@ def _product(part_type: Column, bucket: Column) -> Column:
         .when(part_type == "SMALL", 4)
         .otherwise(5)
     )
-    return F.concat(F.lit("P"), (F.lit(100) + 10 * rank + bucket).cast("string"))
+    return F.lit(100) + 10 * rank + bucket
+
+
+def _product_id(number: Column) -> Column:
+    return F.concat(F.lit("P"), number.cast("string"))
 
 
-def lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
-    """Order lines as sales: one row per line with day, store, product, units and discount."""
-    line = lineitem if lineitem is not None else _table(spark, sf_dir, "lineitem")
-    part = _table(spark, sf_dir, "part")
-    supplier = _table(spark, sf_dir, "supplier")
-    nation = _table(spark, sf_dir, "nation")
-    region = _table(spark, sf_dir, "region")
-    stores = (
-        supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-        .join(region, nation.n_regionkey == region.r_regionkey)
-        .select("s_suppkey", _store(F.col("s_nationkey")).alias("Store_ID"), F.col("r_name").alias("Region"))
+def _store_id(number: Column) -> Column:
+    return F.concat(F.lit("S"), F.lpad(number.cast("string"), 2, "0"))
+
+
+def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        "n_nationkey",
+        _store_id(F.col("n_nationkey") + 1).alias("Store_ID"),
+        F.col("r_name").alias("Region"),
     )
-    items = part.select(
+
+
+def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store -> region; a store is a nation."""
+    return _places(spark, sf_dir).select(
+        F.col("Store_ID").alias("store_id"), F.col("Region").alias("region")
+    )
+
+
+def _lines(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """Order lines with day, nation, part type and bucket, units, discount and price.
+
+    One dimension at a time: each right side is a plain table whose size Spark knows, so it
+    is broadcast only if it is small.
+    """
+    line = lineitem if lineitem is not None else table(spark, sf_dir, "lineitem")
+    supplier = table(spark, sf_dir, "supplier")
+    part = table(spark, sf_dir, "part").select(
         "p_partkey",
-        _product(F.col("p_type"), F.col("p_size") % 5).alias("Product_ID"),
-        F.col("p_type").alias("Product_Category"),
+        "p_type",
+        (F.col("p_size") % 5).alias("bucket"),
         F.col("p_retailprice").cast("decimal(10,2)").alias("price"),
     )
     return (
-        line.join(items, line.l_partkey == items.p_partkey)
-        .join(stores, line.l_suppkey == stores.s_suppkey)
+        line.join(part, line.l_partkey == part.p_partkey)
+        .join(supplier, line.l_suppkey == supplier.s_suppkey)
         .select(
             F.col("l_shipdate").cast("date").alias("Date"),
-            "Store_ID",
-            "Product_ID",
-            "Product_Category",
-            "Region",
+            "s_nationkey",
+            "p_type",
+            "bucket",
             F.col("l_quantity").cast("long").alias("units"),
-            F.round(F.col("l_discount") * 100, 0).cast("int").alias("disc"),
+            F.rint(F.col("l_discount") * 100).cast("int").alias("disc"),
             "price",
             "l_orderkey",
             "l_linenumber",
-            "l_partkey",
         )
     )
 
 
+def _named(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Adds store, region, product and category to rows with nation, part type and bucket."""
+    place = _places(spark, sf_dir)
+    return df.join(place, df.s_nationkey == place.n_nationkey).withColumns(
+        {
+            "Product_ID": _product_id(_product_number(F.col("p_type"), F.col("bucket"))),
+            "Product_Category": F.col("p_type"),
+        }
+    )
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily panel; (Store_ID, Product_ID, Date) is unique."""
+    """The daily panel; (Store_ID, Product_ID, Date) is unique.
+
+    Lines are added up by narrow keys first; names are looked up for the sums.
+    """
     day = F.col("Date")
     month, dom = F.month(day), F.dayofmonth(day)
     holiday = (
@@ -81,31 +132,29 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
         | ((month == 7) & (dom == 4))
         | ((month == 2) & (dom == 14))
     )
-    return (
-        lines(spark, sf_dir)
-        .groupBy("Date", "Store_ID", "Product_ID")
+    sums = (
+        _lines(spark, sf_dir)
+        .groupBy("Date", "s_nationkey", "p_type", "bucket")
         .agg(
-            F.max("Product_Category").alias("Product_Category"),
             F.sum("units").alias("Units_Sold"),
-            F.max("price").cast("double").alias("Unit_Price"),
+            F.max("price").alias("price"),
             F.max("disc").alias("disc"),
-            (F.sum(F.col("l_orderkey") % 97) + 10).alias("Inventory_Level"),
-            F.max("Region").alias("Region"),
-        )
-        .select(
-            "Date",
-            "Store_ID",
-            "Product_ID",
-            "Product_Category",
-            "Units_Sold",
-            "Unit_Price",
-            F.col("disc").cast("double").alias("Discount"),
-            (F.col("disc") >= 8).cast("int").alias("Promotion"),
-            holiday.cast("int").alias("Holiday"),
-            "Inventory_Level",
-            "Region",
+            F.sum(F.col("l_orderkey") % 97).alias("stock"),
         )
     )
+    return _named(sums, spark, sf_dir).select(
+        "Date",
+        "Store_ID",
+        "Product_ID",
+        "Product_Category",
+        "Units_Sold",
+        F.col("price").cast("double").alias("Unit_Price"),
+        F.col("disc").cast("double").alias("Discount"),
+        (F.col("disc") >= 8).cast("int").alias("Promotion"),
+        holiday.cast("int").alias("Holiday"),
+        (F.col("stock") + 10).alias("Inventory_Level"),
+        "Region",
+    )
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -138,15 +187,16 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    category = F.max("Product_Category")
+    number = _product_number(F.col("p_type"), F.col("bucket"))
     return (
-        lines(spark, sf_dir)
-        .groupBy(F.col("Product_ID").alias("product_id"))
-        .agg(category.alias("category"), F.max("price").alias("unit_price"))
+        _lines(spark, sf_dir)
+        .groupBy("p_type", number.alias("number"))
+        .agg(F.max("price").alias("unit_price"))
+        .withColumn("product_id", _product_id(F.col("number")))
         .select(
             "product_id",
-            F.concat("category", F.lit(" item "), "product_id").alias("product_name"),
-            "category",
+            F.concat("p_type", F.lit(" item "), "product_id").alias("product_name"),
+            F.col("p_type").alias("category"),
             "unit_price",
         )
     )
@@ -174,18 +224,10 @@ def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store -> region."""
-    nation, region = _table(spark, sf_dir, "nation"), _table(spark, sf_dir, "region")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
-        _store(F.col("n_nationkey")).alias("store_id"), F.col("r_name").alias("region")
-    )
-
-
 def sale_requests(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
     """Each order line as a request to record a sale; some are out of range, some name a
     product that the catalog lacks. ``lineitem`` may be a stream."""
-    line = lines(spark, sf_dir, lineitem)
+    line = _named(_lines(spark, sf_dir, lineitem), spark, sf_dir)
     key = F.col("l_orderkey")
     return line.select(
         F.col("l_orderkey").alias("order_key"),
@@ -203,7 +245,7 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event as a request to forecast a product in a store on a day. Some bring their
     own lags, prices or flags, some leave them out, a few break the rules; store S26 and S27
     have no history."""
-    event = _table(spark, sf_dir, "events")
+    event = table(spark, sf_dir, "events")
     i, user = F.col("event_id"), F.col("user_id")
     return event.select(
         F.col("event_id").alias("request_id"),
@@ -224,7 +266,7 @@ def score_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 def reorder_requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None = None) -> DataFrame:
     """Each order as a request to restock; some quantities are not positive, some products
     or stores have no stock on record. ``orders`` may be a stream."""
-    order = orders if orders is not None else _table(spark, sf_dir, "orders")
+    order = orders if orders is not None else table(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     return order.select(
         F.col("o_orderkey").alias("request_id"),
