@@ -94,8 +94,8 @@ def preprocessor_stages() -> list:
         StringIndexer(
             inputCols=categories, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
         ),
-        # "keep" adds one index for unknown values; dropping the last category drops just that.
-        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True, handleInvalid="keep"),
+        # "keep" gives unknown values the last index, and the encoder drops just that.
+        OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True),
         VectorAssembler(inputCols=numbers, outputCol="numbers"),
         StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True, withStd=True),
         VectorAssembler(inputCols=[*encoded, "scaled"], outputCol="features"),
