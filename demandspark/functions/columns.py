@@ -100,6 +100,6 @@ def absolute_error(actual: Column, predicted: Column) -> Column:
     return F.abs(actual - predicted)
 
 
-def unfold(one_row: DataFrame, rows: Sequence[Column]) -> DataFrame:
-    """Turn one wide row into several narrow ones; each element of ``rows`` is a struct."""
-    return one_row.select(F.inline(F.array(*rows)))
+def unfold(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
+    """Turn each wide row into several narrow ones; each element of ``rows`` is a struct."""
+    return df.select(F.inline(F.array(*rows)))

@@ -167,17 +167,23 @@ CORRELATED = [
 
 
 def correlation_long(df: DataFrame, columns: Sequence[str] = CORRELATED, digits: int = 6) -> DataFrame:
-    """Pearson correlation of every pair of columns, one row per pair, in one pass."""
-    pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    return C.unfold(
-        wide,
-        [
-            F.struct(
-                F.lit(a).alias("left_column"),
-                F.lit(b).alias("right_column"),
-                F.bround(F.col(f"c{i}"), digits).alias("correlation"),
-            )
-            for i, (a, b) in enumerate(pairs)
-        ],
+    """Pearson correlation of every pair of columns, one row per pair, in one pass.
+
+    Each row is unfolded into its pairs inside the task and combined there; only one partial
+    result per task and pair is shuffled. One aggregation with all the correlations side by
+    side has too much code to be compiled and is several times slower.
+    """
+    pairs = [
+        F.struct(
+            F.lit(a).alias("left_column"),
+            F.lit(b).alias("right_column"),
+            F.col(a).cast("double").alias("x"),
+            F.col(b).cast("double").alias("y"),
+        )
+        for a, b in combinations(columns, 2)
+    ]
+    return (
+        C.unfold(df, pairs)
+        .groupBy("left_column", "right_column")
+        .agg(F.bround(F.corr("x", "y"), digits).alias("correlation"))
     )

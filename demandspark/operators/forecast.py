@@ -29,10 +29,14 @@ def split_date(df: DataFrame, ratio: float = 0.20) -> DataFrame:
     return days.select(F.size("days").alias("distinct_dates"), F.get("days", index).alias("split_date"))
 
 
-def chronological_split(df: DataFrame, ratio: float = 0.20) -> tuple[DataFrame, DataFrame, DataFrame]:
+def chronological_split(
+    df: DataFrame, ratio: float = 0.20, calendar: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(train, test, split): all days before the split date, all days from it on, and the
-    one-row result of split_date. The date is a scalar subquery, found when a part is used."""
-    split = split_date(df, ratio)
+    one-row result of split_date. The date is a scalar subquery, found when a part is used;
+    ``calendar`` names a cheaper table with the same days, such as the panel below a feature table.
+    """
+    split = split_date(df if calendar is None else calendar, ratio)
     start = split.select("split_date").scalar()
     return df.filter(F.col("Date") < start), df.filter(F.col("Date") >= start), split
 

@@ -15,10 +15,9 @@ from demandspark.sources.tables import append_forecasts, append_risks, save_lead
 
 
 def baseline_leaderboard(panel: DataFrame, ratio: float = 0.20) -> DataFrame:
-    """Both baselines on the chronological test set."""
-    table = features.add_history(panel)
-    start = forecast.split_date(panel, ratio).select("split_date").scalar()
-    test = table.filter(table.Date >= start)
+    """Both baselines on the chronological test set. The panel is read several times; pass a
+    stored table."""
+    _, test, _ = forecast.chronological_split(features.add_history(panel), ratio, calendar=panel)
     return E.leaderboard(E.evaluate(forecast.baseline_predictions(test)))
 
 

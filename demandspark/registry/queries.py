@@ -21,6 +21,13 @@ from demandspark.streaming import ingest
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = schemas.PANEL_KEYS
 
+
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel as a stored table, for queries that read it more than once: joining and adding
+    up the order lines then happens once, and each use reads its own columns only."""
+    return stage(B.panel(spark, sf_dir), "panel")
+
+
 # The categories of the driver's parts with daily ranges and risk thresholds.
 DEMAND_BOUNDS = {
     "ECONOMY": (2, 12), "LARGE": (15, 60), "MEDIUM": (5, 25),
@@ -107,20 +114,20 @@ def features_calendar(spark, sf_dir):
 
 
 def features_lags(spark, sf_dir):
-    past = features.add_past(B.panel(spark, sf_dir))
+    past = features.add_past(stored_panel(spark, sf_dir))
     return past.select(*KEYS, *schemas.HISTORY_FEATURES)
 
 
 def features_history(spark, sf_dir):
-    return features.add_history(B.panel(spark, sf_dir)).select(*KEYS, *schemas.HISTORY_FEATURES)
+    return features.add_history(stored_panel(spark, sf_dir)).select(*KEYS, *schemas.HISTORY_FEATURES)
 
 
 def features_full(spark, sf_dir):
-    return features.build_features(B.panel(spark, sf_dir))
+    return features.build_features(stored_panel(spark, sf_dir))
 
 
 def feature_columns(spark, sf_dir):
-    return features.feature_columns(features.build_features(B.panel(spark, sf_dir)))
+    return features.feature_columns(features.build_features(stored_panel(spark, sf_dir)))
 
 
 def serving_features(spark, sf_dir):
@@ -134,7 +141,7 @@ def serving_features(spark, sf_dir):
 
 def dense_panel(spark, sf_dir):
     """Per series and month: days on the spine, days with sales, units with gaps as zero."""
-    dense = features.dense_panel(B.panel(spark, sf_dir))
+    dense = features.dense_panel(stored_panel(spark, sf_dir))
     return dense.groupBy(
         F.col("Store_ID").alias("store_id"),
         F.col("Product_ID").alias("product_id"),
@@ -154,11 +161,11 @@ def _on_panel(operator, *args) -> Query:
 
 
 def correlation_long(spark, sf_dir):
-    return explore.correlation_long(features.build_features(B.panel(spark, sf_dir)))
+    return explore.correlation_long(features.build_features(stored_panel(spark, sf_dir)))
 
 
 def box_stats(spark, sf_dir):
-    table = B.panel(spark, sf_dir)
+    table = stored_panel(spark, sf_dir)
     return explore.box_stats(table, "Promotion").unionByName(explore.box_stats(table, "Holiday"))
 
 
@@ -166,40 +173,41 @@ def box_stats(spark, sf_dir):
 
 
 def r1_monthly_category(spark, sf_dir):
-    return reports.monthly_category(B.sales(spark, sf_dir), B.products(spark, sf_dir))
+    return reports.monthly_category(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
 
 
 def r2_top3_per_store(spark, sf_dir):
-    return reports.top_n_per_store(B.sales(spark, sf_dir), B.products(spark, sf_dir))
+    return reports.top_n_per_store(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
 
 
 def r3_stockout(spark, sf_dir):
-    return reports.stockout_report(
-        B.inventory(spark, sf_dir), B.products(spark, sf_dir), B.sales(spark, sf_dir)
-    )
+    daily = stored_panel(spark, sf_dir)
+    return reports.stockout_report(B.inventory(daily), B.products(spark, sf_dir), B.sales(daily))
 
 
 def r4_promo_elasticity(spark, sf_dir):
-    return reports.promo_elasticity(B.sales(spark, sf_dir), B.products(spark, sf_dir))
+    return reports.promo_elasticity(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
 
 
 def r5_forecast_accuracy(spark, sf_dir):
-    return reports.forecast_accuracy(B.forecasts(spark, sf_dir), B.sales(spark, sf_dir))
+    daily = stored_panel(spark, sf_dir)
+    return reports.forecast_accuracy(B.forecasts(daily), B.sales(daily))
 
 
 def forecast_errors(spark, sf_dir):
-    return reports.forecast_errors(B.forecasts(spark, sf_dir), B.sales(spark, sf_dir))
+    daily = stored_panel(spark, sf_dir)
+    return reports.forecast_errors(B.forecasts(daily), B.sales(daily))
 
 
 # --- lookups and audits -----------------------------------------------------------------------
 
 
 def sales_page(spark, sf_dir):
-    return _plain_sales(lookup.sales_page(B.sales(spark, sf_dir), limit=50, offset=20))
+    return _plain_sales(lookup.sales_page(B.sales(B.panel(spark, sf_dir)), limit=50, offset=20))
 
 
 def inventory_listing(spark, sf_dir):
-    return lookup.only(B.inventory(spark, sf_dir))
+    return lookup.only(B.inventory(B.panel(spark, sf_dir)))
 
 
 def product_listing(spark, sf_dir):
@@ -209,14 +217,14 @@ def product_listing(spark, sf_dir):
 
 def stock_lookup(spark, sf_dir):
     requests = B.reorder_requests(spark, sf_dir).select("request_id", "product_id", "store_id")
-    stock = B.inventory(spark, sf_dir)
+    stock = B.inventory(B.panel(spark, sf_dir))
     for_risk = lookup.with_default(requests, stock, schemas.DEFAULT_STOCK_FOR_RISK, "stock_for_risk")
     return lookup.with_default(for_risk, stock, schemas.DEFAULT_STOCK_FOR_REORDER, "stock_for_reorder")
 
 
 def stock_for_keys(spark, sf_dir):
     wanted = B.reorder_requests(spark, sf_dir).select("request_id", "product_id", "store_id")
-    return wanted.join(B.inventory(spark, sf_dir), ["product_id", "store_id"])
+    return wanted.join(B.inventory(B.panel(spark, sf_dir)), ["product_id", "store_id"])
 
 
 def region_lookup(spark, sf_dir):
@@ -230,8 +238,8 @@ def region_lookup_known(spark, sf_dir):
 
 
 def _risk_history(spark, sf_dir):
-    stock = B.inventory(spark, sf_dir)
-    return inventory.risk_job(B.forecasts(spark, sf_dir), stock, keep=["forecast_date"])
+    daily = stored_panel(spark, sf_dir)
+    return inventory.risk_job(B.forecasts(daily), B.inventory(daily), keep=["forecast_date"])
 
 
 def latest_risk(spark, sf_dir):
@@ -240,12 +248,12 @@ def latest_risk(spark, sf_dir):
 
 
 def recent_forecasts(spark, sf_dir):
-    return lookup.recent_forecasts(B.forecasts(spark, sf_dir))
+    return lookup.recent_forecasts(B.forecasts(stored_panel(spark, sf_dir)))
 
 
 def missing_forecasts(spark, sf_dir):
     catalog = _catalog_after_import(spark, sf_dir)
-    return lookup.missing_forecasts(catalog, B.forecasts(spark, sf_dir)).select("product_id", "product_name")
+    return lookup.missing_forecasts(catalog, B.forecasts(stored_panel(spark, sf_dir))).select("product_id", "product_name")
 
 
 def existence_rejects(spark, sf_dir):
@@ -271,7 +279,7 @@ def _plain_sales(sales: DataFrame) -> DataFrame:
 
 
 def constraint_audit(spark, sf_dir):
-    raw = B.dirty(spark, sf_dir)
+    raw = stage(B.dirty(spark, sf_dir), "raw-feed")
     unclean_sales = raw.select(
         C.parse_day(F.col("Date")).alias("date"),
         F.col("Store_ID").alias("store_id"),
@@ -291,7 +299,7 @@ def constraint_audit(spark, sf_dir):
             "products": B.products(spark, sf_dir),
             "sales": unclean_sales,
             "inventory": unclean_stock,
-            "forecasts": B.forecasts(spark, sf_dir),
+            "forecasts": B.forecasts(stored_panel(spark, sf_dir)),
             "inventory_risk": _risk_history(spark, sf_dir),
         }
     )
@@ -307,12 +315,13 @@ def orphan_audit(spark, sf_dir):
 
 
 def table_counts(spark, sf_dir):
+    daily = stored_panel(spark, sf_dir)
     return tables.table_counts(
         {
             "products": B.products(spark, sf_dir),
-            "sales": B.sales(spark, sf_dir),
-            "inventory": B.inventory(spark, sf_dir),
-            "forecasts": B.forecasts(spark, sf_dir),
+            "sales": B.sales(daily),
+            "inventory": B.inventory(daily),
+            "forecasts": B.forecasts(daily),
         }
     )
 
@@ -325,22 +334,25 @@ def split_dates(spark, sf_dir):
 
 
 def leaderboard_baselines(spark, sf_dir):
-    return jobs.baseline_leaderboard(B.panel(spark, sf_dir))
+    return jobs.baseline_leaderboard(stored_panel(spark, sf_dir))
+
+
+def _test_rows(spark, sf_dir):
+    daily = stored_panel(spark, sf_dir)
+    _, test, _ = forecast.chronological_split(features.add_history(daily), calendar=daily)
+    return test
 
 
 def _test_predictions(spark, sf_dir):
-    _, test, _ = forecast.chronological_split(features.add_history(B.panel(spark, sf_dir)))
-    return forecast.baseline_predictions(test)
+    return forecast.baseline_predictions(_test_rows(spark, sf_dir))
 
 
 def naive_forecast(spark, sf_dir):
-    _, test, _ = forecast.chronological_split(features.add_history(B.panel(spark, sf_dir)))
-    return forecast.naive_forecast(test).select(*KEYS, "yhat")
+    return forecast.naive_forecast(_test_rows(spark, sf_dir)).select(*KEYS, "yhat")
 
 
 def moving_average_forecast(spark, sf_dir):
-    _, test, _ = forecast.chronological_split(features.add_history(B.panel(spark, sf_dir)))
-    return forecast.moving_average_forecast(test).select(*KEYS, "yhat")
+    return forecast.moving_average_forecast(_test_rows(spark, sf_dir)).select(*KEYS, "yhat")
 
 
 def best_baseline(spark, sf_dir):
@@ -353,7 +365,7 @@ def prediction_pivot(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, kind, params):
-    table = stage(features.build_features(B.panel(spark, sf_dir)), "features")
+    table = stage(features.build_features(stored_panel(spark, sf_dir)), "features")
     start = forecast.split_date(table).first().split_date
     models = forecast.fit_models(table.filter(F.col("Date") < start), [kind], {kind: params})
     return models, table.filter(F.col("Date") >= start)
@@ -400,9 +412,9 @@ def scoring_rejects(spark, sf_dir):
 # --- stock ------------------------------------------------------------------------------------
 
 
-def _latest_forecasts(spark, sf_dir):
+def _latest_forecasts(daily):
     return lookup.latest_per_key(
-        B.forecasts(spark, sf_dir), ["product_id", "store_id"], ["forecast_date", "model_name"]
+        B.forecasts(daily), ["product_id", "store_id"], ["forecast_date", "model_name"]
     )
 
 
@@ -438,7 +450,8 @@ def inventory_rejects(spark, sf_dir):
 
 
 def risk_job(spark, sf_dir):
-    return inventory.risk_job(_latest_forecasts(spark, sf_dir), B.inventory(spark, sf_dir), lead=3)
+    daily = stored_panel(spark, sf_dir)
+    return inventory.risk_job(_latest_forecasts(daily), B.inventory(daily), lead=3)
 
 
 def risk_breakdown(spark, sf_dir):
@@ -446,11 +459,12 @@ def risk_breakdown(spark, sf_dir):
 
 
 def category_risk(spark, sf_dir):
-    demand = _latest_forecasts(spark, sf_dir).select(
+    daily = stored_panel(spark, sf_dir)
+    demand = _latest_forecasts(daily).select(
         "product_id", "store_id", (F.col("predicted_demand").cast("double") * 3).alias("forecast_demand")
     )
     table = (
-        B.inventory(spark, sf_dir)
+        B.inventory(daily)
         .join(demand, ["product_id", "store_id"])
         .join(B.products(spark, sf_dir).select("product_id", "category"), "product_id")
     )
@@ -458,7 +472,7 @@ def category_risk(spark, sf_dir):
 
 
 def category_forecast(spark, sf_dir):
-    pairs = B.inventory(spark, sf_dir).select("product_id", "store_id")
+    pairs = B.inventory(B.panel(spark, sf_dir)).select("product_id", "store_id")
     catalog = B.products(spark, sf_dir).select("product_id", "category")
     return inventory.category_forecast(catalog, pairs, DEMAND_BOUNDS)
 
@@ -472,19 +486,19 @@ def _accepted_reorders(spark, sf_dir):
 
 
 def reorder_receipts(spark, sf_dir):
-    _, receipts = replenish.apply_reorders(B.inventory(spark, sf_dir), _accepted_reorders(spark, sf_dir))
+    _, receipts = replenish.apply_reorders(B.inventory(B.panel(spark, sf_dir)), _accepted_reorders(spark, sf_dir))
     return receipts
 
 
 def reorder_inventory(spark, sf_dir):
-    after, _ = replenish.apply_reorders(B.inventory(spark, sf_dir), _accepted_reorders(spark, sf_dir))
+    after, _ = replenish.apply_reorders(B.inventory(B.panel(spark, sf_dir)), _accepted_reorders(spark, sf_dir))
     return after
 
 
 def inventory_upsert(spark, sf_dir):
     changes = B.reorder_requests(spark, sf_dir).withColumnRenamed("reorder_quantity", "inventory_level")
     return replenish.upsert(
-        B.inventory(spark, sf_dir),
+        B.inventory(B.panel(spark, sf_dir)),
         changes.select("request_id", "product_id", "store_id", "inventory_level"),
         ["product_id", "store_id"],
         order=["request_id"],
@@ -533,7 +547,7 @@ def stream_sales_rejects(spark, sf_dir):
 def stream_reorders(spark, sf_dir):
     out = new_folder(spark, "stream-reorders")
     catalog = stage(B.products(spark, sf_dir), "catalog")
-    tables.write_version(B.inventory(spark, sf_dir), f"{out}/inventory", 0)
+    tables.write_version(B.inventory(B.panel(spark, sf_dir)), f"{out}/inventory", 0)
     requests = B.reorder_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "orders"))
     ingest.start_reorder_stream(
         requests, catalog, f"{out}/inventory", out, f"{out}/checkpoint"

@@ -202,9 +202,10 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(daily: DataFrame) -> DataFrame:
+    """The sales table of a panel."""
     revenue = C.net_revenue(F.col("Units_Sold"), F.col("Unit_Price"), F.col("Discount"))
-    return panel(spark, sf_dir).select(
+    return daily.select(
         F.col("Date").alias("date"),
         F.col("Store_ID").alias("store_id"),
         F.col("Product_ID").alias("product_id"),
@@ -215,13 +216,10 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last known level of each series."""
-    return (
-        panel(spark, sf_dir)
-        .groupBy(F.col("Product_ID").alias("product_id"), F.col("Store_ID").alias("store_id"))
-        .agg(F.max_by("Inventory_Level", "Date").alias("inventory_level"))
-    )
+def inventory(daily: DataFrame) -> DataFrame:
+    """The last known level of each series of a panel."""
+    series = [F.col("Product_ID").alias("product_id"), F.col("Store_ID").alias("store_id")]
+    return daily.groupBy(*series).agg(F.max_by("Inventory_Level", "Date").alias("inventory_level"))
 
 
 def sale_requests(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
@@ -279,10 +277,10 @@ def reorder_requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None
     )
 
 
-def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Naive predictions for the recent days, as rows of the forecast table."""
+def forecasts(daily: DataFrame) -> DataFrame:
+    """Naive predictions for the recent days of a panel, as rows of the forecast table."""
     return (
-        add_past(panel(spark, sf_dir), lags=(1,), windows=())
+        add_past(daily, lags=(1,), windows=())
         .filter(F.col("Lag_1").isNotNull() & (F.col("Date") >= F.lit("2000-01-01").cast("date")))
         .select(
             F.col("Product_ID").alias("product_id"),
