@@ -1,7 +1,8 @@
 """Revenue, calendar and history features, serving features and the dense panel.
 
 History columns look at rows, not days: Lag_7 is the seventh row before this one. The panel
-must hold one row per (Store_ID, Product_ID, Date), without null Units_Sold.
+should hold one row per (Store_ID, Product_ID, Date), without null Units_Sold. Rows that share
+a day are taken in the order of their units, so the result does not depend on partitioning.
 """
 
 from __future__ import annotations
@@ -43,17 +44,18 @@ def add_past(
     Adds ``series_first`` (first value of the series, known on the rows that need it) and
     ``series_rows`` (its length, exact up to one more than the longest reach).
 
-    A series is cut into slices of ``slice_days``, so a long one is shared by many tasks. Each
-    slice gets the last rows before it from a small table with a few rows per slice; Spark
-    limits those rows before the shuffle (WindowGroupLimit), and the join reuses the
-    partitioning and order that the window has made.
+    A series is cut into slices of ``slice_days``, so a long one is shared by many tasks and no
+    window group holds more days than that. Each slice gets the last rows before it from a
+    table with a few rows per slice; Spark limits those rows before the shuffle
+    (WindowGroupLimit), and the join reuses the partitioning and order the window has made.
+    ``df`` is read twice, the second time three columns of it.
     """
     reach = max([*lags, *windows])
     keys = schemas.SERIES_KEYS
     slice_keys = keys + ["slice"]
     sliced = df.withColumn("slice", F.floor(F.unix_date("Date") / slice_days))
 
-    newest_first = W.partitionBy(*slice_keys).orderBy(F.desc("Date"))
+    newest_first = W.partitionBy(*slice_keys).orderBy(F.desc("Date"), F.desc("v"))
     tails = (
         sliced.select(*slice_keys, "Date", F.col(value).alias("v"))
         .withColumn("rank", F.row_number().over(newest_first))
@@ -63,11 +65,12 @@ def add_past(
         .select(*slice_keys, F.col("rows.v").alias("tail"))
     )
     by_slice = W.partitionBy(*keys).orderBy("slice")
+    all_slices = by_slice.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     earlier = F.flatten(F.collect_list("tail").over(by_slice.rowsBetween(-reach, -1)))
     carried = (
         tails.select(
             *slice_keys,
-            F.sum(F.size("tail")).over(W.partitionBy(*keys)).alias("series_rows"),
+            F.sum(F.size("tail")).over(all_slices).alias("series_rows"),
             earlier.alias("earlier"),
         )
         .withColumn(
@@ -85,7 +88,7 @@ def add_past(
         )
     )
 
-    in_slice = W.partitionBy(*slice_keys).orderBy("Date")
+    in_slice = W.partitionBy(*slice_keys).orderBy("Date", value)
     row = F.row_number().over(in_slice)
     local = sliced.withColumns(
         {
@@ -168,10 +171,13 @@ def feature_columns(df: DataFrame) -> DataFrame:
 
 def series_tail(history: DataFrame, as_of: str | None = None) -> DataFrame:
     """Per series: the newest value, the 7th and 30th newest, and the means of the newest 7 and
-    30. A series too short for one of them repeats its newest value."""
+    30. A series too short for one of them repeats its newest value.
+
+    Each task keeps its newest 30 rows per series and shuffles only those.
+    """
     if as_of is not None:
         history = history.filter(F.col("Date") < F.lit(as_of).cast("date"))
-    newest_first = W.partitionBy(*schemas.SERIES_KEYS).orderBy(F.desc("Date"))
+    newest_first = W.partitionBy(*schemas.SERIES_KEYS).orderBy(F.desc("Date"), F.desc(schemas.TARGET))
     units, rank = F.col(schemas.TARGET).cast("double"), F.col("rank")
     newest = F.max(F.when(rank == 1, units))
     rows = F.count("*")
@@ -203,12 +209,16 @@ def serving_features(
     catalog: DataFrame,
     regions: DataFrame,
     as_of: str | None = None,
+    few_requests: bool = False,
 ) -> DataFrame:
     """One feature row per request whose product is in the catalog.
 
     If a request lacks lag_1 or rolling_mean_7, all its history inputs come from the series'
     tail, and from a constant for a series without history. Otherwise inputs it lacks repeat
     its lag_1.
+
+    ``few_requests`` looks up only the series that are asked for. That pays while their keys
+    are small enough to be broadcast; without it the tails of all series are found.
     """
     optional = ["lag_7", "lag_30", "rolling_mean_30"]
     for name in optional:
@@ -220,6 +230,11 @@ def serving_features(
     }
     kept = [name for name in requests.columns if name not in replaced]
     r = requests.alias("r")
+    if few_requests:
+        asked = requests.select(
+            F.col("store_id").alias("Store_ID"), F.col("product_id").alias("Product_ID")
+        ).distinct()
+        history = history.join(asked, schemas.SERIES_KEYS, "left_semi")
     tail = series_tail(history, as_of).withColumnsRenamed(
         {"Store_ID": "tail_store", "Product_ID": "tail_product"}
     )

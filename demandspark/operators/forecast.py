@@ -178,6 +178,7 @@ def score_requests(
     regions: DataFrame,
     model_name: str,
     as_of: str | None = None,
+    few_requests: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Score a table of requests. Returns (forecasts, rejects).
 
@@ -186,7 +187,7 @@ def score_requests(
     """
     accepted, rejects = admit(requests, R.SCORE_RULES, catalog)
     asked = accepted.select(*requests.columns)
-    inputs = serving_features(asked, history, catalog, regions, as_of)
+    inputs = serving_features(asked, history, catalog, regions, as_of, few_requests)
     scored = moving_average_forecast(inputs) if model is None else predict(model, inputs)
     extra = [c for c in requests.columns if c not in R.SCORE_RULES]
     forecasts = scored.select(

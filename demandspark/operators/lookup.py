@@ -54,10 +54,10 @@ def last_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     return df.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= n)
 
 
-def recent_forecasts(forecasts: DataFrame, n: int = 5) -> DataFrame:
-    """The newest n forecasts per product, demand as whole units."""
+def recent_forecasts(forecasts: DataFrame, n: int = 5, store: str | None = None) -> DataFrame:
+    """The newest n forecasts per product, of one store or of all; demand as whole units."""
     newest = [F.desc("forecast_date"), F.asc("store_id"), F.asc("model_name")]
-    return last_n_per_key(forecasts, ["product_id"], newest, n).withColumn(
+    return last_n_per_key(only(forecasts, store), ["product_id"], newest, n).withColumn(
         "predicted_demand", C.demand_units(F.col("predicted_demand"))
     )
 
@@ -195,5 +195,5 @@ def orphan_audit(children: Mapping[str, DataFrame], catalog: DataFrame) -> DataF
 
 
 def missing_forecasts(catalog: DataFrame, forecasts: DataFrame) -> DataFrame:
-    """Products without any forecast."""
-    return catalog.join(forecasts.select("product_id"), "product_id", "left_anti")
+    """Products without any forecast. Distinct products meet the catalog, not forecast rows."""
+    return catalog.join(forecasts.select("product_id").distinct(), "product_id", "left_anti")

@@ -117,6 +117,27 @@ def test_serving_tail(spark):
     assert (given.Day_of_Week, given.Is_Weekend, given.Region) == (3, 0, "North")
 
 
+def test_serving_few_requests_gives_the_same(spark):
+    requests = _requests(
+        spark,
+        ("P101", "S01", date(2025, 2, 10), None, None, None, None, None, None),
+        ("P101", "S05", date(2025, 2, 10), None, None, None, None, None, None),
+    )
+    given = (requests, samples.series(spark), samples.products(spark, "P101"), _regions(spark))
+    all_series = features.serving_features(*given).orderBy("Store_ID").collect()
+    assert features.serving_features(*given, few_requests=True).orderBy("Store_ID").collect() == all_series
+
+
+def test_rows_sharing_a_day_follow_their_units(spark):
+    day = date(2025, 1, 1)
+    rows = [("S01", "P101", day + timedelta(days=d), u) for d in range(12) for u in (d, 30 - d, d)]
+    results = []
+    for slice_days in (1461, 4):
+        got = features.add_past(samples.panel(spark, rows), slice_days=slice_days)
+        results.append(sorted(map(str, got.select("Date", "Units_Sold", *HISTORY).collect())))
+    assert results[0] == results[1]
+
+
 def test_serving_as_of_and_short_series(spark):
     requests = _requests(spark, ("P101", "S01", date(2025, 2, 10), None, None, None, None, None, None))
     served = features.serving_features(
