@@ -17,6 +17,7 @@ from demandspark import schemas
 from demandspark.functions import columns as C
 
 SLICE_DAYS = 1461
+SLICE_ROWS = 1_000_000
 
 
 def add_revenue(df: DataFrame, round_to: int | None = 2) -> DataFrame:
@@ -32,28 +33,52 @@ def add_calendar(df: DataFrame, day: str = "Date") -> DataFrame:
     return df.withColumns(C.calendar(F.col(day)))
 
 
+def _sliced(df: DataFrame, slice_days: int, slice_rows: int) -> DataFrame:
+    """Adds ``slice``: consecutive days of a series, ``slice_days`` long. A series with more
+    than ``slice_rows`` rows gets slices short enough to hold about that many.
+
+    There are at most (rows of the table / slice_rows) such series, and none in a table with one
+    row per day, so the list of them may be broadcast; counting is done before the shuffle.
+    """
+    day = F.unix_date("Date")
+    rows, span = F.count("*"), F.max(day) - F.min(day) + 1
+    crowded = (
+        df.groupBy(*schemas.SERIES_KEYS)
+        .agg(rows.alias("rows"), F.floor(span * slice_rows / rows).alias("crowded_days"))
+        .filter(F.col("rows") > slice_rows)
+        .select(*schemas.SERIES_KEYS, F.greatest("crowded_days", F.lit(1)).alias("crowded_days"))
+    )
+    length = F.least(F.lit(slice_days), F.col("crowded_days"))
+    return (
+        df.join(F.broadcast(crowded), schemas.SERIES_KEYS, "left")
+        .withColumn("slice", F.floor(day / length))
+        .drop("crowded_days")
+    )
+
+
 def add_past(
     df: DataFrame,
     lags: Sequence[int] = (1, 7, 30),
     windows: Sequence[int] = (7, 30),
     value: str = schemas.TARGET,
     slice_days: int = SLICE_DAYS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Lag_k and Rolling_Mean_n over earlier rows only; null where there is no past.
 
     Adds ``series_first`` (first value of the series, known on the rows that need it) and
     ``series_rows`` (its length, exact up to one more than the longest reach).
 
-    A series is cut into slices of ``slice_days``, so a long one is shared by many tasks and no
-    window group holds more days than that. Each slice gets the last rows before it from a
-    table with a few rows per slice; Spark limits those rows before the shuffle
-    (WindowGroupLimit), and the join reuses the partitioning and order the window has made.
-    ``df`` is read twice, the second time three columns of it.
+    A series is cut into slices of days, so a long or crowded one is shared by many tasks and no
+    window group grows with the series. Each slice gets the last rows before it from a table
+    with a few rows per slice; Spark limits those rows before the shuffle (WindowGroupLimit),
+    and the join reuses the partitioning and order the window has made. Besides the wide table
+    only keys, days and values are read again; pass a stored table.
     """
     reach = max([*lags, *windows])
     keys = schemas.SERIES_KEYS
     slice_keys = keys + ["slice"]
-    sliced = df.withColumn("slice", F.floor(F.unix_date("Date") / slice_days))
+    sliced = _sliced(df, slice_days, slice_rows)
 
     newest_first = W.partitionBy(*slice_keys).orderBy(F.desc("Date"), F.desc("v"))
     tails = (
@@ -133,6 +158,7 @@ def add_history(
     fill: str = "bfill",
     median: float | None = None,
     slice_days: int = SLICE_DAYS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Lags and rolling means without gaps.
 
@@ -143,7 +169,7 @@ def add_history(
     """
     if fill not in ("bfill", "median"):
         raise ValueError(f"unknown fill: {fill}")
-    past = add_past(df, lags, windows, slice_days=slice_days)
+    past = add_past(df, lags, windows, slice_days=slice_days, slice_rows=slice_rows)
     if median is None:
         middle = df.agg(F.median(schemas.TARGET).alias("median")).scalar()
     else:
