@@ -96,10 +96,6 @@ def effective_price(requested: Column, catalog: Column) -> Column:
     return F.coalesce(F.nullif(requested, F.lit(0).cast("double")), catalog)
 
 
-def absolute_error(actual: Column, predicted: Column) -> Column:
-    return F.abs(actual - predicted)
-
-
 def unfold(df: DataFrame, rows: Sequence[Column]) -> DataFrame:
     """Turn each wide row into several narrow ones; each element of ``rows`` is a struct."""
     return df.select(F.inline(F.array(*rows)))

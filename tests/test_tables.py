@@ -94,6 +94,24 @@ def test_request_rules_and_catalog(spark):
     assert (known.count(), unknown.count()) == (4, 1)
 
 
+def test_sales_and_forecasts_are_appended(spark, tmp_path):
+    sales, forecasts = str(tmp_path / "sales"), str(tmp_path / "forecasts")
+    requests = _sales(spark, [(date(2026, 10, 1), "S01", "P101", 45, None, None)])
+    accepted, _ = lookup.admit(requests, R.SALE_RULES, samples.products(spark, "P101"))
+    predicted = spark.createDataFrame(
+        [("P101", "S01", date(2026, 10, 1), 7, "m")],
+        "product_id string, store_id string, forecast_date date, predicted_demand long, model_name string",
+    )
+    for _ in range(2):
+        tables.append_sales(lookup.price_sales(accepted), sales)
+        tables.append_forecasts(predicted, forecasts)
+    stored = spark.read.parquet(sales).collect()
+    assert [(float(r.revenue), float(r.discount), r.promotion) for r in stored] == [(5400.0, 0.0, 0)] * 2
+    back = spark.read.parquet(forecasts)
+    assert back.count() == 2 and back.filter("created_at IS NULL").count() == 0
+    assert [f.dataType for f in back.schema] == [f.dataType for f in schemas.FORECASTS]
+
+
 def test_latest_and_last_n(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 3, "y"), ("a", 2, "z"), ("b", 1, None)], "k string, t int, v string")
     latest = {r.k: r.v for r in lookup.latest_per_key(df, ["k"], ["t"]).collect()}
