@@ -7,6 +7,7 @@ language; the smallest total wins, and a narrow lead over the second language is
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -120,3 +121,18 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings
 def held_out(doc_id: Column) -> Column:
     """Documents no label is learned from."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+
+
+def accepted(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings = Settings()) -> DataFrame:
+    """The documents whose language is told with a clear lead; all columns stay as they are."""
+    kept: list[Classifier] = []
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not kept:
+            kept.append(Classifier(dictionaries, settings))
+        for batch in batches:
+            for part in T.slices(batch):
+                clear = [not kept[0].classify(x.as_py())[2] for x in part.column("text")]
+                yield part.filter(pa.array(clear, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

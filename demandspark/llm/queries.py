@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandspark.llm import language_id, license_scan, quality, secret_scan, unigram
+from demandspark.llm import (
+    chat,
+    language_id,
+    license_scan,
+    minhash,
+    mixing,
+    quality,
+    secret_scan,
+    substring_dedup,
+    topk,
+    unigram,
+)
 from demandspark.llm.text import read_table
 
 TOKENIZER = "/opt/tokenizers/piece_bpe_32k.model"
@@ -43,23 +54,99 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(read_table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.dedupe(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
 def op6_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents")).drop("matches")
 
 
+def op7_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(read_table(spark, sf_dir, "conversations"))
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.encode(read_table(spark, sf_dir, "documents"), unigram.load(TOKENIZER))
 
 
+def op9_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = topk.staged_vectors(read_table(spark, sf_dir, "embeddings"))
+    return topk.search(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scans,
         op2_language_id,
         op3_quality_rules,
+        op4_substring_dedup,
+        op5_source_mix,
         op6_license_scans,
+        op7_chat_rotation,
         op8_sentencepiece,
+        op9_exact_topk,
+        op10_near_dedup,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_source_mix": r"""
+        WITH d AS (
+            SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                   md5(coalesce(doc_id::VARCHAR, '') || ':42') AS k
+            FROM documents),
+        s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (
+            SELECT source, source_size, 2.0::DOUBLE * source_size AS most,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS weight
+            FROM s),
+        l AS (
+            SELECT *, most / weight AS full_at,
+                   (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(most) OVER before, 0))
+                   / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level,
+                   row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS n
+            FROM w
+            WINDOW before AS (ORDER BY most / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+        t AS (SELECT source, source_size, least(most, weight * (SELECT arg_min(level, n) FROM l WHERE level <= full_at)) AS target FROM l),
+        p AS (
+            SELECT d.*, t.source_size, t.target, floor(t.target)::BIGINT AS budget,
+                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, target,
+               CASE WHEN source_size = 0 THEN 0
+                    ELSE budget // source_size * size + greatest(0, least(size, budget % source_size - before)) END::BIGINT AS taken
+        FROM p""",
+    "op7_chat_rotation": r"""
+        WITH r AS (
+            SELECT conv_id, coalesce(turn::BIGINT, 9223372036854775807) AS turn, coalesce(role, 'unknown') AS name,
+                   coalesce(text, '') AS text
+            FROM conversations),
+        n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, name, text) - 1 AS place FROM r),
+        s AS (SELECT DISTINCT conv_id, name AS speaker FROM r WHERE name <> 'system'),
+        x AS (
+            SELECT n.conv_id, speaker, (place // 64)::INTEGER AS part, place, name,
+                   CASE WHEN name = 'system' THEN '<|system|>' || chr(10)
+                        WHEN name = speaker THEN '<|assistant|>' || chr(10)
+                        ELSE '<|user|>' || chr(10) || name || ': ' END AS head,
+                   text || '<|end|>' || chr(10) AS body
+            FROM n JOIN s ON n.conv_id IS NOT DISTINCT FROM s.conv_id),
+        y AS (
+            SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker, part ORDER BY place
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS low
+            FROM x)
+        SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
+               coalesce(string_agg(CASE WHEN name = speaker THEN low || ':' || (low + length(body)) END, ',' ORDER BY place), '') AS mask
+        FROM y GROUP BY conv_id, speaker, part""",
+}
