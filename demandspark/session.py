@@ -2,8 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+_SHIPPED: set[str] = set()
+
 
 def build_session(app_name: str = "demandspark", cores: int | str = "*", memory: str = "12g") -> SparkSession:
     spark = (
@@ -21,3 +27,17 @@ def build_session(app_name: str = "demandspark", cores: int | str = "*", memory:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, as ``--py-files`` would; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).parent
+    target = Path(tempfile.mkdtemp()) / f"{root.name}.zip"  # the driver serves it to the executors
+    with zipfile.ZipFile(target, "w") as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
