@@ -106,7 +106,7 @@ def candidates(docs: DataFrame, shared: DataFrame, width: int) -> DataFrame:
                 pa.array([zlib.crc32(k) & 0x7FFFFFFF for k in kept], pa.int32()),
                 pa.array(np.diff(words.first), pa.int64()),
                 pa.array([None if o else hashlib.sha256(k).hexdigest() for k, o in zip(kept, open_, strict=True)], pa.string()),
-                pa.compute.if_else(pa.array(open_), texts, pa.scalar(None, texts.type)),
+                texts.take(pa.array(np.arange(batch.num_rows), mask=~open_)),
                 pa.ListArray.from_arrays(offsets(n_hit), pa.array(full[hit].view(np.int64))),
                 pa.ListArray.from_arrays(offsets(n_run), runs),
             ],
