@@ -129,7 +129,7 @@ def sketches(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def similar(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
-    """Those ``a``, ``b`` whose multisets overlap enough: sum of lesser weights over sum of greater ones."""
+    """The pairs ``a``, ``b`` whose multisets overlap enough: sum of lesser weights over sum of greater ones."""
 
     def weigh(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
         doc, item, weight = multisets(*shingles(T.words_of(column), settings.width))
@@ -148,11 +148,12 @@ def similar(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
             shared = int(np.minimum(weight_a[x], weight_b[y]).sum())
             union = int(weight_a.sum() + weight_b.sum()) - shared
             good.append(100 * shared >= settings.percent * union)
-        return pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(good, pa.bool_()))
+        return batch.select(["a", "b", "own", "label"]).filter(pa.array(good, pa.bool_()))
 
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    return T.by_slice(pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text"), work, "a long, b long", "b_text")
+    rows = pairs.join(b, "b").join(a, "a").select("a", "b", "own", "label", "a_text", "b_text")
+    return T.by_slice(rows, work, "a long, b long, own long, label long", "b_text")
 
 
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -160,9 +161,10 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Texts of equal words are one text from the start. Texts that share a band are a bucket. A bucket's pairs are
     never listed: in each round one member stands for it and all members of other classes are checked against
-    that one, first the smallest id, then members of its largest class by a hash of bucket and round. A text of
-    similarity 0.8 to another shares some 13 of 32 bands with it, so it meets many of a large group's members,
-    and a bucket of two is checked in full. Rounds end when one finds no new link.
+    that one. First this is the member whose buckets are the most crowded, which is the original of a group of
+    edited copies or close to it; then members of the bucket's largest class by a hash of bucket and round. Texts
+    of similarity 0.8 share some 13 of 32 bands, so a text meets many of a large group's members, and a bucket of
+    two is checked in full. Rounds end when one finds no new link.
 
     Null and empty texts have no shingles and are classes of their own, as are rows with a null ``doc_id`` (null
     class). Rows that share a ``doc_id`` are one document. Other columns are ignored.
@@ -173,35 +175,41 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     first = filled.groupBy("words_id").agg(F.min("doc_id").alias("head"))
     heads = first.select(F.col("head").alias("doc_id"), "words_id").join(filled, ["doc_id", "words_id"]).select("doc_id", "bands")
     banded = stage(heads.select("doc_id", F.explode("bands").alias("bucket")).distinct(), "bands")
-    shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    members = stage(banded.join(shared.select("bucket"), "bucket"), "buckets")
-    texts = stage(rows.join(members.select("doc_id").distinct(), "doc_id"), "texts")
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
+    members = stage(banded.join(shared, "bucket"), "buckets")
+    middle = members.groupBy("doc_id").agg(F.sum("crowd").alias("middle"))
+    label = stage(middle.select("doc_id", "middle", F.col("doc_id").alias("label")), "classes")
+    texts = stage(rows.join(label.select("doc_id"), "doc_id"), "texts")
 
-    label: DataFrame = members.select(F.col("doc_id").alias("node"), F.col("doc_id").alias("label")).distinct()
-    links = tested = None
+    tested: DataFrame | None = None
     turn = 0
     while True:
-        size = label.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-        seats = members.join(label.join(size, "label"), members["doc_id"] == F.col("node")).select("bucket", "doc_id", "label", "size")
-        rank = F.xxhash64("doc_id", "bucket", F.lit(turn)) if turn else -F.col("doc_id")
-        best = F.max(F.struct(F.col("size") if turn else F.lit(0), rank.alias("rank"), F.col("doc_id").alias("a"), F.col("label").alias("own")))
+        if turn:
+            size = label.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
+            ranked = label.join(size, "label").select("doc_id", "label", F.col("size").alias("first"), F.lit(0).alias("second"))
+        else:
+            ranked = label.select("doc_id", "label", F.col("middle").alias("first"), (-F.col("doc_id")).alias("second"))
+        seats = members.select("bucket", "doc_id").join(ranked, "doc_id")
+        second = F.xxhash64("doc_id", "bucket", F.lit(turn)) if turn else F.col("second")
+        best = F.max(F.struct("first", second.alias("second"), F.col("doc_id").alias("a"), F.col("label").alias("own")))
         chosen = seats.groupBy("bucket").agg(best.alias("best")).select("bucket", "best.a", "best.own")
-        pairs = seats.join(chosen, "bucket").where("label <> own").select("a", F.col("doc_id").alias("b")).distinct()
+        pairs = seats.join(chosen, "bucket").where("label <> own").select("a", F.col("doc_id").alias("b"), "own", "label")
+        pairs = pairs.groupBy("a", "b").agg(F.first("own").alias("own"), F.first("label").alias("label"))
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "pairs")
         found = stage(similar(pairs, texts, settings), "found")
         if turn and found.isEmpty():
             break
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        grouped = components(links)
-        label = members.select(F.col("doc_id").alias("node")).distinct().join(grouped, "node", "left")
-        label = stage(label.select("node", F.coalesce("label", "node").alias("label")), "classes")
+        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
+        moved = components(found.select(F.col("own").alias("a"), F.col("label").alias("b")))
+        moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+        label = label.join(moved, "label", "left").select("doc_id", "middle", F.coalesce("to", "label").alias("label"))
+        label = stage(label, "classes")
         turn += 1
 
-    least = label.groupBy("label").agg(F.min("node").alias("class_id"))
-    head_class = label.join(least, "label").select(F.col("node").alias("head"), "class_id")
+    least = label.groupBy("label").agg(F.min("doc_id").alias("class_id"))
+    head_class = label.join(least, "label").select(F.col("doc_id").alias("head"), "class_id")
     named = filled.select("doc_id", "words_id").join(first, "words_id").join(head_class, "head", "left")
     named = named.select("doc_id", F.coalesce("class_id", "head").alias("class_id"))
     alone = known.where("words_id is null or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
