@@ -22,7 +22,7 @@ from demandspark.llm import text as T
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-MEMO = 800_000  # distinct stretches a worker remembers; beyond it starts afresh
+MEMO = 200_000  # distinct stretches a worker remembers; beyond it starts afresh
 
 
 def rank_log_scores(n: int) -> np.ndarray:
