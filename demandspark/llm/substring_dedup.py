@@ -68,13 +68,14 @@ def _digest(words: T.Words, keep: np.ndarray) -> list[bytes]:
 
 
 def candidates(docs: DataFrame, shared: DataFrame, width: int) -> DataFrame:
-    """One row per document. ``hashes`` are those of its windows with a shared anchor, ``runs`` where they stand.
+    """One row per document. ``hashes`` are the distinct ones of its windows with a shared anchor, ``runs`` tells
+    where these windows stand, and ``which`` the hash of each of them if some share one.
 
     A document without such windows is finished here and needs its text no more.
     """
     schema = (
         "doc_id long, mark int, n_words long, kept_sha256 string, text string, hashes array<long>, "
-        "runs array<struct<start:int,stop:int>>"
+        "which array<int>, runs array<struct<start:int,stop:int>>"
     )
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -92,6 +93,14 @@ def candidates(docs: DataFrame, shared: DataFrame, width: int) -> DataFrame:
         known = T.mix(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) + owner.astype(np.uint64) * salt)
         hit = inside & np.isin(T.mix(found + doc.astype(np.uint64) * salt), known) if len(known) else np.zeros(len(found), bool)
         n_hit = np.bincount(doc[hit], minlength=batch.num_rows)
+        at = np.flatnonzero(hit)
+        _, first, group = np.unique(T.mix(full[at] + doc[at].astype(np.uint64) * salt), return_index=True, return_inverse=True)
+        place = np.empty(len(first), dtype=np.int64)
+        place[np.argsort(first)] = np.arange(len(first))  # by first appearance, so text by text
+        first = np.sort(first)
+        n_own = np.bincount(doc[at[first]], minlength=batch.num_rows)
+        some = n_own < n_hit
+        which = (place[group] - np.repeat(np.cumsum(n_own) - n_own, n_hit))[np.repeat(some, n_hit)]
         edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.view(np.int8), [0]])))
         low, high = edge[::2], edge[1::2]
         n_run = np.bincount(doc[low], minlength=batch.num_rows) if len(low) else np.zeros(batch.num_rows, int)
@@ -107,29 +116,34 @@ def candidates(docs: DataFrame, shared: DataFrame, width: int) -> DataFrame:
                 pa.array(np.diff(words.first), pa.int64()),
                 pa.array([None if o else hashlib.sha256(k).hexdigest() for k, o in zip(kept, open_, strict=True)], pa.string()),
                 texts.take(pa.array(np.arange(batch.num_rows), mask=~open_)),
-                pa.ListArray.from_arrays(offsets(n_hit), pa.array(full[hit].view(np.int64))),
+                pa.ListArray.from_arrays(offsets(n_own), pa.array(full[at[first]].view(np.int64))),
+                pa.ListArray.from_arrays(offsets(np.where(some, n_hit, 0)), pa.array(which, pa.int32())),
                 pa.ListArray.from_arrays(offsets(n_run), runs),
             ],
-            names=["doc_id", "mark", "n_words", "kept_sha256", "text", "hashes", "runs"],
+            names=["doc_id", "mark", "n_words", "kept_sha256", "text", "hashes", "which", "runs"],
         )
 
     return T.by_slice(docs.join(shared, "doc_id", "left"), work, schema)
 
 
 def finish(rows: DataFrame, width: int, with_text: bool) -> DataFrame:
-    """Cover the repeated windows (``hits``, counted along ``runs``), merge them, and keep the other words."""
+    """Cover the repeated windows (``hits`` among the ``hashes``), merge them, and keep the other words."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         words = T.words_of(batch.column("text"))
         total = len(words.start)
         cover = np.zeros(total + 1, dtype=np.int64)
-        for i, (hits, runs) in enumerate(zip(batch.column("hits"), batch.column("runs"), strict=True)):
+        columns = (batch.column(name) for name in ("hits", "which", "runs"))
+        for i, (hits, which, runs) in enumerate(zip(*columns, strict=True)):
             if not hits.is_valid or not len(hits):
                 continue
             fields = runs.values
             low, high = fields.field(0).to_numpy(), fields.field(1).to_numpy()
             starts = np.arange(int((high - low).sum())) + np.repeat(low - (np.cumsum(high - low) - (high - low)), high - low)
-            at = starts[hits.values.to_numpy(zero_copy_only=False)] + words.first[i]
+            places = hits.values.to_numpy(zero_copy_only=False)
+            if len(which):
+                places = np.flatnonzero(np.isin(which.values.to_numpy(zero_copy_only=False), places))
+            at = starts[places] + words.first[i]
             np.add.at(cover, at, 1)
             np.add.at(cover, at + width, -1)
         gone = np.cumsum(cover)[:-1] > 0
@@ -164,8 +178,8 @@ def dedupe(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> Data
 
     Hashes have 64 bits: two different windows are taken for one with a chance of 5e-20 a pair.
 
-    Hot passages: counting combines in the tasks first, and the joins on anchors and hashes are plain equi-joins
-    that adaptive execution splits where a key is skewed. Nothing is gathered but one document's own windows.
+    Hot passages: a window that a document repeats is sent once, counting combines in the tasks first, and the
+    joins on anchors and hashes are plain equi-joins that adaptive execution splits where a key is skewed. Nothing is gathered but one document's own windows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     own = stage(anchors(rows, width), "anchors")
@@ -182,5 +196,5 @@ def dedupe(docs: DataFrame, width: int = WIDTH, with_text: bool = False) -> Data
     earliest = windows.groupBy("hash").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     hits = windows.join(earliest.select("hash", "low"), "hash").where("doc_id > low")
     hits = hits.groupBy("doc_id", "mark").agg(F.collect_set("place").alias("hits"))
-    todo = found.where("text is not null").select("doc_id", "mark", "text", "runs").join(hits, ["doc_id", "mark"], "left")
+    todo = found.where("text is not null").select("doc_id", "mark", "text", "which", "runs").join(hits, ["doc_id", "mark"], "left")
     return finish(todo, width, with_text).unionByName(done)
