@@ -126,7 +126,9 @@ class Codec:
         self.trie = DoubleArray(words)
         self.longest = max(map(len, words), default=0)
         self.unknown_score = (model.scores[own].min() if len(own) else 0.0) - UNKNOWN_PENALTY
-        self.splitter = self._splitter([model.pieces[i].replace(MARK, " ") for i in own])
+        whole = re.compile(r"(?s).+")  # a run of unknown characters is one piece, wherever it goes
+        own_pieces = [model.pieces[i].replace(MARK, " ") for i in own]
+        self.splitter = self._splitter(own_pieces) if (model.byte_ids >= 0).all() else whole
         self.memo: dict[str, int] = {}
         self.ids, self.count = np.zeros(0, np.int32), np.zeros(0, np.int64)
         plain = [

@@ -18,6 +18,9 @@ def stages(spark, docs, sf=SF):
 
 def test_stages_against_plain_versions(spark):
     docs = documents(spark)
+    row = docs.where("lang = 'en' and n_chars > 800").orderBy("doc_id").first()
+    text = " ".join(sorted(row.text.split())) + ' password = "a1b2c3d4e5f6"'
+    docs = docs.unionByName(spark.createDataFrame([(10**6, text, "en", "src1", len(text))], docs.schema))
     read, clear, single, clean, mixed, encoded = stages(spark, docs)
     for df in (clear, single, clean, mixed):
         assert df.columns == docs.columns
