@@ -15,12 +15,12 @@ def half_even(value: Column, digits: int = 2) -> Column:
 
     The tie is decided on a decimal, so 8.345 is a tie and not 8.3450000000000006.
     """
-    return F.bround(value.cast("decimal(28,8)"), digits).cast("double")
+    return F.bround(value.try_cast("decimal(28,8)"), digits).cast("double")
 
 
 def whole(value: Column) -> Column:
-    """Half-even rounding to a whole number."""
-    return F.bround(value.cast("decimal(28,8)"), 0).cast("long")
+    """Half-even rounding to a whole number; null if there is none."""
+    return F.bround(value.try_cast("decimal(28,8)"), 0).try_cast("long")
 
 
 def at_least_zero(value: Column) -> Column:
@@ -29,8 +29,8 @@ def at_least_zero(value: Column) -> Column:
 
 
 def demand_units(value: Column) -> Column:
-    """A prediction as a whole, non-negative number of units."""
-    return F.when(value.isNotNull(), F.greatest(F.lit(0).cast("long"), whole(value)))
+    """A prediction as a whole, non-negative number of units; null if it is not a number."""
+    return F.when(whole(value).isNotNull(), F.greatest(F.lit(0).cast("long"), whole(value)))
 
 
 def nan_to_null(value: Column) -> Column:
@@ -45,14 +45,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 def net_revenue(units: Column, price: Column, discount: Column) -> Column:
     """units * price * (1 - discount/100) as an exact decimal; discount is a percentage.
 
-    Decimals make sums over any partitioning identical. Cast to double last.
+    Price and discount count with six decimals. Null if an amount is out of range (units from
+    1e12, price from 1e7, discount from 1e3). Decimals make sums over any partitioning
+    identical. Cast to double last.
     """
-    return (
-        units.cast("decimal(12,0)")
-        * price.cast("decimal(10,2)")
-        * (F.lit(100) - discount.cast("decimal(5,2)")).cast("decimal(5,2)")
-        * F.lit("0.01").cast("decimal(3,2)")
-    )
+    percent = F.lit(100).cast("decimal(3,0)") - discount.try_cast("decimal(9,6)")
+    share = percent * F.lit("0.01").cast("decimal(3,2)")
+    return units.try_cast("decimal(12,0)") * price.try_cast("decimal(13,6)") * share.cast("decimal(11,8)")
 
 
 def parse_day(text: Column) -> Column:

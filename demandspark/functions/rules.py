@@ -16,12 +16,12 @@ SCORE_RULES = {
     "product_id": "product_id IS NOT NULL",
     "store_id": "store_id IS NOT NULL",
     "forecast_date": "forecast_date IS NOT NULL",
-    "unit_price": "unit_price IS NULL OR unit_price > 0",
+    "unit_price": "unit_price IS NULL OR (unit_price > 0 AND NOT isnan(unit_price))",
     "discount": "discount IS NULL OR discount BETWEEN 0 AND 100",
     "promotion": "promotion IS NULL OR promotion IN (0, 1)",
     "holiday": "holiday IS NULL OR holiday IN (0, 1)",
-    "lag_1": "lag_1 IS NULL OR lag_1 >= 0",
-    "rolling_mean_7": "rolling_mean_7 IS NULL OR rolling_mean_7 >= 0",
+    "lag_1": "lag_1 IS NULL OR (lag_1 >= 0 AND NOT isnan(lag_1))",
+    "rolling_mean_7": "rolling_mean_7 IS NULL OR (rolling_mean_7 >= 0 AND NOT isnan(rolling_mean_7))",
 }
 
 REORDER_RULES = {

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from itertools import combinations
+from math import isnan
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,9 +74,10 @@ def store_region_sales(df: DataFrame) -> DataFrame:
 def region_share(df: DataFrame) -> DataFrame:
     """Units per region and their share of the total in percent, one decimal."""
     regions = df.groupBy(F.col("Region").alias("region")).agg(F.sum("Units_Sold").alias("units"))
-    total = regions.agg(F.sum("units").alias("total")).scalar()
-    share = C.ratio(F.col("units") * F.lit(100.0), total.cast("double"))
-    return regions.withColumn("share_pct", F.round(share, 1))
+    # One row with all regions, which are few, so that the panel is added up once.
+    wide = regions.agg(F.sum("units").alias("total"), F.collect_list(F.struct("region", "units")).alias("rows"))
+    share = C.ratio(F.col("units") * F.lit(100.0), F.col("total").cast("double"))
+    return wide.select("total", F.inline("rows")).select("region", "units", F.round(share, 1).alias("share_pct"))
 
 
 def flag_split(df: DataFrame, flag: str, off: str, on: str, digits: int = 6) -> DataFrame:
@@ -160,30 +164,20 @@ def low_products(df: DataFrame, n: int = 5) -> DataFrame:
     return lowest.orderBy(F.desc("units"), "product_id")
 
 
-CORRELATED = [
-    "Units_Sold", "Unit_Price", "Discount", "Promotion", "Holiday", "Day_of_Week", "Is_Weekend",
-    "Lag_1", "Lag_7", "Rolling_Mean_7", "Rolling_Mean_30",
-]
-
-
-def correlation_long(df: DataFrame, columns: Sequence[str] = CORRELATED, digits: int = 6) -> DataFrame:
+def correlation_long(
+    df: DataFrame, columns: Sequence[str] = tuple(schemas.CORRELATED), digits: int = 6
+) -> DataFrame:
     """Pearson correlation of every pair of columns, one row per pair, in one pass.
 
-    Each row is unfolded into its pairs inside the task and combined there; only one partial
-    result per task and pair is shuffled. One aggregation with all the correlations side by
-    side has too much code to be compiled and is several times slower.
+    Each task adds up its rows' cross products in one small matrix; only these are combined. Rows
+    with a missing value in one of the columns are left out; a column without spread gives null.
+    Runs when called: the matrix comes to the driver.
     """
-    pairs = [
-        F.struct(
-            F.lit(a).alias("left_column"),
-            F.lit(b).alias("right_column"),
-            F.col(a).cast("double").alias("x"),
-            F.col(b).cast("double").alias("y"),
-        )
-        for a, b in combinations(columns, 2)
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(df).select("v")
+    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    rows = [
+        (a, b, None if isnan(matrix[i][j]) else float(matrix[i][j]))
+        for (i, a), (j, b) in combinations(enumerate(columns), 2)
     ]
-    return (
-        C.unfold(df, pairs)
-        .groupBy("left_column", "right_column")
-        .agg(F.bround(F.corr("x", "y"), digits).alias("correlation"))
-    )
+    table = df.sparkSession.createDataFrame(rows, "left_column string, right_column string, r double")
+    return table.select("left_column", "right_column", F.bround("r", digits).alias("correlation"))

@@ -17,7 +17,6 @@ from demandspark import schemas
 from demandspark.functions import columns as C
 
 SLICE_DAYS = 1461
-SLICE_ROWS = 1_000_000
 
 
 def add_revenue(df: DataFrame, round_to: int | None = 2) -> DataFrame:
@@ -33,44 +32,21 @@ def add_calendar(df: DataFrame, day: str = "Date") -> DataFrame:
     return df.withColumns(C.calendar(F.col(day)))
 
 
-def _sliced(df: DataFrame, slice_days: int, slice_rows: int) -> DataFrame:
-    """Adds ``slice``: consecutive days of a series, ``slice_days`` long. A series with more
-    than ``slice_rows`` rows gets slices short enough to hold about that many.
-
-    There are at most (rows of the table / slice_rows) such series, and none in a table with one
-    row per day, so the list of them may be broadcast; counting is done before the shuffle.
-    """
-    day = F.unix_date("Date")
-    rows, span = F.count("*"), F.max(day) - F.min(day) + 1
-    crowded = (
-        df.groupBy(*schemas.SERIES_KEYS)
-        .agg(rows.alias("rows"), F.floor(span * slice_rows / rows).alias("crowded_days"))
-        .filter(F.col("rows") > slice_rows)
-        .select(*schemas.SERIES_KEYS, F.greatest("crowded_days", F.lit(1)).alias("crowded_days"))
-    )
-    length = F.least(F.lit(slice_days), F.col("crowded_days"))
-    return (
-        df.join(F.broadcast(crowded), schemas.SERIES_KEYS, "left")
-        .withColumn("slice", F.floor(day / length))
-        .drop("crowded_days")
-    )
-
-
 def add_past(
     df: DataFrame,
     lags: Sequence[int] = (1, 7, 30),
     windows: Sequence[int] = (7, 30),
     value: str = schemas.TARGET,
     slice_days: int = SLICE_DAYS,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Lag_k and Rolling_Mean_n over earlier rows only; null where there is no past.
 
     Adds ``series_first`` (first value of the series, known on the rows that need it) and
     ``series_rows`` (its length, exact up to one more than the longest reach).
 
-    A series is cut into slices of days, so a long or crowded one is shared by many tasks and no
-    window group grows with the series. Each slice gets the last rows before it from a table
+    A series is cut into slices of ``slice_days`` days, so a long one is shared by many tasks and
+    no window group grows with the series. A panel has one row per series and day; rows that
+    share a day stay together. Each slice gets the last rows before it from a table
     with a few rows per slice; Spark limits those rows before the shuffle (WindowGroupLimit),
     and the join reuses the partitioning and order the window has made. Besides the wide table
     only keys, days and values are read again; pass a stored table.
@@ -78,7 +54,7 @@ def add_past(
     reach = max([*lags, *windows])
     keys = schemas.SERIES_KEYS
     slice_keys = keys + ["slice"]
-    sliced = _sliced(df, slice_days, slice_rows)
+    sliced = df.withColumn("slice", F.floor(F.unix_date("Date") / slice_days))
 
     newest_first = W.partitionBy(*slice_keys).orderBy(F.desc("Date"), F.desc("v"))
     tails = (
@@ -158,7 +134,6 @@ def add_history(
     fill: str = "bfill",
     median: float | None = None,
     slice_days: int = SLICE_DAYS,
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Lags and rolling means without gaps.
 
@@ -169,7 +144,7 @@ def add_history(
     """
     if fill not in ("bfill", "median"):
         raise ValueError(f"unknown fill: {fill}")
-    past = add_past(df, lags, windows, slice_days=slice_days, slice_rows=slice_rows)
+    past = add_past(df, lags, windows, slice_days=slice_days)
     if median is None:
         middle = df.agg(F.median(schemas.TARGET).alias("median")).scalar()
     else:
@@ -232,12 +207,13 @@ def series_tail(history: DataFrame, as_of: str | None = None) -> DataFrame:
 def serving_features(
     requests: DataFrame,
     history: DataFrame,
-    catalog: DataFrame,
+    catalog: DataFrame | None,
     regions: DataFrame,
     as_of: str | None = None,
     few_requests: bool = False,
 ) -> DataFrame:
-    """One feature row per request whose product is in the catalog.
+    """One feature row per request whose product is in the catalog. Requests that ``admit`` has
+    joined with the catalog come with ``catalog=None``.
 
     If a request lacks lag_1 or rolling_mean_7, all its history inputs come from the series'
     tail, and from a constant for a series without history. Otherwise inputs it lacks repeat
@@ -254,7 +230,16 @@ def serving_features(
         "product_id", "store_id", "unit_price", "discount", "promotion", "holiday",
         "lag_1", "rolling_mean_7", *optional,
     }
-    kept = [name for name in requests.columns if name not in replaced]
+    if catalog is None:
+        requests = requests.withColumnsRenamed({"catalog_category": "category", "catalog_unit_price": "catalog_price"})
+    else:
+        found = catalog.select("product_id", "category", F.col("unit_price").alias("catalog_price"))
+        requests = requests.join(found, "product_id")
+    from_catalog = {"category", "catalog_price"}
+    kept = [
+        name for name in requests.columns
+        if name not in replaced | from_catalog and not name.startswith("catalog_")
+    ]
     r = requests.alias("r")
     if few_requests:
         asked = requests.select(
@@ -265,10 +250,7 @@ def serving_features(
         {"Store_ID": "tail_store", "Product_ID": "tail_product"}
     )
     joined = (
-        r.join(catalog.select(
-            F.col("product_id").alias("catalog_id"), "category", F.col("unit_price").alias("catalog_price")
-        ), F.col("r.product_id") == F.col("catalog_id"))
-        .join(regions.select(F.col("store_id").alias("region_store"), "region"),
+        r.join(regions.select(F.col("store_id").alias("region_store"), "region"),
               F.col("r.store_id") == F.col("region_store"), "left")
         .join(tail, (F.col("r.store_id") == F.col("tail_store"))
               & (F.col("r.product_id") == F.col("tail_product")), "left")

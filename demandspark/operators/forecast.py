@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +106,30 @@ def preprocessor_stages() -> list:
     ]
 
 
+def tree_stages() -> list:
+    """Each category as the mean target of its training rows, and plain numbers, in one vector.
+
+    As wide as the list of features, however many products there are; an unknown value gets the
+    mean of all rows.
+    """
+    categories, numbers = schemas.CATEGORICAL_FEATURES, schemas.NUMERICAL_FEATURES
+    indexed = [f"{c}_index" for c in categories]
+    means = [f"{c}_mean" for c in categories]
+    return [
+        StringIndexer(
+            inputCols=categories, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
+        ),
+        TargetEncoder(
+            inputCols=indexed, outputCols=means, labelCol=schemas.TARGET, targetType="continuous", handleInvalid="keep"
+        ),
+        VectorAssembler(inputCols=[*means, *numbers], outputCol="features"),
+    ]
+
+
+def stages_for(kind: str) -> list:
+    return preprocessor_stages() if kind == schemas.LINEAR else tree_stages()
+
+
 def regressor(kind: str, **params):
     """The regressor of a learned model; ``params`` override the reference settings."""
     common = {"featuresCol": "features", "labelCol": schemas.TARGET, "predictionCol": "raw_prediction"}
@@ -124,24 +148,29 @@ def regressor(kind: str, **params):
 
 
 def learned_pipeline(kind: str, **params) -> Pipeline:
-    return Pipeline(stages=[*preprocessor_stages(), regressor(kind, **params)])
+    return Pipeline(stages=[*stages_for(kind), regressor(kind, **params)])
 
 
 def fit_models(
     train: DataFrame, kinds: Iterable[str] = LEARNED, params: Mapping[str, dict] | None = None
 ) -> dict[str, PipelineModel]:
-    """Fit the learned models; encoding and scaling are fitted once, on the training rows only."""
+    """Fit the learned models; encoding and scaling are fitted on the training rows only, once
+    for the linear model and once for the trees."""
     params = params or {}
-    prepared = Pipeline(stages=preprocessor_stages()).fit(train)
-    # Trees pass over the data once per level; keep the vectors, spilling to disk.
-    vectors = prepared.transform(train).select("features", F.col(schemas.TARGET).cast("double")).persist()
-    try:
-        return {
-            kind: PipelineModel([*prepared.stages, regressor(kind, **params.get(kind, {})).fit(vectors)])
-            for kind in kinds
-        }
-    finally:
-        vectors.unpersist()
+    models = {}
+    for family in ([k for k in kinds if k == schemas.LINEAR], [k for k in kinds if k != schemas.LINEAR]):
+        if not family:
+            continue
+        prepared = Pipeline(stages=stages_for(family[0])).fit(train)
+        # Trees pass over the data once per level; keep the vectors, spilling to disk.
+        vectors = prepared.transform(train).select("features", F.col(schemas.TARGET).cast("double")).persist()
+        try:
+            for kind in family:
+                fitted = regressor(kind, **params.get(kind, {})).fit(vectors)
+                models[kind] = PipelineModel([*prepared.stages, fitted])
+        finally:
+            vectors.unpersist()
+    return models
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -186,8 +215,7 @@ def score_requests(
     moving average scores.
     """
     accepted, rejects = admit(requests, R.SCORE_RULES, catalog)
-    asked = accepted.select(*requests.columns)
-    inputs = serving_features(asked, history, catalog, regions, as_of, few_requests)
+    inputs = serving_features(accepted, history, None, regions, as_of, few_requests)
     scored = moving_average_forecast(inputs) if model is None else predict(model, inputs)
     extra = [c for c in requests.columns if c not in R.SCORE_RULES]
     forecasts = scored.select(

@@ -11,6 +11,11 @@ from demandspark import schemas
 from demandspark.functions import columns as C
 
 
+# Amounts and days from these on do not fit the decimals of a decision; such rows are rejects.
+AMOUNT_LIMIT = 1_000_000_000
+LEAD_LIMIT = 1_000_000
+
+
 def _amount(value: Column) -> Column:
     return value.cast("decimal(20,4)")
 
@@ -62,16 +67,24 @@ def decide_inventory(
     store_id, safety_stock and lead_time_days; ``keep`` names columns to pass on. Returns
     (decisions, rejects).
 
-    Rows with negative or missing stock or demand are rejects; ``strict`` makes them an error.
+    Rows with negative or missing stock or demand are rejects, as are amounts from a billion and
+    lead times from a million days; ``strict`` makes them an error. NaN counts as missing.
     Amounts are decimals until the end, so rounding up and comparing are exact.
     """
     df = _optional(df, "store_id", "string")
     df = _optional(df, "safety_stock", "double")
     df = _optional(df, "lead_time_days", "int")
+    amounts = ["current_inventory", "forecast_demand", "safety_stock"]
+    floats = [name for name, kind in df.dtypes if name in amounts and kind in ("double", "float")]
+    df = df.withColumns({name: C.nan_to_null(F.col(name)) for name in floats})
     stock, demand = F.col("current_inventory"), F.col("forecast_demand")
     problem = (
         F.when(stock.isNull() | (stock < 0), F.lit("current inventory must not be negative"))
         .when(demand.isNull() | (demand < 0), F.lit("forecast demand must not be negative"))
+        .when(
+            F.greatest(*amounts) >= AMOUNT_LIMIT, F.lit("amounts must be below a billion")
+        )
+        .when(F.col("lead_time_days") >= LEAD_LIMIT, F.lit("lead time must be below a million days"))
     )
     judged = df.withColumn("reason", problem)
     rejects = judged.filter(F.col("reason").isNotNull())

@@ -41,11 +41,11 @@ def sales_page(
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key.
 
-    An aggregate, not a window: each task sends one candidate per key, however many rows a key has.
+    Each task keeps one row per key before the shuffle (WindowGroupLimit), however many a key has.
     """
     others = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*others), F.struct(*order))
-    return df.groupBy(*keys).agg(newest.alias("newest")).select(*keys, "newest.*")
+    newest = last_n_per_key(df, keys, [F.desc(c) for c in order], 1)
+    return newest.select(*keys, *others)
 
 
 def last_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
@@ -55,8 +55,10 @@ def last_n_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
 
 
 def recent_forecasts(forecasts: DataFrame, n: int = 5, store: str | None = None) -> DataFrame:
-    """The newest n forecasts per product, of one store or of all; demand as whole units."""
-    newest = [F.desc("forecast_date"), F.asc("store_id"), F.asc("model_name")]
+    """The n forecasts per product that were written last, of one store or of all; demand as
+    whole units. Of those written together, or without a time of writing, later days come first."""
+    written = [F.desc("created_at")] if "created_at" in forecasts.columns else []
+    newest = [*written, F.desc("forecast_date"), F.asc("store_id"), F.asc("model_name")]
     return last_n_per_key(only(forecasts, store), ["product_id"], newest, n).withColumn(
         "predicted_demand", C.demand_units(F.col("predicted_demand"))
     )
@@ -66,11 +68,16 @@ def with_default(
     df: DataFrame, inventory: DataFrame, default: int, name: str = "current_inventory"
 ) -> DataFrame:
     """Adds the stock on record for (product_id, store_id), or ``default``."""
+    return with_defaults(df, inventory, **{name: default})
+
+
+def with_defaults(df: DataFrame, inventory: DataFrame, **defaults: int) -> DataFrame:
+    """Adds the stock on record under each name, with that name's default where there is none."""
     keys = ["product_id", "store_id"]
-    level = F.coalesce(F.col("inventory_level").cast("long"), F.lit(default).cast("long"))
-    return df.join(inventory.select(*keys, "inventory_level"), keys, "left").withColumn(name, level).drop(
-        "inventory_level"
-    )
+    level = F.col("inventory_level").cast("long")
+    joined = df.join(inventory.select(*keys, "inventory_level"), keys, "left")
+    filled = {name: F.coalesce(level, F.lit(n).cast("long")) for name, n in defaults.items()}
+    return joined.withColumns(filled).drop("inventory_level")
 
 
 def with_region(df: DataFrame, regions: DataFrame) -> DataFrame:
@@ -102,10 +109,13 @@ def validate_requests(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFram
 
 
 def admit(
-    df: DataFrame, rules: Mapping[str, str], catalog: DataFrame
+    df: DataFrame, rules: Mapping[str, str], catalog: DataFrame, more: Mapping[str, Column] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Rules and catalog in one go: accepted requests with the catalog's columns as
-    ``catalog_*``, and rejects with reasons; accepted and rejects add up to the input."""
+    ``catalog_*``, and rejects with reasons; accepted and rejects add up to the input.
+
+    ``more`` names conditions over requests and catalog columns, for rows that pass the rest.
+    """
     found = catalog.select(
         F.col("product_id").alias("catalog_id"),
         *[F.col(c).alias(f"catalog_{c}") for c in catalog.columns if c != "product_id"],
@@ -119,23 +129,34 @@ def admit(
             )
         ),
     )
+    for name, test in (more or {}).items():
+        failed = (F.size("reasons") == 0) & ~F.coalesce(test, F.lit(False))
+        judged = judged.withColumn("reasons", F.when(failed, F.array(F.lit(name))).otherwise(F.col("reasons")))
     extra = [c for c in found.columns if c != "catalog_id"]
     accepted = judged.filter(F.size("reasons") == 0).select(*df.columns, *extra)
     rejects = judged.filter(F.size("reasons") > 0).select(*df.columns, "reasons")
     return accepted, rejects
 
 
+def _sale_revenue() -> Column:
+    discount = F.coalesce(F.col("discount"), F.lit(0.0))
+    return F.bround(C.net_revenue(F.col("units_sold"), F.col("catalog_unit_price"), discount), 2)
+
+
+def admit_sales(df: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``admit`` by the rules for sales; a revenue that the sales table cannot hold is a reason too."""
+    fits = _sale_revenue().try_cast("decimal(12,2)").isNotNull()
+    return admit(df, R.SALE_RULES, catalog, {"revenue": fits})
+
+
 def price_sales(accepted: DataFrame) -> DataFrame:
     """Accepted sale requests as rows of the sales table, revenue from the catalog price."""
-    revenue = C.net_revenue(
-        F.col("units_sold"), F.col("catalog_unit_price"), F.coalesce(F.col("discount"), F.lit(0.0))
-    )
     kept = [c for c in accepted.columns if not c.startswith("catalog_")]
     return accepted.select(
         *[c for c in kept if c not in ("discount", "promotion")],
         F.coalesce("discount", F.lit(0.0)).cast("decimal(5,2)").alias("discount"),
         F.coalesce("promotion", F.lit(0)).alias("promotion"),
-        F.bround(revenue, 2).cast("decimal(12,2)").alias("revenue"),
+        _sale_revenue().cast("decimal(12,2)").alias("revenue"),
     )
 
 

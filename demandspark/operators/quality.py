@@ -141,14 +141,17 @@ def _first_failure() -> Column:
 
 
 def judge_rows(raw: DataFrame) -> DataFrame:
-    """The distinct rows of the feed with their ``copies`` and the step they ``failed``."""
+    """The distinct rows of the feed with their ``copies`` and the step they ``failed``; NaN
+    counts as missing."""
+    floats = [name for name, kind in raw.dtypes if kind in ("double", "float")]
+    raw = raw.withColumns({name: C.nan_to_null(F.col(name)) for name in floats})
     return _copies(raw, schemas.RAW_SALES.names).withColumn("failed", _first_failure())
 
 
 def cleaning_waterfall(judged: DataFrame, outlier_k: float = 3.0) -> DataFrame:
     """The cleaning counters as (step, metric, value) rows, from the result of judge_rows."""
     kept = F.col("failed").isNull()
-    nulls = ["Unit_Price", "Discount", "Inventory_Level"]
+    nulls = schemas.RAW_SALES.names
     wide = judged.agg(
         F.sum("copies").alias("initial_rows"),
         F.sum(F.col("copies") - 1).alias("duplicates_removed"),
@@ -232,7 +235,7 @@ def enforce_types(df: DataFrame) -> DataFrame:
             "Discount": C.half_even(F.col("Discount")),
             "Promotion": F.col("Promotion").cast("int"),
             "Holiday": F.col("Holiday").cast("int"),
-            "Inventory_Level": C.at_least_zero(F.col("Inventory_Level")).cast("long"),
+            "Inventory_Level": C.at_least_zero(F.col("Inventory_Level")).try_cast("long"),
         }
     )
 

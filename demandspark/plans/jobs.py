@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from demandspark.operators import evaluate as E
 from demandspark.operators import features, forecast
 from demandspark.operators.inventory import risk_job
+from demandspark.operators.lookup import missing_forecasts
 from demandspark.sources.models import save_forecaster
 from demandspark.sources.staging import stage
 from demandspark.sources.tables import append_forecasts, append_risks, save_leaderboard
@@ -49,18 +50,34 @@ def train_and_rank(
 
 def decide_and_record(
     model, requests, history, catalog, regions, inventory, model_name: str,
-    forecast_path: str, risk_path: str, lead: int = 1,
+    forecast_path: str, risk_path: str, lead: int = 1, run: str | None = None,
 ):
     """Score requests, append the forecasts, decide stock from them, append the decisions.
 
-    Scores are written before they are used again, so forecasts and decisions agree.
+    Scores are written before they are used again, so forecasts and decisions agree. A job
+    repeated under the same ``run`` replaces what it wrote before.
     Returns (decisions, rejects).
     """
     forecasts, rejects = forecast.score_requests(
         model, requests, history, catalog, regions, model_name
     )
     forecasts = stage(forecasts, "forecasts")
-    append_forecasts(forecasts, forecast_path)
+    append_forecasts(forecasts, forecast_path, run)
     decisions = stage(risk_job(forecasts, inventory, lead), "decisions")
-    append_risks(decisions, risk_path)
+    append_risks(decisions, risk_path, run)
     return decisions, rejects
+
+
+def forecast_missing(
+    model, catalog, forecasts, history, regions, model_name: str, store: str, day: str,
+    forecast_path: str | None = None, run: str | None = None,
+) -> DataFrame:
+    """Forecasts for the products of the catalog that have none yet, for one store and day;
+    appended to the table of forecasts if a path is given."""
+    missing = missing_forecasts(catalog, forecasts)
+    requests = forecast.requests_for_missing(missing, store, day)
+    made, _ = forecast.score_requests(model, requests, history, catalog, regions, model_name)
+    made = stage(made, "forecasts")
+    if forecast_path:
+        append_forecasts(made, forecast_path, run)
+    return made

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,18 +31,12 @@ def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(B.panel(spark, sf_dir), "panel")
 
 
-# The categories of the driver's parts with daily ranges and risk thresholds.
-DEMAND_BOUNDS = {
-    "ECONOMY": (2, 12), "LARGE": (15, 60), "MEDIUM": (5, 25),
-    "PROMO": (3, 18), "SMALL": (8, 35), "STANDARD": (1, 4),
-}
-THRESHOLDS = {
-    "ECONOMY": (50, 25), "LARGE": (120, 60), "MEDIUM": (80, 40),
-    "PROMO": (60, 30), "SMALL": (90, 45), "STANDARD": (70, 35),
-}
-# Small model settings: these queries show that fitting runs, not how well it can do.
-SMALL_FOREST = {"numTrees": 5, "maxDepth": 5}
-SMALL_BOOST = {"maxIter": 5, "maxDepth": 3}
+# The driver's part types stand for the categories of the fixed tables; STANDARD has no counterpart.
+CATEGORIES = dict(zip(["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL"], schemas.RISK_THRESHOLDS, strict=True))
+
+
+def _by_part_type(values):
+    return {part_type: values[category] for part_type, category in CATEGORIES.items()}
 
 
 # --- profiling and cleaning -------------------------------------------------------------------
@@ -131,11 +128,9 @@ def feature_columns(spark, sf_dir):
 
 
 def serving_features(spark, sf_dir):
+    daily = stored_panel(spark, sf_dir)
     return features.serving_features(
-        B.score_requests(spark, sf_dir),
-        B.panel(spark, sf_dir),
-        B.products(spark, sf_dir),
-        B.stores(spark, sf_dir),
+        B.score_requests(spark, sf_dir), daily, B.products(daily), B.stores(spark, sf_dir)
     )
 
 
@@ -173,20 +168,23 @@ def box_stats(spark, sf_dir):
 
 
 def r1_monthly_category(spark, sf_dir):
-    return reports.monthly_category(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
+    daily = stored_panel(spark, sf_dir)
+    return reports.monthly_category(B.sales(daily), B.products(daily))
 
 
 def r2_top3_per_store(spark, sf_dir):
-    return reports.top_n_per_store(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
+    daily = stored_panel(spark, sf_dir)
+    return reports.top_n_per_store(B.sales(daily), B.products(daily))
 
 
 def r3_stockout(spark, sf_dir):
     daily = stored_panel(spark, sf_dir)
-    return reports.stockout_report(B.inventory(daily), B.products(spark, sf_dir), B.sales(daily))
+    return reports.stockout_report(B.inventory(daily), B.products(daily), B.sales(daily))
 
 
 def r4_promo_elasticity(spark, sf_dir):
-    return reports.promo_elasticity(B.sales(B.panel(spark, sf_dir)), B.products(spark, sf_dir))
+    daily = stored_panel(spark, sf_dir)
+    return reports.promo_elasticity(B.sales(daily), B.products(daily))
 
 
 def r5_forecast_accuracy(spark, sf_dir):
@@ -206,20 +204,41 @@ def sales_page(spark, sf_dir):
     return _plain_sales(lookup.sales_page(B.sales(B.panel(spark, sf_dir)), limit=50, offset=20))
 
 
+def sales_page_of_store(spark, sf_dir):
+    page = lookup.sales_page(B.sales(B.panel(spark, sf_dir)), store="S03", product="P112", limit=50, offset=5)
+    return _plain_sales(page)
+
+
 def inventory_listing(spark, sf_dir):
     return lookup.only(B.inventory(B.panel(spark, sf_dir)))
 
 
+def inventory_of_store(spark, sf_dir):
+    return lookup.only(B.inventory(B.panel(spark, sf_dir)), store="S05")
+
+
+def inventory_of_product(spark, sf_dir):
+    return lookup.only(B.inventory(B.panel(spark, sf_dir)), product="P120")
+
+
+def product_by_id(spark, sf_dir):
+    catalog = lookup.only(B.products(B.panel(spark, sf_dir)), product="P131")
+    return catalog.withColumn("unit_price", F.col("unit_price").cast("double"))
+
+
 def product_listing(spark, sf_dir):
-    catalog = lookup.only(B.products(spark, sf_dir))
+    catalog = lookup.only(B.products(B.panel(spark, sf_dir)))
     return catalog.withColumn("unit_price", F.col("unit_price").cast("double"))
 
 
 def stock_lookup(spark, sf_dir):
     requests = B.reorder_requests(spark, sf_dir).select("request_id", "product_id", "store_id")
-    stock = B.inventory(B.panel(spark, sf_dir))
-    for_risk = lookup.with_default(requests, stock, schemas.DEFAULT_STOCK_FOR_RISK, "stock_for_risk")
-    return lookup.with_default(for_risk, stock, schemas.DEFAULT_STOCK_FOR_REORDER, "stock_for_reorder")
+    return lookup.with_defaults(
+        requests,
+        B.inventory(B.panel(spark, sf_dir)),
+        stock_for_risk=schemas.DEFAULT_STOCK_FOR_RISK,
+        stock_for_reorder=schemas.DEFAULT_STOCK_FOR_REORDER,
+    )
 
 
 def stock_for_keys(spark, sf_dir):
@@ -237,13 +256,12 @@ def region_lookup_known(spark, sf_dir):
     return lookup.with_region(requests, lookup.default_regions(spark))
 
 
-def _risk_history(spark, sf_dir):
-    daily = stored_panel(spark, sf_dir)
+def _risk_history(daily):
     return inventory.risk_job(B.forecasts(daily), B.inventory(daily), keep=["forecast_date"])
 
 
 def latest_risk(spark, sf_dir):
-    risks = _risk_history(spark, sf_dir).withColumnRenamed("forecast_date", "created_on")
+    risks = _risk_history(stored_panel(spark, sf_dir)).withColumnRenamed("forecast_date", "created_on")
     return lookup.latest_per_key(risks, ["product_id"], ["created_on", "store_id"])
 
 
@@ -251,14 +269,28 @@ def recent_forecasts(spark, sf_dir):
     return lookup.recent_forecasts(B.forecasts(stored_panel(spark, sf_dir)))
 
 
+def recent_store_forecasts(spark, sf_dir):
+    return lookup.recent_forecasts(B.forecasts(stored_panel(spark, sf_dir)), n=3, store="S07")
+
+
 def missing_forecasts(spark, sf_dir):
-    catalog = _catalog_after_import(spark, sf_dir)
-    return lookup.missing_forecasts(catalog, B.forecasts(stored_panel(spark, sf_dir))).select("product_id", "product_name")
+    daily = stored_panel(spark, sf_dir)
+    return lookup.missing_forecasts(_catalog_after_import(spark, sf_dir, daily), B.forecasts(daily)).select("product_id", "product_name")
+
+
+def forecast_missing(spark, sf_dir):
+    """Products that came with an import and have no forecast get one."""
+    daily = stored_panel(spark, sf_dir)
+    catalog = _catalog_after_import(spark, sf_dir, daily)
+    forecasts, regions = B.forecasts(daily), B.stores(spark, sf_dir)
+    return jobs.forecast_missing(
+        None, catalog, forecasts, daily, regions, schemas.MOVING_AVERAGE, "S03", "2002-01-07"
+    )
 
 
 def existence_rejects(spark, sf_dir):
     requests = B.sale_requests(spark, sf_dir)
-    _, rejects = lookup.check_exists(requests, B.products(spark, sf_dir))
+    _, rejects = lookup.check_exists(requests, B.products(B.panel(spark, sf_dir)))
     return rejects.select("order_key", "line_number", "date", "store_id", "product_id", "units_sold")
 
 
@@ -268,7 +300,7 @@ def request_rejects(spark, sf_dir):
 
 
 def sale_intake(spark, sf_dir):
-    accepted, _ = lookup.admit(B.sale_requests(spark, sf_dir), R.SALE_RULES, B.products(spark, sf_dir))
+    accepted, _ = lookup.admit_sales(B.sale_requests(spark, sf_dir), B.products(B.panel(spark, sf_dir)))
     return _plain_sales(lookup.price_sales(accepted))
 
 
@@ -279,7 +311,8 @@ def _plain_sales(sales: DataFrame) -> DataFrame:
 
 
 def constraint_audit(spark, sf_dir):
-    raw = stage(B.dirty(spark, sf_dir), "raw-feed")
+    daily = stored_panel(spark, sf_dir)
+    raw = stage(B.spoil(daily), "raw-feed")
     unclean_sales = raw.select(
         C.parse_day(F.col("Date")).alias("date"),
         F.col("Store_ID").alias("store_id"),
@@ -296,11 +329,11 @@ def constraint_audit(spark, sf_dir):
     )
     return lookup.constraint_audit(
         {
-            "products": B.products(spark, sf_dir),
+            "products": B.products(daily),
             "sales": unclean_sales,
             "inventory": unclean_stock,
-            "forecasts": B.forecasts(stored_panel(spark, sf_dir)),
-            "inventory_risk": _risk_history(spark, sf_dir),
+            "forecasts": B.forecasts(daily),
+            "inventory_risk": _risk_history(daily),
         }
     )
 
@@ -311,14 +344,14 @@ def orphan_audit(spark, sf_dir):
         "score_requests": B.score_requests(spark, sf_dir),
         "reorder_requests": B.reorder_requests(spark, sf_dir),
     }
-    return lookup.orphan_audit(children, B.products(spark, sf_dir))
+    return lookup.orphan_audit(children, B.products(B.panel(spark, sf_dir)))
 
 
 def table_counts(spark, sf_dir):
     daily = stored_panel(spark, sf_dir)
     return tables.table_counts(
         {
-            "products": B.products(spark, sf_dir),
+            "products": B.products(daily),
             "sales": B.sales(daily),
             "inventory": B.inventory(daily),
             "forecasts": B.forecasts(daily),
@@ -364,28 +397,65 @@ def prediction_pivot(spark, sf_dir):
     return E.wide_predictions(_test_predictions(spark, sf_dir), columns, n=None)
 
 
-def _fit(spark, sf_dir, kind, params):
-    table = stage(features.build_features(stored_panel(spark, sf_dir)), "features")
+def _train_and_test(daily):
+    table = stage(features.build_features(daily), "features")
     start = forecast.split_date(table).first().split_date
-    models = forecast.fit_models(table.filter(F.col("Date") < start), [kind], {kind: params})
-    return models, table.filter(F.col("Date") >= start)
+    return table.filter(F.col("Date") < start), table.filter(F.col("Date") >= start)
 
 
-def _learned(kind, params) -> Query:
+def _learned(kind) -> Query:
     def query(spark, sf_dir):
-        models, test = _fit(spark, sf_dir, kind, params)
-        return forecast.model_predictions(models, test)
+        train, test = _train_and_test(stored_panel(spark, sf_dir))
+        return forecast.model_predictions(forecast.fit_models(train, [kind]), test)
 
     return query
 
 
+def linear_on_lag(spark, sf_dir):
+    """Slope and intercept of the linear model on one column."""
+    table = features.add_history(stored_panel(spark, sf_dir))
+    vectors = VectorAssembler(inputCols=["Lag_1"], outputCol="features").transform(table)
+    model = forecast.regressor(schemas.LINEAR).fit(vectors.withColumn(schemas.TARGET, F.col(schemas.TARGET).cast("double")))
+    rows = [(round(float(model.coefficients[0]), 6), round(float(model.intercept), 4))]
+    return spark.createDataFrame(rows, "slope double, intercept double")
+
+
+def stump_on_promotion(spark, sf_dir):
+    """A forest of one tree with one split on a flag predicts the mean of each side."""
+    daily = stored_panel(spark, sf_dir)
+    vectors = VectorAssembler(inputCols=["Promotion"], outputCol="features").transform(daily)
+    vectors = vectors.withColumn(schemas.TARGET, F.col(schemas.TARGET).cast("double"))
+    stump = forecast.regressor(schemas.FOREST, numTrees=1, maxDepth=1, bootstrap=False).fit(vectors)
+    flags = daily.select("Promotion").distinct()
+    scored = stump.transform(VectorAssembler(inputCols=["Promotion"], outputCol="features").transform(flags))
+    return scored.select("Promotion", F.bround("raw_prediction", 6).alias("mean_units"))
+
+
+def encoded_totals(spark, sf_dir):
+    """What one-hot encoding and scaling give: a count per store, and mean and deviation per number."""
+    table = features.build_features(stored_panel(spark, sf_dir))
+    fitted = Pipeline(stages=forecast.preprocessor_stages()).fit(table)
+    indexer, scaler = fitted.stages[0], fitted.stages[3]
+    hot = vector_to_array(F.col("Store_ID_hot"))
+    encoded = fitted.transform(table).select(F.posexplode(hot).alias("i", "one")).groupBy("i").agg(F.sum("one").alias("value"))
+    names = F.array(*[F.lit(x) for x in indexer.labelsArray[0]])
+    counts = encoded.select(F.concat(F.lit("rows "), F.get(names, F.col("i"))).alias("name"), "value")
+    rows = [
+        (f"{what} {name}", round(float(x), 4))
+        for what, vector in (("mean", scaler.mean), ("deviation", scaler.std))
+        for name, x in zip(schemas.NUMERICAL_FEATURES, vector, strict=True)
+    ]
+    return counts.unionByName(spark.createDataFrame(rows, "name string, value double"))
+
+
 def batch_scoring(spark, sf_dir):
-    models, _ = _fit(spark, sf_dir, schemas.LINEAR, {})
+    daily = stored_panel(spark, sf_dir)
+    models = forecast.fit_models(_train_and_test(daily)[0], [schemas.LINEAR])
     forecasts, _ = forecast.score_requests(
         models[schemas.LINEAR],
         B.score_requests(spark, sf_dir),
-        B.panel(spark, sf_dir),
-        B.products(spark, sf_dir),
+        daily,
+        B.products(daily),
         B.stores(spark, sf_dir),
         schemas.LINEAR,
     )
@@ -393,11 +463,12 @@ def batch_scoring(spark, sf_dir):
 
 
 def batch_scoring_baseline(spark, sf_dir):
+    daily = stored_panel(spark, sf_dir)
     forecasts, _ = forecast.score_requests(
         None,
         B.score_requests(spark, sf_dir),
-        B.panel(spark, sf_dir),
-        B.products(spark, sf_dir),
+        daily,
+        B.products(daily),
         B.stores(spark, sf_dir),
         schemas.MOVING_AVERAGE,
     )
@@ -405,7 +476,8 @@ def batch_scoring_baseline(spark, sf_dir):
 
 
 def scoring_rejects(spark, sf_dir):
-    _, rejects = lookup.admit(B.score_requests(spark, sf_dir), R.SCORE_RULES, B.products(spark, sf_dir))
+    catalog = B.products(B.panel(spark, sf_dir))
+    _, rejects = lookup.admit(B.score_requests(spark, sf_dir), R.SCORE_RULES, catalog)
     return rejects.select("request_id", "product_id", F.concat_ws(",", "reasons").alias("reasons"))
 
 
@@ -455,7 +527,7 @@ def risk_job(spark, sf_dir):
 
 
 def risk_breakdown(spark, sf_dir):
-    return inventory.risk_breakdown(_risk_history(spark, sf_dir))
+    return inventory.risk_breakdown(_risk_history(stored_panel(spark, sf_dir)))
 
 
 def category_risk(spark, sf_dir):
@@ -466,32 +538,48 @@ def category_risk(spark, sf_dir):
     table = (
         B.inventory(daily)
         .join(demand, ["product_id", "store_id"])
-        .join(B.products(spark, sf_dir).select("product_id", "category"), "product_id")
+        .join(B.products(daily).select("product_id", "category"), "product_id")
     )
-    return inventory.category_risk(table, THRESHOLDS)
+    return inventory.category_risk(table, _by_part_type(schemas.RISK_THRESHOLDS))
 
 
 def category_forecast(spark, sf_dir):
-    pairs = B.inventory(B.panel(spark, sf_dir)).select("product_id", "store_id")
-    catalog = B.products(spark, sf_dir).select("product_id", "category")
-    return inventory.category_forecast(catalog, pairs, DEMAND_BOUNDS)
+    daily = stored_panel(spark, sf_dir)
+    pairs = B.inventory(daily).select("product_id", "store_id")
+    catalog = B.products(daily).select("product_id", "category")
+    return inventory.category_forecast(catalog, pairs, _by_part_type(schemas.CATEGORY_DEMAND))
 
 
 # --- changing tables --------------------------------------------------------------------------
 
 
-def _accepted_reorders(spark, sf_dir):
-    accepted, _ = lookup.admit(B.reorder_requests(spark, sf_dir), R.REORDER_RULES, B.products(spark, sf_dir))
-    return accepted
+def _stock_and_reorders(spark, sf_dir):
+    daily = stored_panel(spark, sf_dir)
+    accepted, _ = lookup.admit(B.reorder_requests(spark, sf_dir), R.REORDER_RULES, B.products(daily))
+    return B.inventory(daily), accepted
 
 
 def reorder_receipts(spark, sf_dir):
-    _, receipts = replenish.apply_reorders(B.inventory(B.panel(spark, sf_dir)), _accepted_reorders(spark, sf_dir))
+    _, receipts = replenish.apply_reorders(*_stock_and_reorders(spark, sf_dir))
     return receipts
 
 
+def reorder_ledger(spark, sf_dir):
+    """A receipt per request, with the balance before and after it."""
+    return replenish.reorder_ledger(*_stock_and_reorders(spark, sf_dir), order="request_id")
+
+
 def reorder_inventory(spark, sf_dir):
-    after, _ = replenish.apply_reorders(B.inventory(B.panel(spark, sf_dir)), _accepted_reorders(spark, sf_dir))
+    after, _ = replenish.apply_reorders(*_stock_and_reorders(spark, sf_dir))
+    return after
+
+
+def stamped_stock(spark, sf_dir):
+    """The stock after the reorders; only pairs that changed carry the new time."""
+    stock, accepted = _stock_and_reorders(spark, sf_dir)
+    stock = stock.withColumn("updated_at", F.lit("2001-01-01").cast("timestamp_ntz"))
+    stamp = F.lit("2002-02-02").cast("timestamp_ntz")
+    after, _ = replenish.apply_reorders(stock, accepted, stamp)
     return after
 
 
@@ -505,7 +593,7 @@ def inventory_upsert(spark, sf_dir):
     )
 
 
-def _catalog_after_import(spark, sf_dir):
+def _catalog_after_import(spark, sf_dir, daily):
     changes = (
         B.score_requests(spark, sf_dir)
         .filter(F.col("unit_price") > 0)
@@ -517,11 +605,12 @@ def _catalog_after_import(spark, sf_dir):
             F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
         )
     )
-    return replenish.upsert(B.products(spark, sf_dir), changes, ["product_id"], order=["request_id"])
+    return replenish.upsert(B.products(daily), changes, ["product_id"], order=["request_id"])
 
 
 def catalog_upsert(spark, sf_dir):
-    return _catalog_after_import(spark, sf_dir).withColumn("unit_price", F.col("unit_price").cast("double"))
+    catalog = _catalog_after_import(spark, sf_dir, B.panel(spark, sf_dir))
+    return catalog.withColumn("unit_price", F.col("unit_price").cast("double"))
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -529,7 +618,7 @@ def catalog_upsert(spark, sf_dir):
 
 def stream_sales(spark, sf_dir):
     out = new_folder(spark, "stream-sales")
-    catalog = stage(B.products(spark, sf_dir), "catalog")
+    catalog = stage(B.products(B.panel(spark, sf_dir)), "catalog")
     requests = B.sale_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "lineitem"))
     ingest.start_sales_stream(requests, catalog, out, f"{out}/checkpoint").awaitTermination()
     return _plain_sales(spark.read.parquet(f"{out}/sales").drop("batch"))
@@ -537,7 +626,7 @@ def stream_sales(spark, sf_dir):
 
 def stream_sales_rejects(spark, sf_dir):
     out = new_folder(spark, "stream-sales")
-    catalog = stage(B.products(spark, sf_dir), "catalog")
+    catalog = stage(B.products(B.panel(spark, sf_dir)), "catalog")
     requests = B.sale_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "lineitem"))
     ingest.start_sales_stream(requests, catalog, out, f"{out}/checkpoint").awaitTermination()
     rejects = spark.read.parquet(f"{out}/rejects").drop("batch")
@@ -546,8 +635,9 @@ def stream_sales_rejects(spark, sf_dir):
 
 def stream_reorders(spark, sf_dir):
     out = new_folder(spark, "stream-reorders")
-    catalog = stage(B.products(spark, sf_dir), "catalog")
-    tables.write_version(B.inventory(B.panel(spark, sf_dir)), f"{out}/inventory", 0)
+    daily = stored_panel(spark, sf_dir)
+    catalog = stage(B.products(daily), "catalog")
+    tables.write_version(B.inventory(daily), f"{out}/inventory", 0)
     requests = B.reorder_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "orders"))
     ingest.start_reorder_stream(
         requests, catalog, f"{out}/inventory", out, f"{out}/checkpoint"
@@ -598,7 +688,11 @@ QUERIES: dict[str, Query] = {
     "r5_forecast_accuracy": r5_forecast_accuracy,
     "forecast_errors": forecast_errors,
     "sales_page": sales_page,
+    "sales_page_of_store": sales_page_of_store,
     "inventory_listing": inventory_listing,
+    "inventory_of_store": inventory_of_store,
+    "inventory_of_product": inventory_of_product,
+    "product_by_id": product_by_id,
     "product_listing": product_listing,
     "stock_lookup": stock_lookup,
     "stock_for_keys": stock_for_keys,
@@ -606,7 +700,9 @@ QUERIES: dict[str, Query] = {
     "region_lookup_known": region_lookup_known,
     "latest_risk": latest_risk,
     "recent_forecasts": recent_forecasts,
+    "recent_store_forecasts": recent_store_forecasts,
     "missing_forecasts": missing_forecasts,
+    "forecast_missing": forecast_missing,
     "existence_rejects": existence_rejects,
     "request_rejects": request_rejects,
     "sale_intake": sale_intake,
@@ -618,9 +714,12 @@ QUERIES: dict[str, Query] = {
     "moving_average_forecast": moving_average_forecast,
     "best_baseline": best_baseline,
     "prediction_pivot": prediction_pivot,
-    "linear_forecast": _learned(schemas.LINEAR, {}),
-    "forest_forecast": _learned(schemas.FOREST, SMALL_FOREST),
-    "boosted_forecast": _learned(schemas.BOOSTED, SMALL_BOOST),
+    "linear_forecast": _learned(schemas.LINEAR),
+    "forest_forecast": _learned(schemas.FOREST),
+    "boosted_forecast": _learned(schemas.BOOSTED),
+    "linear_on_lag": linear_on_lag,
+    "stump_on_promotion": stump_on_promotion,
+    "encoded_totals": encoded_totals,
     "batch_scoring": batch_scoring,
     "batch_scoring_baseline": batch_scoring_baseline,
     "scoring_rejects": scoring_rejects,
@@ -632,7 +731,9 @@ QUERIES: dict[str, Query] = {
     "category_risk": category_risk,
     "category_forecast": category_forecast,
     "reorder_receipts": reorder_receipts,
+    "reorder_ledger": reorder_ledger,
     "reorder_inventory": reorder_inventory,
+    "stamped_stock": stamped_stock,
     "inventory_upsert": inventory_upsert,
     "catalog_upsert": catalog_upsert,
     "stream_sales": stream_sales,

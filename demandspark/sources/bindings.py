@@ -158,14 +158,18 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel as a raw feed: text dates, gaps, bad values and copied rows."""
+    return spoil(panel(spark, sf_dir))
+
+
+def spoil(daily: DataFrame) -> DataFrame:
+    """A panel as a raw feed: text dates, gaps, bad values and copied rows."""
     h = (
         F.col("Units_Sold") * 7
         + F.col("Inventory_Level") * 13
         + F.substring("Product_ID", 2, 3).cast("int") * 17
         + F.dayofmonth("Date")
     )
-    marked = panel(spark, sf_dir).withColumn("h", h)
+    marked = daily.withColumn("h", h)
     spoiled = marked.select(
         F.when(F.col("h") % 1009 == 1, "not-a-date").otherwise(F.col("Date").cast("string")).alias("Date"),
         F.when(F.col("h") % 911 == 2, "INVALID").otherwise(F.col("Store_ID")).alias("Store_ID"),
@@ -186,20 +190,14 @@ def dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spoiled.withColumn("copy", copies).select(*schemas.RAW_SALES.names)
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    number = _product_number(F.col("p_type"), F.col("bucket"))
-    return (
-        _lines(spark, sf_dir)
-        .groupBy("p_type", number.alias("number"))
-        .agg(F.max("price").alias("unit_price"))
-        .withColumn("product_id", _product_id(F.col("number")))
-        .select(
-            "product_id",
-            F.concat("p_type", F.lit(" item "), "product_id").alias("product_name"),
-            F.col("p_type").alias("category"),
-            "unit_price",
-        )
-    )
+def products(daily: DataFrame) -> DataFrame:
+    """The catalog of a panel: its products with the highest price each has had."""
+    name = F.concat("Product_Category", F.lit(" item "), "Product_ID")
+    return daily.groupBy(
+        F.col("Product_ID").alias("product_id"),
+        name.alias("product_name"),
+        F.col("Product_Category").alias("category"),
+    ).agg(F.max("Unit_Price").cast("decimal(10,2)").alias("unit_price"))
 
 
 def sales(daily: DataFrame) -> DataFrame:
@@ -232,7 +230,7 @@ def sale_requests(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None =
         F.col("l_linenumber").alias("line_number"),
         F.col("Date").alias("date"),
         F.col("Store_ID").alias("store_id"),
-        F.when(key % 53 == 0, F.lit("P9999_DOES_NOT_EXIST")).otherwise(F.col("Product_ID")).alias("product_id"),
+        F.when(key % 53 == 0, F.lit("P9999")).otherwise(F.col("Product_ID")).alias("product_id"),
         F.when(key % 41 == 0, -F.col("units")).otherwise(F.col("units")).alias("units_sold"),
         F.when(key % 61 != 0, F.when(key % 67 == 0, F.lit(120.0)).otherwise(F.col("disc").cast("double"))).alias("discount"),
         F.when(key % 71 == 0, F.lit(2)).otherwise((F.col("disc") >= 8).cast("int")).alias("promotion"),
@@ -278,15 +276,17 @@ def reorder_requests(spark: SparkSession, sf_dir: str, orders: DataFrame | None
 
 
 def forecasts(daily: DataFrame) -> DataFrame:
-    """Naive predictions for the recent days of a panel, as rows of the forecast table."""
+    """Naive predictions for all days of a panel that have a day before, as rows of the forecast
+    table. They are written up to six days ahead, so that the last written is not the last day."""
     return (
         add_past(daily, lags=(1,), windows=())
-        .filter(F.col("Lag_1").isNotNull() & (F.col("Date") >= F.lit("2000-01-01").cast("date")))
+        .filter(F.col("Lag_1").isNotNull())
         .select(
             F.col("Product_ID").alias("product_id"),
             F.col("Store_ID").alias("store_id"),
             F.col("Date").alias("forecast_date"),
             F.col("Lag_1").cast("decimal(10,2)").alias("predicted_demand"),
             F.lit(schemas.NAIVE).alias("model_name"),
+            F.date_sub("Date", F.dayofmonth("Date") % 7).cast("timestamp_ntz").alias("created_at"),
         )
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -12,33 +14,64 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; a cluster must name a folder that every
-    executor can reach.
+    Only a session that runs in this one process may go without it, and then uses a folder that
+    goes with the process; a cluster must name one that every executor can reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return _local_folder()
+    return _own_folder()
 
 
 @cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="demandspark-")
+def _own_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="demandspark-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{shared_folder(spark)}/demandspark/{spark.sparkContext.applicationId}"
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A path nobody has used yet below the shared folder."""
-    return f"{shared_folder(spark)}/demandspark/{name}-{uuid.uuid4().hex}"
+    """A path nobody has used yet below the application's part of the shared folder."""
+    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 
     Cuts the lineage: an executor lost later re-reads files instead of recomputing, and
-    several consumers do not recompute the input.
+    several consumers do not recompute the input. The table stays until ``clear``, since
+    results that are not computed yet may read it.
     """
     path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove all that this application has staged; call it when its results are written."""
+    remove(spark, work_folder(spark))
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, wherever Spark can read it."""
+    system, place = _file_system(spark, path)
+    return [x.getPath().getName() for x in system.listStatus(place) if x.isDirectory()]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder and what is in it."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from demandspark import schemas
 from demandspark.functions import columns as C
+from demandspark.sources.staging import folders, remove
 
 
 def read_sales(spark: SparkSession, path: str, file_format: str = "csv", **options) -> DataFrame:
@@ -84,16 +85,24 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def append_forecasts(forecasts: DataFrame, path: str) -> None:
+def _append_run(df: DataFrame, schema: StructType, path: str, run: str | None) -> None:
+    """Append stamped rows. With ``run`` they go to a folder of that name, which the same run
+    overwrites when it is repeated; do not mix both ways in one table."""
+    stamped = conform(df.withColumn("created_at", F.current_timestamp()), schema)
+    if run is None:
+        write_table(stamped, path, mode="append")
+    else:
+        write_table(stamped, f"{path}/run={run}")
+
+
+def append_forecasts(forecasts: DataFrame, path: str, run: str | None = None) -> None:
     """Append a batch of forecasts, stamped with the time of writing."""
-    stamped = forecasts.withColumn("created_at", F.current_timestamp())
-    write_table(conform(stamped, schemas.FORECASTS), path, mode="append")
+    _append_run(forecasts, schemas.FORECASTS, path, run)
 
 
-def append_risks(decisions: DataFrame, path: str) -> None:
+def append_risks(decisions: DataFrame, path: str, run: str | None = None) -> None:
     """Append a batch of risk decisions, stamped with the time of writing."""
-    stamped = decisions.withColumn("created_at", F.current_timestamp())
-    write_table(conform(stamped, schemas.INVENTORY_RISK), path, mode="append")
+    _append_run(decisions, schemas.INVENTORY_RISK, path, run)
 
 
 def append_sales(sales: DataFrame, path: str) -> None:
@@ -121,10 +130,20 @@ def write_version(df: DataFrame, root: str, version: int) -> None:
     write_table(df, f"{root}/version={version}")
 
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    """The versions there are, from the names of their folders."""
+    names = [name.split("=") for name in folders(spark, root)]
+    return sorted(int(parts[1]) for parts in names if len(parts) == 2 and parts[0] == "version")
+
+
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
     """The given version, or the newest one."""
-    table = spark.read.parquet(root)
     if version is None:
-        newest = table.select(F.max("version").alias("version")).scalar()
-        return table.filter(F.col("version") == newest).drop("version")
+        version = _versions(spark, root)[-1]
     return spark.read.parquet(f"{root}/version={version}")
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove all but the newest ``keep`` versions, two at least."""
+    for version in _versions(spark, root)[: -max(2, keep)]:
+        remove(spark, f"{root}/version={version}")

@@ -132,20 +132,33 @@ def test_rows_sharing_a_day_follow_their_units(spark):
     day = date(2025, 1, 1)
     rows = [("S01", "P101", day + timedelta(days=d), u) for d in range(12) for u in (d, 30 - d, d)]
     results = []
-    for options in ({}, {"slice_days": 4}, {"slice_rows": 5}, {"slice_rows": 1}):
+    for options in ({}, {"slice_days": 4}, {"slice_days": 1}):
         got = features.add_past(samples.panel(spark, rows), **options)
         results.append(sorted(map(str, got.select("Date", "Units_Sold", *HISTORY).collect())))
     assert all(r == results[0] for r in results)
 
 
-def test_a_crowded_series_is_split(spark):
+def test_slices_do_not_change_a_crowded_series(spark):
     rows = [("S01", "P101", date(2025, 1, 1) + timedelta(days=i % 50), i) for i in range(400)]
     rows += [("S01", "P102", date(2025, 1, 1) + timedelta(days=i), i) for i in range(20)]
-    sliced = features._sliced(samples.panel(spark, rows), slice_days=1000, slice_rows=80)
-    groups = {tuple(r)[:2]: r["count"] for r in sliced.groupBy("Product_ID", "slice").count().collect()}
-    crowded = [n for (product, _), n in groups.items() if product == "P101"]
-    assert len(crowded) >= 5 and max(crowded) <= 80 and sum(crowded) == 400
-    assert sum(product == "P102" for product, _ in groups) <= 2
+    results = []
+    for slice_days in (1000, 7, 1):
+        got = features.add_past(samples.panel(spark, rows), slice_days=slice_days)
+        results.append(sorted(map(str, got.select("Product_ID", "Date", "Units_Sold", *HISTORY).collect())))
+    assert results[0] == results[1] == results[2]
+
+
+def test_history_plan_has_no_broadcast(spark, tmp_path):
+    rows = [("S01", "P101", date(2025, 1, 1) + timedelta(days=i), i) for i in range(40)]
+    samples.panel(spark, rows).write.parquet(str(tmp_path / "panel"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        past = features.add_past(spark.read.parquet(str(tmp_path / "panel")))
+        plan = past._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastExchange" not in plan and plan.count("FileScan") == 2
 
 
 def test_serving_as_of_and_short_series(spark):

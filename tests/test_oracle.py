@@ -6,9 +6,11 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from demandspark import schemas
+from demandspark.registry.oracle import ORACLE
+from demandspark.registry.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +19,8 @@ def duck():
 
 
 def test_every_twin_belongs_to_a_query():
-    assert set(ORACLE) <= set(QUERIES)
+    assert set(ORACLE) <= set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -25,12 +28,25 @@ def test_query_equals_sql(spark, duck, name):
     assert compare.differences(QUERIES[name](spark, SF_DIR), duck, ORACLE[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_learned_query_has_rows(spark, name):
-    result = QUERIES[name](spark, SF_DIR)
-    demand = "yhat" if "yhat" in result.columns else "predicted_demand"
-    rows = result.select(demand).collect()
-    assert rows and all(r[0] is not None and r[0] >= 0 for r in rows)
+@pytest.fixture(scope="module")
+def naive_error(spark):
+    return {r.model: r.mae for r in QUERIES["leaderboard_baselines"](spark, SF_DIR).collect()}[schemas.NAIVE]
+
+
+@pytest.mark.parametrize("name", ["linear_forecast", "forest_forecast", "boosted_forecast"])
+def test_learned_query_beats_naive(spark, name, naive_error):
+    rows = QUERIES[name](spark, SF_DIR).collect()
+    keys = QUERIES["naive_forecast"](spark, SF_DIR).select(*schemas.PANEL_KEYS).collect()
+    assert sorted((r.Store_ID, r.Product_ID, r.Date) for r in rows) == sorted(map(tuple, keys))
+    assert all(r.yhat >= 0 for r in rows) and len({r.yhat for r in rows}) > 10
+    assert sum(abs(r.y - r.yhat) for r in rows) / len(rows) < naive_error
+
+
+def test_batch_scoring_has_the_accepted_requests(spark):
+    rows = QUERIES["batch_scoring"](spark, SF_DIR).collect()
+    baseline = QUERIES["batch_scoring_baseline"](spark, SF_DIR).collect()
+    assert sorted(r.request_id for r in rows) == sorted(r.request_id for r in baseline)
+    assert all(r.predicted_demand >= 0 for r in rows) and len({r.predicted_demand for r in rows}) > 3
 
 
 def test_entry(spark):
