@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 _BLOCK = 1 << 18
 _WORD_BASE = 0x9E3779B97F4A7C15
 _WINDOW_BASE = 0xD6E8FEB86659FD93

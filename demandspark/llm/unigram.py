@@ -22,6 +22,7 @@ from demandspark.llm import text as T
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
+AT_ONCE = 20_000  # stretches whose paths are searched together
 MEMO = 200_000  # distinct stretches a worker remembers; beyond it starts afresh
 
 
@@ -249,8 +250,9 @@ class Codec:
         parts = [self.stretches(t or "") for t in texts]
         if len(self.memo) > MEMO:
             self.memo, self.ids, self.count = {}, np.zeros(0, np.int32), np.zeros(0, np.int64)
-        new = list(set().union(*parts).difference(self.memo))
-        if new:
+        unseen = list(set().union(*parts).difference(self.memo))
+        for low in range(0, len(unseen), AT_ONCE):  # memory follows these, not the slice
+            new = unseen[low : low + AT_ONCE]
             ids, count = self.viterbi(new)
             self.memo.update(zip(new, range(len(self.count), len(self.count) + len(new)), strict=True))
             self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
