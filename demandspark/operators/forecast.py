@@ -5,7 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StandardScaler,
+    StringIndexer,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,7 +121,9 @@ def tree_stages() -> list:
     """
     categories, numbers = schemas.CATEGORICAL_FEATURES, schemas.NUMERICAL_FEATURES
     indexed = [f"{c}_index" for c in categories]
-    means = [f"{c}_mean" for c in categories]
+    means, levels = [f"{c}_mean" for c in categories], [f"{c}_level" for c in categories]
+    # The encoder marks its output as categories like its input; a sum is a plain number again.
+    plain = ", ".join(f"0D + {mean} AS {level}" for mean, level in zip(means, levels, strict=True))
     return [
         StringIndexer(
             inputCols=categories, outputCols=indexed, handleInvalid="keep", stringOrderType="alphabetAsc"
@@ -122,7 +131,8 @@ def tree_stages() -> list:
         TargetEncoder(
             inputCols=indexed, outputCols=means, labelCol=schemas.TARGET, targetType="continuous", handleInvalid="keep"
         ),
-        VectorAssembler(inputCols=[*means, *numbers], outputCol="features"),
+        SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"),
+        VectorAssembler(inputCols=[*levels, *numbers], outputCol="features"),
     ]
 
 
