@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.functions import columns as C
+from demandspark.operators.running import running_sum
 from demandspark.sources.staging import stage
 
 # Cleaning steps in order; a row is charged to the first step it fails.
@@ -62,12 +63,36 @@ def audit_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Count, mean, deviation, exact quartiles and range per column, in one pass.
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
+    """``column_name`` and ``q``, the exact quantiles of each column, interpolated as ``percentile`` does.
 
-    ``percentile`` counts equal values before the shuffle; what it holds grows with the
-    distinct values of a column, which for units, prices and percentages are few.
+    Equal values are counted before the shuffle. A running count over ranges of the values tells
+    where each rank lies, so no task holds a column, however many different values it has.
     """
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
+    counts = C.unfold(df, rows).filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count("*").alias("n"))
+    placed = running_sum(counts, ["column_name"], [F.col("v")], "n", "before")
+    totals = placed.groupBy("column_name").agg(F.sum("n").alias("total"))
+    placed = placed.join(totals, "column_name")
+
+    def at(rank: Column) -> Column:
+        inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
+        return F.max(F.when(inside, F.col("v")))
+
+    spots = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
+    ends = [at(f(spot)) for spot in spots for f in (F.floor, F.ceil)]
+    picked = placed.groupBy("column_name", "total").agg(F.array(*ends).alias("v"))
+
+    def between(i: int) -> Column:
+        low, high = F.get("v", F.lit(2 * i)), F.get("v", F.lit(2 * i + 1))
+        share = spots[i] - F.floor(spots[i])
+        return F.when(share == 0, low).otherwise((1 - share) * low + share * high)
+
+    return picked.select("column_name", F.array(*[between(i) for i in range(len(spots))]).alias("q"))
+
+
+def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Count, mean, deviation, exact quartiles and range per column."""
     wide = df.agg(
         *[
             F.struct(
@@ -75,13 +100,12 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
                 F.avg(name).alias("mean"),
                 F.stddev_samp(name).alias("std"),
                 F.min(name).cast("double").alias("min"),
-                F.percentile(name, [0.25, 0.5, 0.75]).alias("q"),
                 F.max(name).cast("double").alias("max"),
             ).alias(name)
             for name in columns
         ]
     )
-    return C.unfold(
+    moments = C.unfold(
         wide,
         [
             F.struct(
@@ -90,14 +114,16 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
                 F.bround(F.col(name)["mean"].cast("double"), digits).alias("mean"),
                 F.bround(F.col(name)["std"], digits).alias("std"),
                 F.col(name)["min"].alias("minimum"),
-                F.bround(F.col(name)["q"][0], digits).alias("q25"),
-                F.bround(F.col(name)["q"][1], digits).alias("q50"),
-                F.bround(F.col(name)["q"][2], digits).alias("q75"),
                 F.col(name)["max"].alias("maximum"),
             )
             for name in columns
         ],
     )
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    rounded = [F.bround(F.get("q", F.lit(i)), digits).alias(name) for i, name in enumerate(("q25", "q50", "q75"))]
+    return moments.join(quartiles, "column_name", "left").select(
+        "column_name", "value_count", "mean", "std", "minimum", *rounded, "maximum"
+    )
 
 
 def outliers_iqr(df: DataFrame, column: str, k: float = 3.0, weight: str | None = None) -> DataFrame:

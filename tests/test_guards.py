@@ -187,3 +187,15 @@ import __spark_entry__ as e
 assert "pipeline" not in e.queries() and len(e.queries()) > 80 and set(e.oracle_sql()) <= set(e.queries())
 """
     subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).parents[1])
+
+
+def test_exact_quantiles(spark):
+    rows = [(float(i * i % 97) + (0.5 if i % 3 else 0.0), None if i % 5 else i) for i in range(500)]
+    df = spark.createDataFrame(rows, "x double, y long").repartition(7)
+    probabilities = [0.0, 0.1, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r.column_name: r.q for r in quality.exact_quantiles(df, ["x", "y"], probabilities).collect()}
+    for name in ("x", "y"):
+        assert got[name] == pytest.approx(df.agg(F.percentile(name, probabilities)).first()[0], abs=1e-12)
+    empty = df.filter("x < 0")
+    profile = {r.column_name: r for r in quality.numeric_profile(empty, ["x", "y"]).collect()}
+    assert profile["x"].value_count == 0 and profile["x"].q50 is None
