@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ class Settings:
     registers: int = 128
     band: int = 4
     fill: float = 8.0
+    rarity_slots: int = 1 << 18
+    block_rows: int = 1 << 26
 
 
 def shingles(words: T.Words, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,6 +159,97 @@ def similar(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
     return T.by_slice(rows, work, "a long, b long, own long, label long", "b_text")
 
 
+def tokens(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of the shingles of each text; one that a text holds n times is n tokens."""
+    doc, item, weight = multisets(*shingles(T.words_of(column), settings.width))
+    at = np.repeat(np.arange(len(weight)), weight)
+    nth = np.arange(len(at)) - np.repeat(np.cumsum(weight) - weight, weight)
+    return doc[at], T.mix(item[at] + nth.astype(np.uint64) * _STEP)
+
+
+def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
+    """The rarest tokens of each text with their ``place`` from 1, so many that two similar texts share one.
+
+    Similar texts share ``percent`` of the tokens of either one, so in an order that holds for all texts their
+    first common token is not among the last of either. Any order is right; here tokens go by how often their
+    slot occurs, then by hash. The driver holds a number per slot, ``rarity_slots`` of them.
+    """
+    slots = np.uint64(settings.rarity_slots)
+
+    def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        slot, n = np.unique((tokens(batch.column("text"), settings)[1] % slots).astype(np.int64), return_counts=True)
+        return pa.record_batch([pa.array(slot), pa.array(n.astype(np.int64))], names=["slot", "n"])
+
+    counts = T.by_slice(texts, count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(settings.rarity_slots, dtype=np.int32)
+    often[counts.column("slot").to_numpy()] = np.minimum(counts.column("n").to_numpy(), np.iinfo(np.int32).max)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        doc, token = tokens(batch.column("text"), settings)
+        order = np.lexsort((token, often[(token % slots).astype(np.int64)], doc))
+        doc, token = doc[order], token[order]
+        total = np.bincount(doc, minlength=batch.num_rows).astype(np.int64)
+        place = np.arange(len(doc)) - (np.cumsum(total) - total)[doc] + 1
+        keep = place <= (total - -(-settings.percent * total // 100) + 1)[doc]
+        doc = doc[keep]
+        return pa.record_batch(
+            [batch.column("doc_id").take(pa.array(doc)), pa.array(token[keep].view(np.int64)), pa.array(place[keep]), pa.array(total[doc])],
+            names=["doc_id", "token", "place", "total"],
+        )
+
+    return T.by_slice(texts, work, "doc_id long, token long, place long, total long")
+
+
+def merged(label: DataFrame, found: DataFrame) -> DataFrame:
+    """``label`` after the classes at both ends of each found link have become one."""
+    moved = components(found.select(F.col("own").alias("a"), F.col("label").alias("b")))
+    moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    label = label.join(moved, "label", "left").select("doc_id", "middle", F.coalesce("to", "label").alias("label"))
+    return stage(label, "classes")
+
+
+def close(members: DataFrame, label: DataFrame, texts: DataFrame, tested: DataFrame, settings: Settings) -> DataFrame:
+    """``label`` after every link between texts of a bucket is in it, by a prefix-filter join.
+
+    Joined are the texts of buckets that hold several classes; a bucket of two has been checked in full. Of a
+    token's texts those outside its largest class meet all others, so pairs inside a large class are not listed.
+    A pair counts only if the tokens from the shared one on can still be enough. Pairs come in blocks of some
+    ``block_rows`` joined rows; classes that one block has merged are not compared by the next.
+    """
+    seats = members.where("crowd > 2").select("bucket", "doc_id").join(label.select("doc_id", "label"), "doc_id")
+    several = seats.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    odd = seats.join(several.select("bucket"), "bucket").select("doc_id").distinct()
+    rare = stage(prefixes(texts.join(odd, "doc_id"), settings), "prefixes")
+    rare = rare.join(label.select("doc_id", F.col("label").alias("was")), "doc_id")
+    each = rare.groupBy("token", "was").agg(F.count(F.lit(1)).alias("n"))
+    main = each.groupBy("token").agg(
+        F.max_by("was", F.struct("n", "was")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes")
+    )
+    main = stage(main.where("classes > 1"), "tokens")
+    joined = main.agg(F.sum(F.expr("double(n - most) * n"))).first()[0]
+    if joined is None:
+        return label
+    rare = rare.join(main.select("token", "main"), "token").select("doc_id", "token", "place", "total", (F.col("was") != F.col("main")).alias("other"))
+    rare = stage(rare, "shared")
+    blocks = max(1, ceil(joined / settings.block_rows))
+    done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    for block in range(blocks):
+        now = rare.join(label.select("doc_id", "label"), "doc_id")
+        x = now.where("other").where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block).alias("x")
+        enough = (F.col("x.total") + F.col("y.total")) * settings.percent <= (
+            F.least(F.expr("x.total - x.place"), F.expr("y.total - y.place")) + 1
+        ) * (100 + settings.percent)
+        once = F.expr("x.token = y.token and x.label <> y.label and (not y.other or x.doc_id < y.doc_id)")
+        ends = x.join(now.alias("y"), once & enough)
+        low, high = (f(F.struct("x.doc_id", "x.label"), F.struct("y.doc_id", "y.label")) for f in (F.least, F.greatest))
+        pairs = ends.select(low.alias("p"), high.alias("q")).selectExpr("p.doc_id a", "q.doc_id b", "p.label own", "q.label label")
+        pairs = pairs.groupBy("a", "b").agg(F.first("own").alias("own"), F.first("label").alias("label"))
+        found = stage(similar(stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), texts, settings), "found")
+        if not found.isEmpty():
+            label = merged(label, found)
+    return label
+
+
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id`` and ``class_id``, the smallest ``doc_id`` that similar texts lead to; one row per input row.
 
@@ -164,7 +258,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     that one. First this is the member whose buckets are the most crowded, which is the original of a group of
     edited copies or close to it; then members of the bucket's largest class by a hash of bucket and round. Texts
     of similarity 0.8 share some 13 of 32 bands, so a text meets many of a large group's members, and a bucket of
-    two is checked in full. Rounds end when one finds no new link.
+    two is checked in full. Rounds end when one finds no new link; ``close`` then finds what links are left
+    between texts of a bucket that no round has compared.
 
     Null and empty texts have no shingles and are classes of their own, as are rows with a null ``doc_id`` (null
     class). Rows that share a ``doc_id`` are one document. Other columns are ignored.
@@ -202,11 +297,9 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         if turn and found.isEmpty():
             break
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        moved = components(found.select(F.col("own").alias("a"), F.col("label").alias("b")))
-        moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        label = label.join(moved, "label", "left").select("doc_id", "middle", F.coalesce("to", "label").alias("label"))
-        label = stage(label, "classes")
+        label = merged(label, found)
         turn += 1
+    label = close(members, label, texts, tested.unionByName(pairs.select("a", "b")), settings)
 
     least = label.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     head_class = label.join(least, "label").select(F.col("doc_id").alias("head"), "class_id")

@@ -78,6 +78,56 @@ def test_groups_of_copies_and_chains(spark):
     assert result(minhash.classes(docs)) == plain(rows)
 
 
+def crowded_family():
+    """A large class of texts with few of 12 fixed edits, and pairs with eight edits, each near its partner only."""
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+
+    def text(edits):
+        w = list(base)
+        for e in edits:
+            w[8 + 16 * e] = f"edit{e}"
+        return " ".join(w)
+
+    sets = [c for n in range(4) for c in combinations(range(12), n)]
+    while len(sets) < 299 + 16:
+        six = set(rng.sample(range(12), 6))
+        rest = rng.sample(sorted(set(range(12)) - six), 4)
+        pair = [tuple(sorted(six | set(rest[:2]))), tuple(sorted(six | set(rest[2:])))]
+        if not any(len(set(x) ^ set(y)) <= 4 for x in pair for y in sets):
+            sets += pair
+        elif rng.random() < 0.002:
+            break
+    return [(i, text(s)) for i, s in enumerate(sets)]
+
+
+@pytest.mark.parametrize(("registers", "block_rows"), [(128, 1 << 26), (32, 20_000)])
+def test_links_between_small_classes_of_a_crowded_family(spark, registers, block_rows):
+    rows = crowded_family()
+    want = plain(rows)
+    assert len({c for _, c in want}) > 1
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(minhash.classes(docs, minhash.Settings(registers=registers, block_rows=block_rows))) == want
+
+
+def test_prefixes_of_similar_texts_meet(spark):
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        w = [rng.choice("ab") if i % 3 else f"w{k}" for k in range(40)]
+        rows += [(3 * i, " ".join(w)), (3 * i + 1, " ".join(w[: rng.randint(32, 40)])), (3 * i + 2, " ".join(["x", *w]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    settings = minhash.Settings(rarity_slots=16)
+    found = {}
+    for r in minhash.prefixes(docs, settings).collect():
+        found.setdefault(r.doc_id, set()).add(r.token)
+    bags = [(i, bag(t)) for i, t in rows]
+    for (i, a), (j, b) in combinations(bags, 2):
+        shared = sum((a & b).values())
+        if 100 * shared >= 80 * (sum(a.values()) + sum(b.values()) - shared):
+            assert found[i] & found[j]
+
+
 def test_signatures_estimate_weighted_jaccard():
     settings = minhash.Settings(registers=4096)
     rng = np.random.default_rng(0)
