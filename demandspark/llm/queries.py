@@ -51,7 +51,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(read_table(spark, sf_dir, "documents"))
+    docs = read_table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.learn(docs, read_table(spark, sf_dir, "labels")))
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
