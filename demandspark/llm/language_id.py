@@ -24,7 +24,11 @@ SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 
 @dataclass(frozen=True)
 class Settings:
-    """``sample_rows`` rows a language and ``sample_chars`` characters of each row bound what is learned from."""
+    """``dictionary_bytes`` a language, shared equally by at most ``sample_rows`` rows, bound what is learned.
+
+    With the defaults and a full sample that is the first 81 bytes of each row; ``sample_chars`` only bounds what
+    the driver gets of a row.
+    """
 
     sample_rows: int = 200
     sample_chars: int = 4096
@@ -45,7 +49,8 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
 
     The sample is the ``sample_rows`` rows of smallest hash per language. Only keys are ranked; the
     texts of the chosen rows, at most ``sample_rows * max_languages``, are then looked up and sent to
-    the driver, ``sample_chars`` characters each. No rows give no dictionaries.
+    the driver, ``sample_chars`` characters each. Of rows that repeat a key the least text is taken. No rows give
+    no dictionaries.
     """
     rows = docs.where("lang is not null and text is not null").selectExpr(
         "cast(doc_id as string) key", "cast(lang as string) lang", "cast(text as string) text"
@@ -56,6 +61,7 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
     picked = rows.join(F.broadcast(chosen), ["key", "lang"]).select(
         "lang", "key", F.left("text", F.lit(settings.sample_chars)).alias("text")
     )
+    picked = picked.groupBy("lang", "key").agg(F.min("text").alias("text"))
     found: dict[str, list[tuple[str, str]]] = {}
     for row in picked.toLocalIterator():
         found.setdefault(row.lang, []).append((row.key, row.text))

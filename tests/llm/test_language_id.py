@@ -66,3 +66,9 @@ def test_sample_is_bounded(spark):
     docs = spark.createDataFrame([(i, f"text number {i} " * 5000, "en") for i in range(50)], "doc_id long, text string, lang string")
     settings = language_id.Settings(sample_rows=4, sample_chars=100, dictionary_bytes=300)
     assert len(language_id.learn(docs, settings)["en"]) <= 300
+
+
+def test_repeated_key_gives_one_sample_row(spark):
+    rows = [(1, f"{chr(97 + i % 26)} text of many under one id number", "xx") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language_id.learn(docs) == {"xx": language_id.plain(min(t for _, t, _ in rows))}
