@@ -15,7 +15,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandspark.llm import text as T
@@ -310,6 +310,13 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The documents whose id is that of their class, one row each; the columns stay."""
+    """The documents whose id is that of their class, one row each; the columns stay.
+
+    A row with a null ``doc_id`` is nobody's copy and stays. Of rows that share a ``doc_id`` the one of the least
+    text stays (null is less than any), so that reruns keep the same one.
+    """
     keep = classes(docs, settings).where("doc_id = class_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    place = "__place"
+    order = Window.partitionBy("doc_id").orderBy("text", *[c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind])
+    first = docs.join(keep, "doc_id", "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))

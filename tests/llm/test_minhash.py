@@ -169,6 +169,14 @@ def test_edges(spark):
     assert len(left) == len(set(left)) and 6 in left and 7 not in left
 
 
+def test_rows_with_null_or_repeated_ids(spark):
+    texts = [" ".join(f"{x}{k}" for k in range(30)) for x in "cab"]
+    rows = [(None, "no id"), (None, texts[0]), *[(7, t) for t in texts], (8, texts[1] + " more")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    left = sorted(map(tuple, minhash.without_copies(docs).collect()), key=repr)
+    assert left == sorted([(None, "no id"), (None, texts[0]), (7, min(texts))], key=repr)
+
+
 @pytest.mark.parametrize("kind", ["chain", "star", "random", "none"])
 def test_components(spark, kind):
     rng = random.Random(1)
