@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandspark.llm import (
     chat,
+    hard_negatives,
     language_id,
     license_scan,
     minhash,
@@ -18,6 +19,7 @@ from demandspark.llm import (
     substring_dedup,
     topk,
     unigram,
+    whitening,
 )
 from demandspark.llm.text import read_table
 
@@ -85,6 +87,15 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.classes(read_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.whole_vectors(read_table(spark, sf_dir, "embeddings"))
+    return hard_negatives.mine(hard_negatives.swapped_labels(rows), "vec_id % 100 = 0")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_sentencepiece,
         op9_exact_topk,
         op10_near_dedup,
+        op11_hard_negatives,
+        op13_embedding_whitening,
     )
 }
 
@@ -150,4 +163,35 @@ ORACLE: dict[str, str] = {
         SELECT conv_id, speaker, part, count(*) AS n_turns, string_agg(head || body, '' ORDER BY place) AS text,
                coalesce(string_agg(CASE WHEN name = speaker THEN low || ':' || (low + length(body)) END, ',' ORDER BY place), '') AS mask
         FROM y GROUP BY conv_id, speaker, part""",
+    "op9_exact_topk": r"""
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vec, c.vec)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.vec) = len(c.vec)
+            WHERE q.vec_id % 50 = 0)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM s QUALIFY rank <= 5""",
+    "op11_hard_negatives": r"""
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END::BIGINT AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vec
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: NOT coalesce(isfinite(x), false))) = 0),
+        s AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_inner_product(a.vec, c.vec)::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.vec) = len(c.vec)
+            WHERE a.vec_id % 100 = 0),
+        p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+               vec_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY rank <= 5""",
 }
