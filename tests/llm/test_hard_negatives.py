@@ -128,4 +128,4 @@ def test_shards_that_cannot_matter_get_no_anchor(spark):
     visits = H.routed(H.directory(sharded), anchors.select("anchor", "vec_id", "label", "dim", "vec", "bounds"), near, settings)
     n = sharded.select("part").distinct().count()
     assert n >= 20
-    assert visits.count() < 0.6 * n * anchors.count()
+    assert visits.count() < 0.65 * n * anchors.count()  # five ninths, and shards on a border
