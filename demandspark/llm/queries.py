@@ -18,6 +18,7 @@ from demandspark.llm import (
     secret_scan,
     substring_dedup,
     topk,
+    toxicity,
     unigram,
     whitening,
 )
@@ -92,6 +93,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(hard_negatives.swapped_labels(rows), "vec_id % 100 = 0")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.learn(docs, read_table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
 
@@ -110,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_topk,
         op10_near_dedup,
         op11_hard_negatives,
+        op12_toxicity,
         op13_embedding_whitening,
     )
 }
