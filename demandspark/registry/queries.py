@@ -17,9 +17,9 @@ from demandspark.operators import evaluate as E
 from demandspark.operators import explore, features, forecast, inventory, lookup, quality, replenish
 from demandspark.plans import jobs, reports
 from demandspark.sources import bindings as B
-from demandspark.sources import tables
+from demandspark.sources import keyed, tables
 from demandspark.sources.staging import new_folder, stage
-from demandspark.streaming import ingest
+from demandspark.streaming import ingest, restock
 
 Query = Callable[[SparkSession, str], DataFrame]
 KEYS = schemas.PANEL_KEYS
@@ -569,9 +569,18 @@ def reorder_ledger(spark, sf_dir):
     return replenish.reorder_ledger(*_stock_and_reorders(spark, sf_dir), order="request_id")
 
 
+def _keyed(df, keys, buckets=8) -> str:
+    """``df`` as a table that changes by key; returns its folder."""
+    root = new_folder(df.sparkSession, "keyed")
+    keyed.create(df, root, keys, buckets)
+    return root
+
+
 def reorder_inventory(spark, sf_dir):
-    after, _ = replenish.apply_reorders(*_stock_and_reorders(spark, sf_dir))
-    return after
+    stock, accepted = _stock_and_reorders(spark, sf_dir)
+    root = _keyed(stock, ["product_id", "store_id"])
+    keyed.restock(accepted, root, lambda receipts: receipts.write.mode("overwrite").parquet(f"{root}/receipts"))
+    return keyed.read(spark, root)
 
 
 def stamped_stock(spark, sf_dir):
@@ -585,12 +594,9 @@ def stamped_stock(spark, sf_dir):
 
 def inventory_upsert(spark, sf_dir):
     changes = B.reorder_requests(spark, sf_dir).withColumnRenamed("reorder_quantity", "inventory_level")
-    return replenish.upsert(
-        B.inventory(B.panel(spark, sf_dir)),
-        changes.select("request_id", "product_id", "store_id", "inventory_level"),
-        ["product_id", "store_id"],
-        order=["request_id"],
-    )
+    root = _keyed(B.inventory(B.panel(spark, sf_dir)), ["product_id", "store_id"])
+    keyed.change_by_key(changes.select("request_id", "product_id", "store_id", "inventory_level"), root, order=["request_id"])
+    return keyed.read(spark, root)
 
 
 def _catalog_after_import(spark, sf_dir, daily):
@@ -605,7 +611,9 @@ def _catalog_after_import(spark, sf_dir, daily):
             F.col("unit_price").cast("decimal(10,2)").alias("unit_price"),
         )
     )
-    return replenish.upsert(B.products(daily), changes, ["product_id"], order=["request_id"])
+    root = _keyed(B.products(daily), ["product_id"])
+    keyed.change_by_key(changes, root, order=["request_id"])
+    return keyed.read(spark, root)
 
 
 def catalog_upsert(spark, sf_dir):
@@ -633,16 +641,23 @@ def stream_sales_rejects(spark, sf_dir):
     return rejects.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
-def stream_reorders(spark, sf_dir):
+def _restocked(spark, sf_dir) -> str:
+    """Runs the stream of reorders to its end; returns its folder."""
     out = new_folder(spark, "stream-reorders")
     daily = stored_panel(spark, sf_dir)
     catalog = stage(B.products(daily), "catalog")
-    tables.write_version(B.inventory(daily), f"{out}/inventory", 0)
     requests = B.reorder_requests(spark, sf_dir, B.table_stream(spark, sf_dir, "orders"))
-    ingest.start_reorder_stream(
-        requests, catalog, f"{out}/inventory", out, f"{out}/checkpoint"
-    ).awaitTermination()
-    return tables.read_version(spark, f"{out}/inventory")
+    for query in restock.start_restocking(requests, catalog, stage(B.inventory(daily), "stock"), out, f"{out}/checkpoint"):
+        query.awaitTermination()
+    return out
+
+
+def stream_reorders(spark, sf_dir):
+    return restock.current_stock(spark, f"{_restocked(spark, sf_dir)}/checkpoint")
+
+
+def stream_reorder_receipts(spark, sf_dir):
+    return spark.read.parquet(f"{_restocked(spark, sf_dir)}/receipts")
 
 
 QUERIES: dict[str, Query] = {
@@ -739,4 +754,5 @@ QUERIES: dict[str, Query] = {
     "stream_sales": stream_sales,
     "stream_sales_rejects": stream_sales_rejects,
     "stream_reorders": stream_reorders,
+    "stream_reorder_receipts": stream_reorder_receipts,
 }

@@ -8,6 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -75,3 +76,44 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder and what is in it."""
     system, place = _file_system(spark, path)
     system.delete(place, True)
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder; none if there is no such folder."""
+    system, place = _file_system(spark, path)
+    return [x.getPath().getName() for x in system.listStatus(place) if x.isFile()] if system.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    system, place = _file_system(spark, path)
+    stream = system.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_new_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that nobody has written before; raises ``FileExistsError`` if there is one.
+
+    The file appears whole: it is written under another name first.
+    """
+    system, place = _file_system(spark, path)
+    fs = spark._jvm.org.apache.hadoop.fs
+    draft = fs.Path(place.getParent(), f".{place.getName()}.{uuid.uuid4().hex}")
+    stream = system.create(draft)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    kind = getattr(fs, "Options$Rename")
+    options = spark.sparkContext._gateway.new_array(kind, 1)
+    options[0] = kind.NONE  # refuses to replace a file
+    try:
+        fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration()).rename(draft, place, options)
+    except Py4JJavaError as error:
+        system.delete(draft, False)
+        if "AlreadyExists" not in error.java_exception.getClass().getName():
+            raise
+        raise FileExistsError(path) from error

@@ -1,4 +1,4 @@
-"""Two ingest streams: recording sales and restocking.
+"""Recording sales as they arrive.
 
 Every micro-batch writes to a folder named by its id and overwrites it, so a batch that runs
 again after a failure leaves the same result.
@@ -10,10 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from demandspark.functions import rules as R
-from demandspark.operators.lookup import admit, admit_sales, price_sales
-from demandspark.operators.replenish import apply_reorders
-from demandspark.sources.tables import drop_versions, read_version, write_version
+from demandspark.operators.lookup import admit_sales, price_sales
 
 
 def read_requests(
@@ -52,41 +49,3 @@ def start_sales_stream(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def start_reorder_stream(
-    requests: DataFrame,
-    catalog: DataFrame,
-    inventory_root: str,
-    out_dir: str,
-    checkpoint: str,
-    keep_versions: int = 3,
-) -> StreamingQuery:
-    """Apply reorders to the inventory kept as versions below ``inventory_root``.
-
-    Version 0 is the stock before the stream; batch n reads version n and writes version n + 1.
-    The newest ``keep_versions`` versions stay, at least two: a batch that runs again needs the
-    one before it.
-    Receipts go to ``<out_dir>/receipts``, refused requests to ``<out_dir>/rejects``.
-    """
-
-    def restock(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            accepted, rejects = admit(batch, R.REORDER_RULES, catalog)
-            before = read_version(spark, inventory_root, batch_id)
-            after, receipts = apply_reorders(before, accepted)
-            write_version(after, inventory_root, batch_id + 1)
-            receipts.write.mode("overwrite").parquet(f"{out_dir}/receipts/batch={batch_id}")
-            rejects.write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
-        finally:
-            batch.unpersist()
-        drop_versions(spark, inventory_root, keep=keep_versions)
-
-    return (
-        requests.writeStream.foreachBatch(restock)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )

@@ -15,7 +15,7 @@ from demandspark.functions import rules as R
 from demandspark.operators import explore, inventory, lookup, quality, replenish
 from demandspark.plans import jobs
 from demandspark.sources import staging, tables
-from demandspark.streaming import ingest
+from demandspark.streaming import ingest, restock
 
 NAN = float("nan")
 SALE = "date date, store_id string, product_id string, units_sold long, discount double, promotion int"
@@ -81,16 +81,24 @@ def test_stream_goes_on_after_a_poison_row(spark, tmp_path):
     assert [r.reasons for r in spark.read.parquet(f"{out}/rejects").collect()] == [["revenue"]]
 
 
-def test_reorder_stream_keeps_few_versions(spark, tmp_path):
+def test_reorder_stream_of_many_batches(spark, tmp_path):
     for i in range(6):
         df = spark.createDataFrame([("P1", "S1", 10, "x")], "product_id string, store_id string, reorder_quantity long, supplier_notes string")
         df.coalesce(1).write.parquet(str(tmp_path / "in" / f"part={i}"))
     stock = spark.createDataFrame([("P1", "S1", 1)], "product_id string, store_id string, inventory_level long")
-    root, out = str(tmp_path / "stock"), str(tmp_path / "out")
-    tables.write_version(stock, root, 0)
+    out = str(tmp_path / "out")
     requests = ingest.read_requests(spark, str(tmp_path / "in" / "*"), df.schema, files_per_batch=1)
-    ingest.start_reorder_stream(requests, catalog(spark), root, out, f"{out}/checkpoint").awaitTermination()
-    assert tables.read_version(spark, root).first().inventory_level == 61
+    for query in restock.start_restocking(requests, catalog(spark), stock, out, f"{out}/checkpoint"):
+        query.awaitTermination()
+    assert restock.current_stock(spark, f"{out}/checkpoint").first().inventory_level == 61
+    assert spark.read.parquet(f"{out}/receipts").count() == 6
+
+
+def test_old_versions_are_dropped(spark, tmp_path):
+    root = str(tmp_path / "stock")
+    for version in range(7):
+        tables.write_version(spark.range(version), root, version)
+    tables.drop_versions(spark, root, keep=3)
     assert sorted(staging.folders(spark, root)) == ["version=4", "version=5", "version=6"]
 
 

@@ -2,13 +2,13 @@ from __future__ import annotations
 
 from datetime import date
 
+import pandas as pd
 import samples
 
 from demandspark import schemas
 from demandspark.functions import rules as R
 from demandspark.operators import lookup, replenish
-from demandspark.sources import tables
-from demandspark.streaming import ingest
+from demandspark.streaming import ingest, restock
 
 
 def _rows(df):
@@ -41,18 +41,55 @@ def test_sales_stream_equals_batch_over_several_batches(spark, tmp_path):
     assert spark.read.parquet(f"{out}/sales").count() == 7
 
 
-def test_reorder_stream_equals_batch(spark, tmp_path):
-    folder, root, out = str(tmp_path / "in"), str(tmp_path / "stock"), str(tmp_path / "out")
-    stock = spark.createDataFrame([("P101", "S01", 5), ("P102", "S01", 6)], "product_id string, store_id string, inventory_level long")
-    tables.write_version(stock, root, 0)
-    rows = [("P101", "S01", q, None) for q in (1, 2, 3, -4)] + [("P102", "S02", 7, "rush"), ("P9", "S01", 8, None)]
-    requests = spark.createDataFrame(rows, schemas.REORDER_REQUESTS)
-    requests.repartition(2).write.parquet(folder)
-    catalog = samples.products(spark, "P101", "P102")
+STOCK = "product_id string, store_id string, inventory_level long"
+
+
+def _restock(spark, folder, catalog, stock, out):
     stream = ingest.read_requests(spark, folder, schemas.REORDER_REQUESTS, files_per_batch=1)
-    ingest.start_reorder_stream(stream, catalog, root, out, str(tmp_path / "checkpoint")).awaitTermination()
-    accepted, _ = lookup.admit(requests, R.REORDER_RULES, catalog)
+    queries = restock.start_restocking(stream, catalog, stock, out, f"{out}/checkpoint")
+    for query in queries:
+        query.awaitTermination()
+    return queries
+
+
+def test_reorder_stream_keeps_balances_over_batches_and_restarts(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stock = spark.createDataFrame([("P101", "S01", 5), ("P102", "S01", 6)], STOCK)
+    catalog = samples.products(spark, "P101", "P102")
+    first = [("P101", "S01", q, None) for q in (1, 2, 3, -4)] + [("P102", "S02", 7, "rush"), ("P9", "S01", 8, None), (None, "S01", 1, None)]
+    requests = spark.createDataFrame(first, schemas.REORDER_REQUESTS)
+    requests.repartition(2).write.parquet(folder)
+    _restock(spark, folder, catalog, stock, out)
+
+    accepted, rejects = lookup.admit(requests, R.REORDER_RULES, catalog)
     after, _ = replenish.apply_reorders(stock, accepted)
-    assert _rows(tables.read_version(spark, root)) == _rows(after)
-    assert _rows(tables.read_version(spark, root, 0)) == _rows(stock)
-    assert spark.read.parquet(f"{out}/rejects").count() == 2
+    assert _rows(restock.current_stock(spark, f"{out}/checkpoint")) == _rows(after)
+    assert _rows(spark.read.parquet(f"{out}/rejects")) == _rows(rejects)
+
+    # a restart goes on from the balances it left: the opening stock given now is not read
+    more = spark.createDataFrame([("P102", "S01", 9, None), ("P101", "S01", 1, None)], schemas.REORDER_REQUESTS)
+    more.coalesce(1).write.mode("append").parquet(folder)
+    queries = _restock(spark, folder, catalog, spark.createDataFrame([("P102", "S01", 1000)], STOCK), out)
+    levels = {(r.product_id, r.store_id): r.inventory_level for r in restock.current_stock(spark, f"{out}/checkpoint").collect()}
+    assert levels == {("P101", "S01"): 12, ("P102", "S01"): 15, ("P102", "S02"): 7}
+
+    # each batch emits the pairs it names and no other, and a pair's receipts follow each other
+    receipts = spark.read.parquet(f"{out}/receipts").collect()
+    assert sorted((r.product_id, r.store_id, r.new_inventory) for r in receipts)[-2:] == [("P102", "S01", 15), ("P102", "S02", 7)]
+    chain = sorted((r.previous_inventory, r.new_inventory) for r in receipts if r.product_id == "P101")
+    assert chain[0][0] == 5 and chain[-1][1] == 12 and all(a[1] == b[0] for a, b in zip(chain, chain[1:], strict=False))
+    assert sum(r.request_count for r in receipts) == 6
+    assert queries[0].lastProgress["stateOperators"][0]["numRowsTotal"] >= 3
+
+    # earlier balances stay readable
+    early = {(r.product_id, r.store_id): r.inventory_level for r in restock.current_stock(spark, f"{out}/checkpoint", 1).collect()}
+    assert early[("P102", "S01")] == 6 and early[("P101", "S01")] == 11
+
+
+def test_requests_of_a_crowded_pair_are_added_up_before_the_shuffle():
+    batch = pd.DataFrame({"product_id": ["P1"] * 5000 + ["P2"], "store_id": ["S1"] * 5001, "reorder_quantity": [2] * 5001})
+    (part,) = restock._added_up(iter([batch]))
+    assert part.to_dict("records") == [
+        {"product_id": "P1", "store_id": "S1", "request_count": 5000, "reorder_quantity": 10000},
+        {"product_id": "P2", "store_id": "S1", "request_count": 1, "reorder_quantity": 2},
+    ]
