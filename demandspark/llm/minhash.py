@@ -36,6 +36,7 @@ class Settings:
     band: int = 4
     fill: float = 8.0
     rarity_slots: int = 1 << 18
+    hot_buckets: int = 4096
     block_rows: int = 1 << 26
 
 
@@ -151,12 +152,12 @@ def similar(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame
             shared = int(np.minimum(weight_a[x], weight_b[y]).sum())
             union = int(weight_a.sum() + weight_b.sum()) - shared
             good.append(100 * shared >= settings.percent * union)
-        return batch.select(["a", "b", "own", "label"]).filter(pa.array(good, pa.bool_()))
+        return batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("b_text"))
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("a_text"))
-    rows = pairs.join(b, "b").join(a, "a").select("a", "b", "own", "label", "a_text", "b_text")
-    return T.by_slice(rows, work, "a long, b long, own long, label long", "b_text")
+    rows = pairs.join(b, "b").join(a, "a").select("a", "b", "a_text", "b_text")
+    return T.by_slice(rows, work, "a long, b long", "b_text")
 
 
 def tokens(column: pa.Array, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -200,53 +201,89 @@ def prefixes(texts: DataFrame, settings: Settings) -> DataFrame:
     return T.by_slice(texts, work, "doc_id long, token long, place long, total long")
 
 
+def joined(rows: DataFrame, buckets: DataFrame, total: int, settings: Settings) -> DataFrame:
+    """``rows`` with the columns of their bucket in ``buckets``, which has a ``crowd``; a large bucket is no hot key.
+
+    Buckets with more than one part in ``hot_buckets`` of all ``total`` rows go to every task, fewer than
+    ``hot_buckets`` of them; only the rows of the others are dealt by bucket.
+    """
+    large = F.col("crowd") * settings.hot_buckets > total
+    few = buckets.where(large)
+    often = rows.join(F.broadcast(few), "bucket")
+    seldom = rows.join(F.broadcast(few.select("bucket")), "bucket", "left_anti").join(buckets.where(~large), "bucket")
+    return often.unionByName(seldom)
+
+
+def near_labels(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``doc_id`` and ``label`` of every node after two hops along links to the neighbour of the most crowded buckets.
+
+    Around an original that is linked with its copies this is the whole class already.
+    """
+    ends = found.join(nodes.select(F.col("doc_id").alias("a"), F.col("middle").alias("a_middle")), "a")
+    ends = ends.join(nodes.select(F.col("doc_id").alias("b"), F.col("middle").alias("b_middle")), "b")
+    a, b = (F.struct(F.col(f"{x}_middle").alias("middle"), (-F.col(x)).alias("id")) for x in "ab")
+    both = ends.select(F.inline(F.array(F.struct(a.alias("x"), b.alias("y")), F.struct(b.alias("x"), a.alias("y")))))
+    best = both.groupBy("x").agg(F.max("y").alias("y")).select((-F.col("x.id")).alias("from"), (-F.greatest("x", "y")["id"]).alias("to"))
+    best = stage(best, "pointers")
+    label = nodes.join(best, nodes["doc_id"] == best["from"], "left").select("doc_id", F.coalesce("to", "doc_id").alias("label"))
+    label = label.join(best, label["label"] == best["from"], "left").select("doc_id", F.coalesce("to", "label").alias("label"))
+    return stage(label, "classes")
+
+
 def merged(label: DataFrame, found: DataFrame) -> DataFrame:
     """``label`` after the classes at both ends of each found link have become one."""
-    moved = components(found.select(F.col("own").alias("a"), F.col("label").alias("b")))
+    ends = found.join(label.select(F.col("doc_id").alias("a"), F.col("label").alias("own")), "a")
+    ends = ends.join(label.select(F.col("doc_id").alias("b"), F.col("label").alias("other")), "b")
+    moved = components(ends.select(F.col("own").alias("a"), F.col("other").alias("b")))
+    if moved is None:
+        return label
     moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
-    label = label.join(moved, "label", "left").select("doc_id", "middle", F.coalesce("to", "label").alias("label"))
-    return stage(label, "classes")
+    return stage(label.join(moved, "label", "left").select("doc_id", F.coalesce("to", "label").alias("label")), "classes")
 
 
-def close(members: DataFrame, label: DataFrame, texts: DataFrame, tested: DataFrame, settings: Settings) -> DataFrame:
+def close(members: DataFrame, total: int, label: DataFrame, texts: DataFrame, tested: DataFrame, settings: Settings) -> DataFrame:
     """``label`` after every link between texts of a bucket is in it, by a prefix-filter join.
 
     Joined are the texts of buckets that hold several classes; a bucket of two has been checked in full. Of a
     token's texts those outside its largest class meet all others, so pairs inside a large class are not listed.
-    A pair counts only if the tokens from the shared one on can still be enough. Pairs come in blocks of some
-    ``block_rows`` joined rows; classes that one block has merged are not compared by the next.
+    Texts meet only if their numbers of tokens are near enough, and a pair counts only if the tokens from the
+    shared one on can still be enough. Pairs come in blocks of some ``block_rows`` joined rows; classes that one
+    block has merged are not compared by the next.
     """
-    seats = members.where("crowd > 2").select("bucket", "doc_id").join(label.select("doc_id", "label"), "doc_id")
-    several = seats.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-    odd = seats.join(several.select("bucket"), "bucket").select("doc_id").distinct()
+    seats = members.where("crowd > 2").join(label, "doc_id")
+    several = seats.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("crowd").alias("crowd"))
+    several = stage(several.where("low <> high").select("bucket", "crowd"), "open")
+    if not several.count():
+        return label
+    odd = joined(members.select("bucket", "doc_id"), several, total, settings).select("doc_id").distinct()
     rare = stage(prefixes(texts.join(odd, "doc_id"), settings), "prefixes")
-    rare = rare.join(label.select("doc_id", F.col("label").alias("was")), "doc_id")
-    each = rare.groupBy("token", "was").agg(F.count(F.lit(1)).alias("n"))
+    was = label.select("doc_id", F.col("label").alias("was"))
+    each = rare.join(was, "doc_id").groupBy("token", "was").agg(F.count(F.lit(1)).alias("n"))
     main = each.groupBy("token").agg(
         F.max_by("was", F.struct("n", "was")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("classes")
     )
     main = stage(main.where("classes > 1"), "tokens")
-    joined = main.agg(F.sum(F.expr("double(n - most) * n"))).first()[0]
-    if joined is None:
+    work = main.agg(F.sum(F.expr("double(n - most) * n"))).first()[0]
+    if work is None:
         return label
-    rare = rare.join(main.select("token", "main"), "token").select("doc_id", "token", "place", "total", (F.col("was") != F.col("main")).alias("other"))
-    rare = stage(rare, "shared")
-    blocks = max(1, ceil(joined / settings.block_rows))
+    # two texts of the similarity asked for have sizes in the same or in adjoining steps
+    step = F.floor(F.log(F.col("total")) / F.log(F.lit(100.0 / settings.percent)) + 1e-9).cast("int")
+    rare = rare.join(main.select("token", "main"), "token").withColumn("step", step).join(was, "doc_id")
+    rare = stage(rare.select("doc_id", "token", "place", "total", "step", (F.col("was") != F.col("main")).alias("other")), "shared")
+    blocks = max(1, ceil(work / settings.block_rows))
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     for block in range(blocks):
-        now = rare.join(label.select("doc_id", "label"), "doc_id")
-        x = now.where("other").where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block).alias("x")
+        now = rare.join(label, "doc_id")
+        x = now.where("other").where(F.pmod(F.xxhash64("doc_id"), F.lit(blocks)) == block)
+        x = x.withColumn("step", F.explode(F.array(F.col("step") - 1, F.col("step"), F.col("step") + 1))).alias("x")
         enough = (F.col("x.total") + F.col("y.total")) * settings.percent <= (
             F.least(F.expr("x.total - x.place"), F.expr("y.total - y.place")) + 1
         ) * (100 + settings.percent)
-        once = F.expr("x.token = y.token and x.label <> y.label and (not y.other or x.doc_id < y.doc_id)")
+        once = F.expr("x.token = y.token and x.step = y.step and x.label <> y.label and (not y.other or x.doc_id < y.doc_id)")
         ends = x.join(now.alias("y"), once & enough)
-        low, high = (f(F.struct("x.doc_id", "x.label"), F.struct("y.doc_id", "y.label")) for f in (F.least, F.greatest))
-        pairs = ends.select(low.alias("p"), high.alias("q")).selectExpr("p.doc_id a", "q.doc_id b", "p.label own", "q.label label")
-        pairs = pairs.groupBy("a", "b").agg(F.first("own").alias("own"), F.first("label").alias("label"))
+        pairs = ends.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
         found = stage(similar(stage(pairs.join(done, ["a", "b"], "left_anti"), "pairs"), texts, settings), "found")
-        if not found.isEmpty():
-            label = merged(label, found)
+        label = merged(label, found)
     return label
 
 
@@ -254,12 +291,11 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id`` and ``class_id``, the smallest ``doc_id`` that similar texts lead to; one row per input row.
 
     Texts of equal words are one text from the start. Texts that share a band are a bucket. A bucket's pairs are
-    never listed: in each round one member stands for it and all members of other classes are checked against
-    that one. First this is the member whose buckets are the most crowded, which is the original of a group of
-    edited copies or close to it; then members of the bucket's largest class by a hash of bucket and round. Texts
-    of similarity 0.8 share some 13 of 32 bands, so a text meets many of a large group's members, and a bucket of
-    two is checked in full. Rounds end when one finds no new link; ``close`` then finds what links are left
-    between texts of a bucket that no round has compared.
+    never listed: its members are checked against a few of them that stand for it. These are the member whose
+    buckets are the most crowded, which is the original of a group of edited copies or close to it, and two by
+    hashes of text and bucket. Texts of similarity 0.8 share some 13 of 32 bands, so a text meets many of a
+    large group's members, and a bucket of two is checked in full. ``close`` then finds what links are left
+    between texts of a bucket that are in different classes.
 
     Null and empty texts have no shingles and are classes of their own, as are rows with a null ``doc_id`` (null
     class). Rows that share a ``doc_id`` are one document. Other columns are ignored.
@@ -267,43 +303,28 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     known = stage(sketches(rows, settings), "sketches")
     filled = known.where("words_id is not null and doc_id is not null")
-    first = filled.groupBy("words_id").agg(F.min("doc_id").alias("head"))
-    heads = first.select(F.col("head").alias("doc_id"), "words_id").join(filled, ["doc_id", "words_id"]).select("doc_id", "bands")
-    banded = stage(heads.select("doc_id", F.explode("bands").alias("bucket")).distinct(), "bands")
-    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1")
-    members = stage(banded.join(shared, "bucket"), "buckets")
-    middle = members.groupBy("doc_id").agg(F.sum("crowd").alias("middle"))
-    label = stage(middle.select("doc_id", "middle", F.col("doc_id").alias("label")), "classes")
-    texts = stage(rows.join(label.select("doc_id"), "doc_id"), "texts")
-
-    tested: DataFrame | None = None
-    turn = 0
-    while True:
-        if turn:
-            size = label.groupBy("label").agg(F.count(F.lit(1)).alias("size"))
-            ranked = label.join(size, "label").select("doc_id", "label", F.col("size").alias("first"), F.lit(0).alias("second"))
-        else:
-            ranked = label.select("doc_id", "label", F.col("middle").alias("first"), (-F.col("doc_id")).alias("second"))
-        seats = members.select("bucket", "doc_id").join(ranked, "doc_id")
-        second = F.xxhash64("doc_id", "bucket", F.lit(turn)) if turn else F.col("second")
-        best = F.max(F.struct("first", second.alias("second"), F.col("doc_id").alias("a"), F.col("label").alias("own")))
-        chosen = seats.groupBy("bucket").agg(best.alias("best")).select("bucket", "best.a", "best.own")
-        pairs = seats.join(chosen, "bucket").where("label <> own").select("a", F.col("doc_id").alias("b"), "own", "label")
-        pairs = pairs.groupBy("a", "b").agg(F.first("own").alias("own"), F.first("label").alias("label"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "pairs")
-        found = stage(similar(pairs, texts, settings), "found")
-        if turn and found.isEmpty():
-            break
-        tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
-        label = merged(label, found)
-        turn += 1
-    label = close(members, label, texts, tested.unionByName(pairs.select("a", "b")), settings)
+    first = filled.groupBy("words_id").agg(F.min("doc_id").alias("head"), F.min_by("bands", "doc_id").alias("bands"))
+    heads = stage(first, "heads")
+    banded = heads.select(F.col("head").alias("doc_id"), F.explode("bands").alias("bucket"))
+    shared = stage(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("crowd")).where("crowd > 1"), "buckets")
+    total = shared.agg(F.coalesce(F.sum("crowd"), F.lit(0))).first()[0]
+    members = stage(joined(banded, shared, total, settings), "members")
+    nodes = stage(members.groupBy("doc_id").agg(F.sum("crowd").alias("middle")), "nodes")
+    texts = stage(rows.join(nodes.select("doc_id"), "doc_id"), "texts")
+
+    seats = members.join(nodes, "doc_id")
+    stand = [F.max(F.struct("middle", (-F.col("doc_id")).alias("order"), "doc_id"))["doc_id"]]
+    stand += [F.max(F.struct(F.xxhash64("doc_id", "bucket", F.lit(i)), "doc_id"))["doc_id"] for i in (1, 2)]
+    chosen = seats.groupBy("bucket").agg(F.first("crowd").alias("crowd"), F.array(*stand).alias("stand"))
+    met = joined(members.select("bucket", F.col("doc_id").alias("b")), stage(chosen, "chosen"), total, settings)
+    pairs = stage(met.select(F.explode("stand").alias("a"), "b").where("a <> b").distinct(), "pairs")
+    found = stage(similar(pairs, texts, settings), "found")
+    label = merged(near_labels(found, nodes), found)
+    label = close(members, total, label, texts, pairs, settings)
 
     least = label.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     head_class = label.join(least, "label").select(F.col("doc_id").alias("head"), "class_id")
-    named = filled.select("doc_id", "words_id").join(first, "words_id").join(head_class, "head", "left")
+    named = filled.select("doc_id", "words_id").join(heads.select("words_id", "head"), "words_id").join(head_class, "head", "left")
     named = named.select("doc_id", F.coalesce("class_id", "head").alias("class_id"))
     alone = known.where("words_id is null or doc_id is null").select("doc_id", F.col("doc_id").alias("class_id"))
     return named.unionByName(alone)
