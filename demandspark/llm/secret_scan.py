@@ -55,6 +55,8 @@ HARMLESS = {"id", "name", "type", "file", "path", "url", "uri", "length", "size"
 #: What stands in for a value in examples.
 PLACEHOLDERS = ("example", "changeme", "change_me", "placeholder", "your", "xxxx", "todo", "dummy", "sample", "redacted", "none", "null", "true", "false")
 PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+", re.ASCII)
+EDGE = max(map(len, PLACEHOLDERS)) - 1  # what a stand-in can reach over a seam
+EXACT = 1 << 53
 THRESHOLD = 0.5
 SCHEMA = (
     "doc_id long, n_assign long, n_access long, n_hex long, n_literal long, n_flow long, "
@@ -84,16 +86,89 @@ def name_score(name: str) -> float:
     return min(1.0, max(sum(SENSITIVE.get(p, 0.0) for p in set(parts)), SENSITIVE.get(joined, 0.0)))
 
 
-def literal_score(value: str) -> float:
-    """How much a literal looks like a secret: long, of many characters, and not an example or a sentence."""
+@dataclass(frozen=True)
+class Traits:
+    """What the score of a string depends on. Traits of a joined string follow from those of its parts."""
+
+    length: float
+    counts: dict[str, float]
+    head: str
+    tail: str
+    space: bool
+    stand_in: bool
+
+    @classmethod
+    def of(cls, value: str) -> Traits:
+        space = any(c.isspace() for c in value)
+        return cls(len(value), Counter(value), value[:EDGE], value[-EDGE:], space, _stands_in(value))
+
+    def __add__(self, other: Traits) -> Traits:
+        length = self.length + other.length
+        counts = dict(self.counts)
+        for c, n in other.counts.items():
+            counts[c] = counts.get(c, 0) + n
+        if length > EXACT:  # only the shares count from here on
+            counts = {c: n / length * EXACT for c, n in counts.items()}
+            length = EXACT
+        head = self.head if len(self.head) == EDGE else (self.head + other.head)[:EDGE]
+        tail = other.tail if len(other.tail) == EDGE else (self.tail + other.tail)[-EDGE:]
+        seam = _stands_in(self.tail + other.head)
+        return Traits(length, counts, head, tail, self.space or other.space, self.stand_in or other.stand_in or seam)
+
+    def score(self) -> float:
+        """How much a literal looks like a secret: long, of many characters, and not an example or a sentence."""
+        if self.length < 8 or self.space or self.stand_in or self.head[0] in "<{%$":
+            return 0.0
+        entropy = -sum(n / self.length * math.log2(n / self.length) for n in self.counts.values() if n)
+        classes = len({_class(c) for c in self.counts})
+        return min(1.0, entropy / 3.5 * (0.55 + 0.15 * classes))
+
+
+def _stands_in(value: str) -> bool:
     low = value.lower()
-    if len(value) < 8 or any(c.isspace() for c in value) or any(p in low for p in PLACEHOLDERS):
-        return 0.0
-    if value[0] in "<{%$" or "://" in value:
-        return 0.0
-    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    classes = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
-    return min(1.0, entropy / 3.5 * (0.55 + 0.15 * classes))
+    return "://" in low or any(p in low for p in PLACEHOLDERS)
+
+
+def _class(c: str) -> int:
+    return 0 if "a" <= c <= "z" else 1 if "A" <= c <= "Z" else 2 if "0" <= c <= "9" else 3
+
+
+class Value:
+    """What a name holds: literals in order, or values of other names. Values are shared and never written out, so
+    a constant that is joined with itself again and again stays as small as the text that says so."""
+
+    def __init__(self, parts: list[Value | tuple[str, int, int]]) -> None:
+        self.parts = parts
+        self.told = False  # its literals have been reported
+        self._traits: Traits | None = None
+
+    def traits(self) -> Traits:
+        todo = [self]
+        while todo:  # the parts first, without recursion
+            at = todo[-1]
+            open_parts = [p for p in at.parts if isinstance(p, Value) and p._traits is None]
+            if open_parts:
+                todo += open_parts
+                continue
+            todo.pop()
+            if at._traits is None:
+                each = [p._traits if isinstance(p, Value) else Traits.of(p[0]) for p in at.parts]
+                at._traits = sum(each[1:], each[0])
+        return self._traits
+
+    def literals(self) -> Iterator[tuple[str, int, int]]:
+        """The literals in it that no earlier call has told, each once."""
+        todo = [self]
+        while todo:
+            at = todo.pop()
+            if at.told:
+                continue
+            at.told = True
+            for p in at.parts:
+                if isinstance(p, Value):
+                    todo.append(p)
+                else:
+                    yield p
 
 
 def base_spans(text: str) -> Iterator[Span]:
@@ -144,37 +219,39 @@ def assignments(text: str) -> Iterator[tuple[str, list[tuple[str, int, int, bool
 
 def assigned_spans(text: str) -> Iterator[Span]:
     """Literals that reach a sensitive name: directly (``literal``) or over other names (``flow``)."""
-    known: dict[str, list[tuple[str, int, int]]] = {}
+    known: dict[str, Value] = {}
     for name, terms in assignments(text):
-        pieces, direct = [], True
+        parts: list[Value | tuple[str, int, int]] = []
         for value, a, b, quoted in terms:
             source = known.get(value.lstrip("$")) if not quoted and NAME.match(value) else None
-            if source is not None:
-                pieces += source
-                direct = False
-            else:
-                pieces.append((value, a, b))
-        known[name] = pieces
+            parts.append((value, a, b) if source is None else source)
+        whole = parts[0] if len(parts) == 1 and isinstance(parts[0], Value) else Value(parts)
+        known[name] = whole
         weight = name_score(name)
-        if weight == 0 or not pieces:
+        if weight == 0:
             continue
-        score = weight * literal_score("".join(p[0] for p in pieces))
+        score = weight * whole.traits().score()
         if score >= THRESHOLD:
-            for _, a, b in pieces:
-                yield Span(a, b, "literal" if direct else "flow", a, round(score, 6))
+            kind = "flow" if any(isinstance(p, Value) for p in parts) else "literal"
+            for _, a, b in whole.literals():
+                yield Span(a, b, kind, a, round(score, 6))
 
 
 def find(text: str | None) -> list[Span]:
-    """All spans of one text. What the lexer finds inside a base span is not told again."""
+    """All spans of one text. What the lexer finds inside a base span is not told again.
+
+    A literal that reaches several sensitive names is told once, with the kind and score of the first. The work
+    grows with the length of the text, however often its constants are joined.
+    """
     if not text:
         return []
     spans = sorted(base_spans(text), key=lambda s: s.order)
-    seen: set[tuple[int, int]] = set()
-    more = []
+    more, reach, at = [], 0, 0  # reach: the furthest end of the base spans that start by now
     for s in sorted(assigned_spans(text), key=lambda s: s.order):
-        inside = any(b.start <= s.start and s.end <= b.end for b in spans)
-        if not inside and (s.start, s.end) not in seen:
-            seen.add((s.start, s.end))
+        while at < len(spans) and spans[at].start <= s.start:
+            reach = max(reach, spans[at].end)
+            at += 1
+        if s.end > reach:
             more.append(s)
     return sorted(spans + more, key=lambda s: s.order)
 
@@ -183,7 +260,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """One row per document with its spans by start, then kind, in code points (ends exclusive).
 
     ``value_starts`` tells where the secret itself begins inside the span. Null and empty texts have no
-    spans. Repeated rows are scanned each for itself, other columns are ignored, nothing is shuffled.
+    spans. Very long texts and constants that double cost no more than their length. Repeated rows are scanned each
+    for itself, other columns are ignored, nothing is shuffled.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:

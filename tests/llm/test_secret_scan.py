@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import time
 
 import pytest
 from helpers import SF, documents, edge_docs, empty_docs
@@ -77,6 +79,55 @@ def test_last_value_counts():
     assert secret_scan.find(text) == []
 
 
+def expanded(text):
+    """The spans of assignments with every constant written out."""
+    known, told, out = {}, set(), []
+    for name, terms in secret_scan.assignments(text):
+        pieces, direct = [], True
+        for value, a, b, quoted in terms:
+            source = known.get(value.lstrip("$")) if not quoted and secret_scan.NAME.match(value) else None
+            direct &= source is None
+            pieces += [(value, a, b)] if source is None else source
+        known[name] = pieces
+        score = secret_scan.name_score(name) * secret_scan.Traits.of("".join(p[0] for p in pieces)).score()
+        for _, a, b in pieces if score >= secret_scan.THRESHOLD else ():
+            if (a, b) not in told:
+                told.add((a, b))
+                out.append((a, b, "literal" if direct else "flow", round(score, 6)))
+    return sorted(out)
+
+
+def test_shared_constants_equal_written_out_ones():
+    rng = random.Random(4)
+    names = ["a", "b", "c", "auth_token_value", "pwd", "passphrase"]
+    for _ in range(400):
+        lines = []
+        for _ in range(rng.randint(1, 9)):
+            terms = []
+            for _ in range(rng.randint(1, 3)):
+                literal = "".join(rng.choice("abCD12!xample:/ ") for _ in range(rng.randint(0, 9)))
+                terms.append(rng.choice([rng.choice(names), f'"{literal}"']))
+            lines.append(f"{rng.choice(names)} = {' + '.join(terms)}")
+        text = "\n".join(lines)
+        assert sorted((s.start, s.end, s.kind, s.score) for s in secret_scan.assigned_spans(text)) == expanded(text), text
+
+
+def test_doubled_constants_and_long_texts_cost_their_length():
+    started = time.monotonic()
+    for n in (28, 40, 3000):
+        text = "a = 'q1W'\n" + "a = a + a\n" * n + "passphrase = a"
+        assert [(s.kind, text[s.start : s.end]) for s in secret_scan.find(text)] == []  # three characters, whatever the length
+    text = "a = 'q1W!z9Kd'\n" + "a = a + a\n" * 40 + "passphrase = a"
+    assert [(s.kind, text[s.start : s.end]) for s in secret_scan.find(text)] == [("flow", "q1W!z9Kd")]
+    chain = "pwd = 'q1W!z9Kd'\n" + "".join(f"pwd = pwd + 'x{i}'\n" for i in range(60_000))
+    assert len(secret_scan.find(chain)) == 60_001
+    keys = "".join(f'db_pwd_{i} = "q8Zt!kd{i}Pqm"\ntoken: abcdefgh{i}ZZ\n' for i in range(100_000))
+    assert len(keys) > 4_500_000
+    found = secret_scan.find(keys)
+    assert sum(s.kind == "literal" for s in found) == 100_000 and sum(s.kind == "assign" for s in found) == 100_000
+    assert time.monotonic() - started < 60
+
+
 def test_edges_and_redaction(spark):
     rows = secret_scan.scan(edge_docs(spark)).collect()
     assert len(rows) == edge_docs(spark).count()
