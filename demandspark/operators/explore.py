@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.functions import columns as C
+from demandspark.operators.quantiles import grouped_quantiles
+from demandspark.sources.staging import stage
 
 
 def _revenue(df: DataFrame) -> Column:
@@ -114,22 +116,21 @@ def flag_lift(df: DataFrame, flags: Sequence[str] = ("Promotion", "Holiday")) ->
 
 
 def box_stats(df: DataFrame, flag: str, column: str = schemas.TARGET, whisker: float = 1.5) -> DataFrame:
-    """What a box plot shows per flag value: quartiles, whisker ends, outliers.
-
-    Works on counts per distinct value, so each flag value is a small group.
-    """
-    values = df.groupBy(F.col(flag).alias("flag_value"), F.col(column).alias("v")).agg(F.count("*").alias("n"))
-    boxes = values.groupBy("flag_value").agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q"))
+    """What a box plot shows per flag value: quartiles, whisker ends, outliers. Each flag value may be a large part of
+    the table: quartiles come from ``grouped_quantiles``, the rest from one aggregate."""
+    values = df.select(F.col(flag).alias("flag_value"), F.col(column).alias("v"))
+    boxes = grouped_quantiles(values, ["flag_value"], "v", [0.25, 0.5, 0.75]).drop("total")
     q25, q75, v = F.col("q")[0], F.col("q")[2], F.col("v")
     reach = whisker * (q75 - q25)
     inside = v.between(q25 - reach, q75 + reach)
     return (
         values.join(boxes, "flag_value")
-        .groupBy("flag_value", "q")
+        .groupBy("flag_value")
         .agg(
+            F.first("q").alias("q"),
             F.min(F.when(inside, v)).cast("double").alias("whisker_low"),
             F.max(F.when(inside, v)).cast("double").alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+            F.count_if(~inside).alias("outliers"),
         )
         .select(
             F.lit(flag).alias("flag"),
@@ -171,9 +172,11 @@ def correlation_long(
 
     Each task adds up its rows' cross products in one small matrix; only these are combined. Rows
     with a missing value in one of the columns are left out; a column without spread gives null.
-    Runs when called: the matrix comes to the driver.
+    Runs when called: the columns are written out, since they are read more than once, and the matrix comes to the
+    driver.
     """
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(df).select("v")
+    narrow = stage(df.select(*columns), "correlated")
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(narrow).select("v")
     matrix = Correlation.corr(vectors, "v").first()[0].toArray()
     rows = [
         (a, b, None if isnan(matrix[i][j]) else float(matrix[i][j]))

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 
 from demandspark import schemas
 from demandspark.functions import columns as C
+from demandspark.operators.quantiles import exact_median
 
 SLICE_DAYS = 1461
 
@@ -146,7 +147,7 @@ def add_history(
         raise ValueError(f"unknown fill: {fill}")
     past = add_past(df, lags, windows, slice_days=slice_days)
     if median is None:
-        middle = df.agg(F.median(schemas.TARGET).alias("median")).scalar()
+        middle = exact_median(df, schemas.TARGET).scalar()
     else:
         middle = F.lit(float(median))
     past = past.withColumn("middle", middle)

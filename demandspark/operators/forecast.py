@@ -13,13 +13,14 @@ from pyspark.ml.feature import (
     TargetEncoder,
     VectorAssembler,
 )
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.functions import rules as R
+from demandspark.operators.boosting import BoostedTrees
 from demandspark.operators.features import serving_features
 from demandspark.operators.lookup import admit
 
@@ -151,9 +152,9 @@ def regressor(kind: str, **params):
     if kind == schemas.BOOSTED:
         settings = {
             "maxIter": 150, "stepSize": 0.08, "maxDepth": 6, "subsamplingRate": 0.85,
-            "featureSubsetStrategy": "0.85", "maxBins": 64, "seed": 42,
+            "columnRate": 0.85, "regLambda": 1.0, "maxBins": 64, "seed": 42,
         }
-        return GBTRegressor(**{**common, **settings, **params})
+        return BoostedTrees(**{**common, **settings, **params})
     raise ValueError(f"unknown model: {kind}")
 
 

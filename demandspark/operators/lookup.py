@@ -108,11 +108,10 @@ def validate_requests(df: DataFrame, rules: Mapping[str, str]) -> tuple[DataFram
     return judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0)
 
 
-def admit(
+def judge(
     df: DataFrame, rules: Mapping[str, str], catalog: DataFrame, more: Mapping[str, Column] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """Rules and catalog in one go: accepted requests with the catalog's columns as
-    ``catalog_*``, and rejects with reasons; accepted and rejects add up to the input.
+) -> DataFrame:
+    """Requests with the catalog's columns as ``catalog_*`` and the ``reasons`` to refuse them, none for a good one.
 
     ``more`` names conditions over requests and catalog columns, for rows that pass the rest.
     """
@@ -132,10 +131,21 @@ def admit(
     for name, test in (more or {}).items():
         failed = (F.size("reasons") == 0) & ~F.coalesce(test, F.lit(False))
         judged = judged.withColumn("reasons", F.when(failed, F.array(F.lit(name))).otherwise(F.col("reasons")))
-    extra = [c for c in found.columns if c != "catalog_id"]
-    accepted = judged.filter(F.size("reasons") == 0).select(*df.columns, *extra)
-    rejects = judged.filter(F.size("reasons") > 0).select(*df.columns, "reasons")
-    return accepted, rejects
+    return judged.drop("catalog_id")
+
+
+def parted(judged: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Accepted requests with the catalog's columns, and rejects with ``columns`` and their reasons."""
+    accepted = judged.filter(F.size("reasons") == 0).drop("reasons")
+    return accepted, judged.filter(F.size("reasons") > 0).select(*columns, "reasons")
+
+
+def admit(
+    df: DataFrame, rules: Mapping[str, str], catalog: DataFrame, more: Mapping[str, Column] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Rules and catalog in one go: accepted requests with the catalog's columns as
+    ``catalog_*``, and rejects with reasons; accepted and rejects add up to the input."""
+    return parted(judge(df, rules, catalog, more), df.columns)
 
 
 def _sale_revenue() -> Column:
@@ -143,10 +153,19 @@ def _sale_revenue() -> Column:
     return F.bround(C.net_revenue(F.col("units_sold"), F.col("catalog_unit_price"), discount), 2)
 
 
+def judge_sales(df: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``judge`` by the rules for sales; a revenue that the sales table cannot hold is a reason too.
+
+    Only amounts near that limit are worked out in decimals for it.
+    """
+    share = 1 - F.coalesce(F.col("discount"), F.lit(0.0)) / 100
+    rough = F.abs(F.col("units_sold").cast("double") * F.col("catalog_unit_price").cast("double") * share)
+    exact = _sale_revenue().try_cast("decimal(12,2)").isNotNull()
+    return judge(df, R.SALE_RULES, catalog, {"revenue": F.when(rough < 9e9, F.lit(True)).otherwise(exact)})
+
+
 def admit_sales(df: DataFrame, catalog: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``admit`` by the rules for sales; a revenue that the sales table cannot hold is a reason too."""
-    fits = _sale_revenue().try_cast("decimal(12,2)").isNotNull()
-    return admit(df, R.SALE_RULES, catalog, {"revenue": fits})
+    return parted(judge_sales(df, catalog), df.columns)
 
 
 def price_sales(accepted: DataFrame) -> DataFrame:

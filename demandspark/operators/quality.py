@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.functions import columns as C
-from demandspark.operators.running import running_sum
+from demandspark.operators.quantiles import exact_quantiles, grouped_quantiles
 from demandspark.sources.staging import stage
 
 # Cleaning steps in order; a row is charged to the first step it fails.
@@ -63,36 +63,12 @@ def audit_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """``column_name`` and ``q``, the exact quantiles of each column, interpolated as ``percentile`` does.
+def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
+    """Count, mean, deviation, exact quartiles and range per column.
 
-    Equal values are counted before the shuffle. A running count over ranges of the values tells
-    where each rank lies, so no task holds a column, however many different values it has.
+    The columns are read once for the moments and three times for the quartiles, so they are written out first.
     """
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
-    counts = C.unfold(df, rows).filter(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count("*").alias("n"))
-    placed = running_sum(counts, ["column_name"], [F.col("v")], "n", "before")
-    totals = placed.groupBy("column_name").agg(F.sum("n").alias("total"))
-    placed = placed.join(totals, "column_name")
-
-    def at(rank: Column) -> Column:
-        inside = (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-        return F.max(F.when(inside, F.col("v")))
-
-    spots = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
-    ends = [at(f(spot)) for spot in spots for f in (F.floor, F.ceil)]
-    picked = placed.groupBy("column_name", "total").agg(F.array(*ends).alias("v"))
-
-    def between(i: int) -> Column:
-        low, high = F.get("v", F.lit(2 * i)), F.get("v", F.lit(2 * i + 1))
-        share = spots[i] - F.floor(spots[i])
-        return F.when(share == 0, low).otherwise((1 - share) * low + share * high)
-
-    return picked.select("column_name", F.array(*[between(i) for i in range(len(spots))]).alias("q"))
-
-
-def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
-    """Count, mean, deviation, exact quartiles and range per column."""
+    df = stage(df.select(*columns), "profiled")
     wide = df.agg(
         *[
             F.struct(
@@ -129,25 +105,16 @@ def numeric_profile(df: DataFrame, columns: Sequence[str], digits: int = 6) -> D
 def outliers_iqr(df: DataFrame, column: str, k: float = 3.0, weight: str | None = None) -> DataFrame:
     """Quartiles, upper bound q75 + k * IQR and the number of values above it.
 
-    Works on the counts per value, so the table is read once. ``weight`` names a column with
-    the number of rows each row stands for.
+    ``weight`` names a column with the number of rows each row stands for. The quartiles are scalars of the plan;
+    the table is then read once more to count.
     """
-    count = F.count("*") if weight is None else F.sum(weight)
-    histogram = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(count.alias("n"))
-    quartiles = histogram.agg(F.percentile("v", [0.25, 0.75], F.col("n")).alias("q"))
-    bound = quartiles.select((F.col("q")[1] + k * (F.col("q")[1] - F.col("q")[0])).alias("bound"))
-    above = histogram.agg(
-        F.percentile("v", [0.25, 0.75], F.col("n")).alias("q"),
-        F.coalesce(F.sum(F.when(F.col("v") > bound.scalar(), F.col("n"))), F.lit(0)).alias("outliers"),
-    )
-    q25, q75 = F.col("q")[0], F.col("q")[1]
-    return above.select(
-        F.lit(column).alias("column_name"),
-        q25.alias("q25"),
-        q75.alias("q75"),
-        (q75 + k * (q75 - q25)).alias("upper_bound"),
-        "outliers",
-    )
+    quartiles = grouped_quantiles(df, [], column, [0.25, 0.75], weight).agg(F.max("q").alias("q"))
+    q25, q75 = F.get("q", F.lit(0)), F.get("q", F.lit(1))
+    quartiles = quartiles.select(q25.alias("q25"), q75.alias("q75"), (q75 + k * (q75 - q25)).alias("upper_bound"))
+    count = F.lit(1) if weight is None else F.col(weight)
+    bound = quartiles.select("upper_bound").scalar()
+    above = df.agg(F.coalesce(F.sum(F.when(F.col(column) > bound, count)), F.lit(0)).alias("outliers"))
+    return quartiles.join(above).select(F.lit(column).alias("column_name"), "q25", "q75", "upper_bound", "outliers")
 
 
 def _first_failure() -> Column:
@@ -217,6 +184,11 @@ def cleaning_waterfall(judged: DataFrame, outlier_k: float = 3.0) -> DataFrame:
     return counters.unionByName(report)
 
 
+def _median(df: DataFrame, keys: Sequence[str], column: str, name: str, weight: str | None = None) -> DataFrame:
+    found = grouped_quantiles(df, keys, column, [0.5], weight)
+    return found.select(*keys, F.get("q", F.lit(0)).alias(name))
+
+
 def impute(kept: DataFrame) -> DataFrame:
     """Fill the gaps: discount by 0, price by the product's median, stock by the median of the
     series and then by the median of the stock as filled so far.
@@ -227,8 +199,8 @@ def impute(kept: DataFrame) -> DataFrame:
     kept = kept.fillna({"Discount": 0.0})
     gap = F.col("Unit_Price").isNull() | F.col("Inventory_Level").isNull()
     whole, gappy = kept.filter(~gap), kept.filter(gap)
-    price = kept.groupBy("Product_ID").agg(F.median("Unit_Price").alias("median_price"))
-    stock = kept.groupBy(*schemas.SERIES_KEYS).agg(F.median("Inventory_Level").alias("median_stock"))
+    price = _median(kept, ["Product_ID"], "Unit_Price", "median_price")
+    stock = _median(kept, schemas.SERIES_KEYS, "Inventory_Level", "median_stock")
     series_filled = (
         gappy.join(price, "Product_ID", "left")
         .join(stock, schemas.SERIES_KEYS, "left")
@@ -247,7 +219,7 @@ def impute(kept: DataFrame) -> DataFrame:
         .groupBy("Inventory_Level")
         .agg(F.count("*").alias("n"))
     )
-    middle = levels.agg(F.percentile("Inventory_Level", 0.5, F.col("n")).alias("middle")).scalar()
+    middle = _median(levels, [], "Inventory_Level", "middle", "n").agg(F.max("middle")).scalar()
     filled = series_filled.withColumn("Inventory_Level", F.coalesce("Inventory_Level", middle))
     return whole.unionByName(filled)
 

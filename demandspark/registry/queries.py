@@ -431,6 +431,18 @@ def stump_on_promotion(spark, sf_dir):
     return scored.select("Promotion", F.bround("raw_prediction", 6).alias("mean_units"))
 
 
+def boosted_two_rounds(spark, sf_dir):
+    """Two regularised trees of one split each over two flags and the month, on all rows of the panel."""
+    daily = stored_panel(spark, sf_dir).withColumn("Late", (F.dayofmonth("Date") > 20).cast("int"))
+    inputs = ["Promotion", "Holiday", "Late"]
+    vectors = VectorAssembler(inputCols=inputs, outputCol="features")
+    model = forecast.regressor(
+        schemas.BOOSTED, maxIter=2, maxDepth=1, stepSize=0.5, regLambda=100.0, subsamplingRate=1.0, columnRate=1.0
+    ).fit(vectors.transform(daily))
+    scored = model.transform(vectors.transform(daily.select(*inputs).distinct()))
+    return scored.select(*inputs, F.bround("raw_prediction", 6).alias("yhat"))
+
+
 def encoded_totals(spark, sf_dir):
     """What one-hot encoding and scaling give: a count per store, and mean and deviation per number."""
     table = features.build_features(stored_panel(spark, sf_dir))
@@ -734,6 +746,7 @@ QUERIES: dict[str, Query] = {
     "boosted_forecast": _learned(schemas.BOOSTED),
     "linear_on_lag": linear_on_lag,
     "stump_on_promotion": stump_on_promotion,
+    "boosted_two_rounds": boosted_two_rounds,
     "encoded_totals": encoded_totals,
     "batch_scoring": batch_scoring,
     "batch_scoring_baseline": batch_scoring_baseline,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from demandspark.operators.lookup import admit_sales, price_sales
+from demandspark.operators.lookup import judge_sales, parted, price_sales
 
 
 def read_requests(
@@ -35,13 +35,13 @@ def start_sales_stream(
     the others go to ``<out_dir>/rejects`` with reasons. Ends when the input is used up."""
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        judged = judge_sales(batch, catalog).persist()  # joined and judged once for both outputs
         try:
-            accepted, rejects = admit_sales(batch, catalog)
+            accepted, rejects = parted(judged, batch.columns)
             price_sales(accepted).write.mode("overwrite").parquet(f"{out_dir}/sales/batch={batch_id}")
             rejects.write.mode("overwrite").parquet(f"{out_dir}/rejects/batch={batch_id}")
         finally:
-            batch.unpersist()
+            judged.unpersist()
 
     return (
         requests.writeStream.foreachBatch(record)
