@@ -34,12 +34,14 @@ _FOUND = "anchor long, slot int, vec_id long, score long"
 class Settings:
     """``k`` positives and negatives; a negative scores at least ``percent`` of its positive and no more than it.
 
+    Shards hold ``shard_rows`` rows, or fewer in a table that has too few for all tasks, down to ``least_rows``.
     ``sample_rows`` bounds the rows that choose the slabs; what is found does not depend on them.
     """
 
     k: int = 5
     percent: int = 80
     shard_rows: int = 32768
+    least_rows: int = 2048
     page_shards: int = 512
     salt_anchors: int = 1024
     leaf: int = 64
@@ -236,7 +238,9 @@ def shards(rows: DataFrame, settings: Settings) -> DataFrame:
             edges = np.unique(np.quantile(seen[:, at], np.arange(1, settings.slabs) / settings.slabs))
             value = F.coalesce(F.try_element_at("vec", F.lit(int(at) + 1)), F.lit(0.0))
             keys.append(sum((F.when(value >= float(e), 1).otherwise(0) for e in edges), F.lit(0)))
-    n = max(1, ceil(total / settings.shard_rows))
+    # a small table is shared by all tasks as well
+    spread = min(ceil(total / settings.least_rows), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, ceil(total / settings.shard_rows), spread)
     ranged = rows.repartitionByRange(n, *keys, F.col("vec_id"), F.xxhash64("vec"))
     return stage(ranged.withColumn("part", F.spark_partition_id().cast("long")), "shards")
 
