@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from demandspark import schemas
 from demandspark.functions import columns as C
@@ -26,6 +27,14 @@ def leaderboard(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("mae", "model")
 
 
+def against_naive(metrics: DataFrame, naive: str = schemas.NAIVE) -> DataFrame:
+    """The leaderboard with each model's ``rank`` and whether its error is below that of the naive forecast; null if
+    that is not among them. One row per model, so one task orders them."""
+    error = metrics.filter(F.col("model") == naive).agg(F.min("mae").alias("mae")).scalar()
+    ranked = metrics.withColumn("rank", F.row_number().over(W.orderBy("mae", "model")))
+    return ranked.withColumn("beats_naive", F.col("mae") < error).orderBy("rank")
+
+
 def best_model(metrics: DataFrame) -> DataFrame:
     """The model with the lowest MAE, with its metrics and the reason as text."""
     winner = leaderboard(metrics).limit(1)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable, Mapping
+from functools import partial
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import (
@@ -23,6 +25,7 @@ from demandspark.functions import rules as R
 from demandspark.operators.boosting import BoostedTrees
 from demandspark.operators.features import serving_features
 from demandspark.operators.lookup import admit
+from demandspark.operators.side_by_side import side_by_side
 
 LEARNED = [schemas.LINEAR, schemas.FOREST, schemas.BOOSTED]
 
@@ -165,23 +168,37 @@ def learned_pipeline(kind: str, **params) -> Pipeline:
 def fit_models(
     train: DataFrame, kinds: Iterable[str] = LEARNED, params: Mapping[str, dict] | None = None
 ) -> dict[str, PipelineModel]:
-    """Fit the learned models; encoding and scaling are fitted on the training rows only, once
-    for the linear model and once for the trees."""
+    """Fit the learned models side by side; encoding and scaling are fitted on the training rows only, once for the
+    linear model and once for the trees.
+
+    A model that cannot be fitted does not stop the others: it is left out with a warning. An error is raised if none
+    can be.
+    """
     params = params or {}
-    models = {}
-    for family in ([k for k in kinds if k == schemas.LINEAR], [k for k in kinds if k != schemas.LINEAR]):
-        if not family:
-            continue
-        prepared = Pipeline(stages=stages_for(family[0])).fit(train)
-        # Trees pass over the data once per level; keep the vectors, spilling to disk.
-        vectors = prepared.transform(train).select("features", F.col(schemas.TARGET).cast("double")).persist()
-        try:
+    kinds = list(kinds)
+    families = [[k for k in kinds if k == schemas.LINEAR], [k for k in kinds if k != schemas.LINEAR]]
+    vectors, fits = [], {}
+    try:
+        for family in filter(None, families):
+            prepared = Pipeline(stages=stages_for(family[0])).fit(train)
+            # Trees pass over the data once per level; keep the vectors, spilling to disk.
+            kept = prepared.transform(train).select("features", F.col(schemas.TARGET).cast("double")).persist()
+            vectors.append(kept)
             for kind in family:
-                fitted = regressor(kind, **params.get(kind, {})).fit(vectors)
-                models[kind] = PipelineModel([*prepared.stages, fitted])
-        finally:
-            vectors.unpersist()
-    return models
+                fits[kind] = partial(_fitted, kind, params.get(kind, {}), prepared, kept)
+        models, failures = side_by_side(train.sparkSession, fits)
+    finally:
+        for kept in vectors:
+            kept.unpersist()
+    if failures and not models:
+        raise ExceptionGroup("no model could be fitted", list(failures.values()))
+    for kind, error in failures.items():
+        warnings.warn(f"{kind} could not be fitted: {error}", stacklevel=2)
+    return {kind: models[kind] for kind in kinds if kind in models}
+
+
+def _fitted(kind: str, params: dict, prepared: PipelineModel, vectors: DataFrame) -> PipelineModel:
+    return PipelineModel([*prepared.stages, regressor(kind, **params).fit(vectors)])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:

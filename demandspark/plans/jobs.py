@@ -30,7 +30,8 @@ def train_and_rank(
     model_path: str | None = None,
     board_path: str | None = None,
 ):
-    """Features, split, five forecasters, leaderboard; saves the best learned model.
+    """Features, split, five forecasters, leaderboard; saves the best learned model. A learned model that cannot be
+    fitted is left out.
 
     The feature table is written once to the shared folder, since fitting reads it many times.
     Returns (models, predictions, leaderboard).
@@ -39,6 +40,7 @@ def train_and_rank(
     start = forecast.split_date(table, ratio).first().split_date
     train, test = table.filter(table.Date < start), table.filter(table.Date >= start)
     models, predictions = forecast.train_all(train, test, kinds, params)
+    predictions = stage(predictions, "predictions")  # scoring is not repeated by whoever reads them
     board = stage(E.evaluate(predictions), "metrics")
     if board_path:
         save_leaderboard(E.leaderboard(board), board_path)

@@ -411,6 +411,33 @@ def _learned(kind) -> Query:
     return query
 
 
+_TRAINED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _five_predictions(spark, sf_dir) -> DataFrame:
+    """Predictions of all five models at their full settings over the test days. The queries about all five share
+    one training per application; the predictions are a stored table."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TRAINED:
+        _, _TRAINED[key], _ = jobs.train_and_rank(stored_panel(spark, sf_dir))
+    return _TRAINED[key]
+
+
+def leaderboard_five(spark, sf_dir):
+    return E.against_naive(E.evaluate(_five_predictions(spark, sf_dir)))
+
+
+def best_of_five(spark, sf_dir):
+    return E.best_model(E.evaluate(_five_predictions(spark, sf_dir)))
+
+
+def prediction_pivot_five(spark, sf_dir):
+    """Actual and predicted units of all models side by side, for all test rows."""
+    names = ["naive", "moving_average", "linear", "forest", "boosted"]
+    columns = dict(zip([schemas.NAIVE, schemas.MOVING_AVERAGE, *forecast.LEARNED], names, strict=True))
+    return E.wide_predictions(_five_predictions(spark, sf_dir), columns, n=None)
+
+
 def linear_on_lag(spark, sf_dir):
     """Slope and intercept of the linear model on one column."""
     table = features.add_history(stored_panel(spark, sf_dir))
@@ -744,6 +771,9 @@ QUERIES: dict[str, Query] = {
     "linear_forecast": _learned(schemas.LINEAR),
     "forest_forecast": _learned(schemas.FOREST),
     "boosted_forecast": _learned(schemas.BOOSTED),
+    "leaderboard_five": leaderboard_five,
+    "best_of_five": best_of_five,
+    "prediction_pivot_five": prediction_pivot_five,
     "linear_on_lag": linear_on_lag,
     "stump_on_promotion": stump_on_promotion,
     "boosted_two_rounds": boosted_two_rounds,

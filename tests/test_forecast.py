@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import threading
 from datetime import date, timedelta
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from demandspark import schemas
 from demandspark.operators import evaluate as E
 from demandspark.operators import features, forecast
+from demandspark.operators.side_by_side import side_by_side
 from demandspark.plans import jobs
 from demandspark.sources.models import load_forecaster
 
@@ -110,6 +112,32 @@ def test_train_rank_save_and_score(spark, tmp_path):
     assert {r.store_id: r.risk_level for r in decisions.collect()} == {s: r.risk_level for s, r in risks.items()}
 
 
+def test_a_model_that_fails_does_not_stop_the_others(spark):
+    train, _, _ = forecast.chronological_split(features.build_features(_market(spark, 60)), 0.25)
+    bad = {schemas.FOREST: {"maxBins": 1}}
+    with pytest.warns(UserWarning, match="Random Forest"):
+        models = forecast.fit_models(train, [schemas.LINEAR, schemas.FOREST], bad)
+    assert list(models) == [schemas.LINEAR]
+    with pytest.raises(ExceptionGroup):
+        forecast.fit_models(train, [schemas.FOREST], bad)
+
+
+def test_jobs_run_side_by_side_in_their_own_pools(spark):
+    seen, meet = {}, threading.Barrier(2, timeout=60)
+
+    def task(name):
+        meet.wait()  # both are running now
+        context = spark.sparkContext
+        seen[name] = (context.getLocalProperty("spark.scheduler.pool"), context.getLocalProperty("spark.jobGroup.id"))
+        if name == "bad":
+            raise ValueError(name)
+        return spark.range(5).count()
+
+    results, failures = side_by_side(spark, {n: lambda n=n: task(n) for n in ("good", "bad")})
+    assert results == {"good": 5} and str(failures["bad"]) == "bad"
+    assert seen == {"good": ("good", "good"), "bad": ("bad", "bad")}
+
+
 def test_unknown_category_encodes_to_zeros(spark):
     from pyspark.ml import Pipeline
 

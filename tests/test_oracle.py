@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as driver
 from demandspark import schemas
+from demandspark.operators import forecast
 from demandspark.registry.oracle import ORACLE
 from demandspark.registry.queries import QUERIES
 
@@ -42,6 +43,29 @@ def test_learned_query_beats_naive(spark, name, naive_error):
     assert sum(abs(r.y - r.yhat) for r in rows) / len(rows) < naive_error
 
 
+def test_five_models_at_full_settings(spark):
+    board = QUERIES["leaderboard_five"](spark, SF_DIR).collect()
+    assert [r["rank"] for r in board] == [1, 2, 3, 4, 5] and [r.mae for r in board] == sorted(r.mae for r in board)
+    by_model = {r.model: r for r in board}
+    for r in QUERIES["leaderboard_baselines"](spark, SF_DIR).collect():  # the rows that SQL confirms
+        assert tuple(by_model[r.model][c] for c in ("mae", "rmse", "mape")) == (r.mae, r.rmse, r.mape)
+    naive = by_model[schemas.NAIVE]
+    assert all(r.beats_naive == (r.mae < naive.mae) for r in board)
+    assert all(by_model[m].beats_naive for m in forecast.LEARNED) and not naive.beats_naive
+    best = QUERIES["best_of_five"](spark, SF_DIR).first()
+    assert best.model == board[0].model and best.model in forecast.LEARNED and f"(MAE: {best.mae})" in best.rationale
+
+    wide = QUERIES["prediction_pivot_five"](spark, SF_DIR).collect()
+    baselines = {(r.Date, r.Store_ID, r.Product_ID): r for r in QUERIES["prediction_pivot"](spark, SF_DIR).collect()}
+    assert len(wide) == len(baselines)
+    for r in wide:
+        other = baselines[r.Date, r.Store_ID, r.Product_ID]
+        assert (r.actual, r.naive, r.moving_average) == (other.actual, other.naive, other.moving_average)
+    for name, model in (("linear", schemas.LINEAR), ("forest", schemas.FOREST), ("boosted", schemas.BOOSTED)):
+        error = sum(abs(r.actual - r[name]) for r in wide) / len(wide)
+        assert abs(error - by_model[model].mae) < 0.006
+
+
 def test_batch_scoring_has_the_accepted_requests(spark):
     rows = QUERIES["batch_scoring"](spark, SF_DIR).collect()
     baseline = QUERIES["batch_scoring_baseline"](spark, SF_DIR).collect()
