@@ -18,6 +18,8 @@ from demandspark.functions import columns as C
 from demandspark.operators.quantiles import exact_median
 
 SLICE_DAYS = 1461
+LAGS = (1, 7, 30)
+WINDOWS = (7, 30)
 
 
 def add_revenue(df: DataFrame, round_to: int | None = 2) -> DataFrame:
@@ -35,8 +37,8 @@ def add_calendar(df: DataFrame, day: str = "Date") -> DataFrame:
 
 def add_past(
     df: DataFrame,
-    lags: Sequence[int] = (1, 7, 30),
-    windows: Sequence[int] = (7, 30),
+    lags: Sequence[int] = LAGS,
+    windows: Sequence[int] = WINDOWS,
     value: str = schemas.TARGET,
     slice_days: int = SLICE_DAYS,
 ) -> DataFrame:
@@ -130,8 +132,8 @@ def add_past(
 
 def add_history(
     df: DataFrame,
-    lags: Sequence[int] = (1, 7, 30),
-    windows: Sequence[int] = (7, 30),
+    lags: Sequence[int] = LAGS,
+    windows: Sequence[int] = WINDOWS,
     fill: str = "bfill",
     median: float | None = None,
     slice_days: int = SLICE_DAYS,
@@ -150,6 +152,13 @@ def add_history(
         middle = exact_median(df, schemas.TARGET).scalar()
     else:
         middle = F.lit(float(median))
+    return fill_gaps(past, middle, lags, windows, fill)
+
+
+def fill_gaps(
+    past: DataFrame, middle: Column, lags: Sequence[int] = LAGS, windows: Sequence[int] = WINDOWS, fill: str = "bfill"
+) -> DataFrame:
+    """The columns of ``add_past`` without gaps, see ``add_history``; ``middle`` is the median of all units."""
     past = past.withColumn("middle", middle)
     filled = {}
     for name, first_row in [(f"Lag_{k}", k) for k in lags] + [(f"Rolling_Mean_{n}", 1) for n in windows]:

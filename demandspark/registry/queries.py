@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -14,7 +15,7 @@ from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.functions import rules as R
 from demandspark.operators import evaluate as E
-from demandspark.operators import explore, features, forecast, inventory, lookup, quality, replenish
+from demandspark.operators import explore, features, forecast, history_store, inventory, lookup, quality, replenish
 from demandspark.plans import jobs, reports
 from demandspark.sources import bindings as B
 from demandspark.sources import keyed, tables
@@ -119,6 +120,29 @@ def features_history(spark, sf_dir):
     return features.add_history(stored_panel(spark, sf_dir)).select(*KEYS, *schemas.HISTORY_FEATURES)
 
 
+def _history_by_batches(spark, sf_dir) -> tuple[str, str]:
+    """The panel's days in four batches, one after the other; folders of the features and of the store."""
+    daily = stored_panel(spark, sf_dir)
+    root, out = new_folder(spark, "history-store"), new_folder(spark, "history")
+    history_store.create_store(spark, root, buckets=8)
+    first, last = daily.agg(F.min("Date"), F.max("Date")).first()
+    step = (last - first) // 4 + timedelta(days=1)
+    for i in range(4):
+        days = daily.filter(F.col("Date").between(first + i * step, first + (i + 1) * step - timedelta(days=1)))
+        history_store.add_days(days, root, out)
+    return out, root
+
+
+def features_in_batches(spark, sf_dir):
+    out, root = _history_by_batches(spark, sf_dir)
+    return history_store.filled(spark.read.parquet(out), root).select(*KEYS, *schemas.HISTORY_FEATURES)
+
+
+def series_tails(spark, sf_dir):
+    """What serving needs of each series, from the store that the batches have kept up."""
+    return history_store.tail_features(spark, _history_by_batches(spark, sf_dir)[1])
+
+
 def features_full(spark, sf_dir):
     return features.build_features(stored_panel(spark, sf_dir))
 
@@ -716,6 +740,8 @@ QUERIES: dict[str, Query] = {
     "features_calendar": features_calendar,
     "features_lags": features_lags,
     "features_history": features_history,
+    "features_in_batches": features_in_batches,
+    "series_tails": series_tails,
     "features_full": features_full,
     "feature_columns": feature_columns,
     "serving_features": serving_features,

@@ -87,6 +87,22 @@ def read(spark: SparkSession, root: str, number: int | None = None) -> DataFrame
     return _read(spark, root, _pointer(spark, root, number))
 
 
+def _touched(changes: DataFrame, pointer: dict) -> list[int]:
+    """The buckets of the keys of ``changes``."""
+    return sorted(r[0] for r in changes.select(_bucket(pointer["keys"], pointer["buckets"])).distinct().collect())
+
+
+def read_touched(spark: SparkSession, root: str, changes: DataFrame) -> DataFrame:
+    """The rows of the buckets that hold keys of ``changes``."""
+    pointer = _pointer(spark, root)
+    return _read(spark, root, pointer, _touched(changes, pointer))
+
+
+def last_change(spark: SparkSession, root: str) -> int:
+    """The number of the newest change; the table as it was made is 0."""
+    return _pointers(spark, root)[-1]
+
+
 def change(changes: DataFrame, root: str, how: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
     """Replace the buckets that hold keys of ``changes`` by ``how(rows of these buckets, changes)``.
 
@@ -95,8 +111,7 @@ def change(changes: DataFrame, root: str, how: Callable[[DataFrame, DataFrame],
     """
     spark = changes.sparkSession
     pointer = _pointer(spark, root)
-    keys, n = pointer["keys"], pointer["buckets"]
-    touched = sorted(r[0] for r in changes.select(_bucket(keys, n)).distinct().collect())
+    touched = _touched(changes, pointer)
     if not touched:
         return pointer["number"]
     new = {**pointer, "number": pointer["number"] + 1}
