@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from itertools import combinations
-from math import isnan
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.operators.quantiles import grouped_quantiles
-from demandspark.sources.staging import stage
+
+MERGE_TASKS = 8  # tasks that merge what the others have added up
 
 
 def _revenue(df: DataFrame) -> Column:
@@ -170,17 +171,76 @@ def correlation_long(
 ) -> DataFrame:
     """Pearson correlation of every pair of columns, one row per pair, in one pass.
 
-    Each task adds up its rows' cross products in one small matrix; only these are combined. Rows
-    with a missing value in one of the columns are left out; a column without spread gives null.
-    Runs when called: the columns are written out, since they are read more than once, and the matrix comes to the
-    driver.
+    Each task adds up one small matrix of its rows, centred on their own mean; the matrices are merged in a few tasks
+    and the driver gets one for each of these. Rows with a missing value in one of the columns are left out; a column
+    without spread gives null. Runs when called.
     """
-    narrow = stage(df.select(*columns), "correlated")
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="v", handleInvalid="skip").transform(narrow).select("v")
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
+    numbers = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("x")).filter(
+        F.forall("x", lambda v: v.isNotNull())
+    )
+    size = len(columns)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _Moments.none(size)
+        for batch in batches:
+            total = total + _Moments.of(batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, size))
+        yield total.batch()
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = _Moments.none(size)
+        for batch in batches:
+            for part in _Moments.read(pa.Table.from_batches([batch]), size):
+                total = total + part
+        yield total.batch()
+
+    schema = "n long, mean array<double>, products array<double>"
+    parts = numbers.mapInArrow(gather, schema).repartition(MERGE_TASKS).mapInArrow(merge, schema).toArrow()
+    total = sum(_Moments.read(parts, size), _Moments.none(size))
+    spread = np.sqrt(np.diag(total.products))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        matrix = total.products / np.outer(spread, spread)
     rows = [
-        (a, b, None if isnan(matrix[i][j]) else float(matrix[i][j]))
+        (a, b, float(matrix[i, j]) if spread[i] > 0 and spread[j] > 0 else None)
         for (i, a), (j, b) in combinations(enumerate(columns), 2)
     ]
     table = df.sparkSession.createDataFrame(rows, "left_column string, right_column string, r double")
     return table.select("left_column", "right_column", F.bround("r", digits).alias("correlation"))
+
+
+@dataclass(frozen=True)
+class _Moments:
+    """Number, means and centred sums of products of some rows."""
+
+    n: int
+    mean: np.ndarray
+    products: np.ndarray
+
+    @classmethod
+    def none(cls, size: int) -> _Moments:
+        return cls(0, np.zeros(size), np.zeros((size, size)))
+
+    @classmethod
+    def of(cls, x: np.ndarray) -> _Moments:
+        if not len(x):
+            return cls.none(x.shape[1])
+        mean = x.mean(axis=0)
+        return cls(len(x), mean, (x - mean).T @ (x - mean))
+
+    @classmethod
+    def read(cls, table: pa.Table, size: int) -> list[_Moments]:
+        lines = zip(*(table.column(c).to_pylist() for c in ("n", "mean", "products")), strict=True)
+        return [cls(n, np.array(m), np.array(p).reshape(size, size)) for n, m, p in lines]
+
+    def batch(self) -> pa.RecordBatch:
+        return pa.record_batch(
+            [pa.array([self.n], pa.int64()), pa.array([self.mean.tolist()]), pa.array([self.products.ravel().tolist()])],
+            names=["n", "mean", "products"],
+        )
+
+    def __add__(self, other: _Moments) -> _Moments:
+        n = self.n + other.n
+        if not n:
+            return self
+        step = other.mean - self.mean
+        products = self.products + other.products + np.outer(step, step) * (self.n * other.n / n)
+        return _Moments(n, self.mean + step * (other.n / n), products)

@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from demandspark.functions import columns as C
-
 ACCURACY = 2_000
 
 
@@ -90,10 +88,75 @@ def _match(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     return joined.drop(*[f"{c}__" for c in by])
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> DataFrame:
-    """``column_name`` and ``q``, the exact quantiles of each column; one pass serves all columns."""
-    rows = [F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns]
-    return grouped_quantiles(C.unfold(df, rows), ["column_name"], "v", probabilities).select("column_name", "q")
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], accuracy: int = ACCURACY) -> DataFrame:
+    """``column_name`` and ``q``, the exact quantiles of each column over the whole table; a column without a value has
+    no row.
+
+    All columns go through the steps of ``grouped_quantiles`` together, in three passes without a shuffle of rows:
+    bounds, counts per cell, and the values of the few cells that hold a rank. Runs when called; the driver sees some
+    numbers per column and quantile. ``df`` is read three times; pass a stored table.
+    """
+    spark = df.sparkSession
+    wide = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    reach = 3 / accuracy
+    shares = sorted({e for p in probabilities for e in (max(0.0, p - reach), min(1.0, p + reach))})
+    sketch = [F.percentile_approx(f"c{i}", F.array(*map(F.lit, shares)), accuracy).alias(f"c{i}") for i in range(len(columns))]
+    ends = [sorted(set(found or [])) for found in wide.agg(*sketch).first()]
+    counts = [
+        [F.count(c), *[F.count_if(test) for e in ends[i] for test in (c < e, c <= e)]]
+        for i in range(len(columns))
+        for c in (F.col(f"c{i}"),)
+    ]
+    numbers = iter(wide.agg(*[n.alias(f"n{k}") for k, n in enumerate(n for line in counts for n in line)]).first())
+
+    wanted, spots = [], []  # cells with a rank inside: column, low and high end, rows before; and where each rank lies
+    for i in range(len(columns)):
+        total = next(numbers)
+        upto = [next(numbers) for _ in range(2 * len(ends[i]))]
+        for p in probabilities if total else ():
+            spot = p * (total - 1)
+            for rank in (int(spot // 1), int(-(-spot // 1))):
+                cell = next((k for k, n in enumerate(upto) if n > rank), len(upto))
+                if cell % 2:  # a bound itself
+                    spots.append((i, p, rank, spot, ends[i][cell // 2]))
+                    continue
+                low = ends[i][cell // 2 - 1] if cell else None
+                high = ends[i][cell // 2] if cell < len(upto) else None
+                wanted.append((i, low, high, upto[cell - 1] if cell else 0, rank))
+                spots.append((i, p, rank, spot, None))
+    picked = _picked(wide, wanted) if wanted else {}
+    rows = []
+    for i, name in enumerate(columns):
+        values = []
+        mine = [x for x in spots if x[0] == i]
+        for (_, p, low_rank, spot, low), (_, _, high_rank, _, high) in zip(mine[::2], mine[1::2], strict=True):
+            low = picked[i, low_rank] if low is None else low
+            high = picked[i, high_rank] if high is None else high
+            share = spot - low_rank
+            values.append(low if share == 0 else (1 - share) * low + share * high)
+        if values:
+            rows.append((name, values))
+    return spark.createDataFrame(rows, "column_name string, q array<double>")
+
+
+def _picked(wide: DataFrame, wanted: list[tuple]) -> dict[tuple[int, int], float]:
+    """The values at the wanted ranks, which lie in open cells between two bounds."""
+    cells = sorted({w[:4] for w in wanted}, key=str)
+    parts = []
+    for k, (i, low, high, _) in enumerate(cells):
+        c = F.col(f"c{i}")
+        inside = (F.lit(True) if low is None else c > low) & (F.lit(True) if high is None else c < high)
+        parts.append(F.when(inside & c.isNotNull(), F.struct(F.lit(k).alias("cell"), c.alias("v"))))
+    values = wide.select(F.inline(F.array_compact(F.array(*parts)))).groupBy("cell", "v").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(W.partitionBy("cell").orderBy("v").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = values.withColumn("before", before)
+    asked = [(i, rank, k, rank - cells[k][3]) for i, low, high, n, rank in wanted for k in (cells.index((i, low, high, n)),)]
+    tests = [
+        F.max(F.when((F.col("cell") == k) & (F.col("before") <= r) & (r < F.col("before") + F.col("n")), F.col("v"))).alias(f"v{j}")
+        for j, (_, _, k, r) in enumerate(asked)
+    ]
+    found = placed.agg(*tests).first()
+    return {(i, rank): found[j] for j, (i, rank, _, _) in enumerate(asked)}
 
 
 def exact_median(df: DataFrame, column: str) -> DataFrame:
