@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from demandspark.sources.staging import stage
 
-SCHEMA = "query_id long, vec_id long, score long"
+SCHEMA = "query long, query_id long, vec_id long, score long"
 
 
 @dataclass(frozen=True)
@@ -90,6 +90,7 @@ class Search:
     """The k best candidates of every query of a block among the candidates of a shard."""
 
     def __init__(self, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, settings: Settings) -> None:
+        """``q_ids`` and ``c_ids`` are vec_ids; what is found is told by the query's row number."""
         self.q_order, self.q_root = cover_tree(q, settings.leaf)
         self.c_order, self.c_root = cover_tree(c, settings.leaf)
         self.q_ids, self.q, self.c_ids, self.c = q_ids[self.q_order], q[self.q_order], c_ids[self.c_order], c[self.c_order]
@@ -137,7 +138,7 @@ class Search:
 
     def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         row, column = np.nonzero(np.isfinite(self.score))
-        return self.q_ids[row], self.best[row, column], self.score[row, column].astype(np.int64)
+        return self.q_order[row], self.best[row, column], self.score[row, column].astype(np.int64)
 
 
 def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
@@ -155,11 +156,13 @@ def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
 def search(queries: DataFrame, candidates: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The k best candidates of each query: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
 
-    Both sides hold whole-numbered vectors as ``whole_vectors`` makes them. Scores are exact while sums of
+    Both sides hold whole-numbered vectors as ``whole_vectors`` makes them. A query row that is repeated is asked
+    once; rows that share an id but not the vector are queries each, whose ranks come one after the other. Scores are exact while sums of
     products stay below 2**53. Ties go to the smaller ``vec_id``; a candidate with the query's own id is not
     compared; rows that repeat a candidate are candidates each. Vectors are compared with those of their
     own length. No queries or no candidates give no rows.
     """
+    queries = stage(queries.distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
     n_shards = max(1, ceil(candidates.count() / settings.shard_rows))
     n_blocks = max(1, ceil(queries.count() / settings.block_rows))
     dealt = F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int")
@@ -176,14 +179,16 @@ def search(queries: DataFrame, candidates: DataFrame, settings: Settings = Setti
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             empty = pa.array([], pa.int64())
-            return pa.table({"query_id": empty, "vec_id": empty, "score": empty})
+            return pa.table({name: empty for name in ("query", "query_id", "vec_id", "score")})
         task = Search(*matrix(left), *matrix(right), settings)
         task.run()
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), task.found(), strict=True)))
+        row, best, score = task.found()
+        asked = left.select(["query", "vec_id"]).take(pa.array(row))
+        return pa.table({"query": asked.column(0), "query_id": asked.column(1), "vec_id": best, "score": score})
 
     keys = ["shard", "block", "dim"]
     found = blocks.groupBy(*keys).cogroup(shards.groupBy(*keys)).applyInArrow(run, SCHEMA)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    order = Window.partitionBy("query", "query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -45,6 +45,20 @@ def test_shards_blocks_ties_and_clusters(spark):
     assert result(topk.search(df.where("vec_id % 10 = 0"), df, settings)) == plain(rows, 10)
 
 
+def test_repeated_queries_and_one_id_with_two_vectors(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4).astype(np.float32).tolist()) for i in range(60)]
+    want = plain(rows, 10)
+    df = topk.staged_vectors(vectors(spark, rows))
+    asked = df.where("vec_id % 10 = 0")
+    assert result(topk.search(asked.unionByName(asked).unionByName(asked.where("vec_id = 20")), df)) == want
+    other = rng.normal(size=4).astype(np.float32).tolist()
+    two = topk.whole_vectors(vectors(spark, [(20, other)]))
+    got = result(topk.search(asked.where("vec_id = 20").unionByName(two), df))
+    second = [r for r in plain([*[r for r in rows if r[0] != 20], (20, other)], 20) if r[0] == 20]
+    assert got == sorted([r for r in want if r[0] == 20] + second)
+
+
 def test_edges(spark):
     rows = [
         (0, [1.0, 2.0]), (2, None), (4, []), (6, [float("nan"), 1.0]), (8, [float("inf"), 1.0]), (10, [None, 1.0]),
