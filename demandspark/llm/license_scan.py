@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -111,9 +113,11 @@ SCHEMA = (
 
 @dataclass(frozen=True)
 class Settings:
-    """A licence word is rare if at most ``rare_share`` of the documents hold it."""
+    """For each notice a file's ``probes`` highest-IDF words of it are looked up; ``agree`` of them must stand in the
+    notice's order for a place to be looked at, and ``share`` of the notice's weight must then be found there."""
 
-    rare_share: float = 0.1
+    probes: int = 8
+    agree: float = 0.5
     share: float = 0.6
     drift: int = 3
 
@@ -147,41 +151,69 @@ def document_frequencies(docs: DataFrame) -> tuple[int, dict[str, int]]:
 
 
 class Index:
-    """Postings of the rare words of the notices, and their weights."""
+    """Positions of every word in every notice, and the words' weights over all documents."""
 
     def __init__(self, n_docs: int, df: dict[str, int], settings: Settings) -> None:
         self.settings = settings
-        self.idf = {w: math.log((n_docs + 1) / (df.get(w.decode(), 0) + 1)) for w in VOCABULARY}
-        floor = math.log(1 / settings.rare_share)
-        rare = {w for w, x in self.idf.items() if x >= floor}
-        self.postings: dict[bytes, list[tuple[int, int]]] = defaultdict(list)
-        self.total = []
-        for t, (_, body, _) in enumerate(NOTICES):
-            words = body.encode().split()
-            used = [(q, w) for q, w in enumerate(words) if w in rare] or list(enumerate(words))
-            for q, w in used:
-                self.postings[w].append((t, q))
-            self.total.append(sum(self.idf[w] for _, w in used) or 1.0)
+        # never 0: a notice that all documents carry is a notice all the same
+        self.idf = {w: math.log(1 + (n_docs + 1) / (df.get(w.decode(), 0) + 1)) for w in VOCABULARY}
+        self.bodies = [body.encode().split() for _, body, _ in NOTICES]
+        self.postings: list[dict[bytes, list[int]]] = []
+        for words in self.bodies:
+            at: dict[bytes, list[int]] = defaultdict(list)
+            for q, w in enumerate(words):
+                at[w].append(q)
+            self.postings.append(dict(at))
+        self.total = [sum(self.idf[w] for w in words) for words in self.bodies]
         self.keys = [[k.encode().split() for k in keys] for _, _, keys in NOTICES]
-        self.lengths = [len(body.split()) for _, body, _ in NOTICES]
+        self.key_words = [frozenset(w for key in keys for w in key) for keys in self.keys]
+        self.lengths = [len(words) for words in self.bodies]
 
-    def match(self, words: list[bytes]) -> list[tuple[str, int, float]]:
+    def match(self, words: list[bytes], present: frozenset[bytes]) -> list[tuple[str, int, float]]:
         """Notices that stand in the words: label, where, and the share of their weight found there."""
-        votes: dict[tuple[int, int], float] = defaultdict(float)
-        for p, w in enumerate(words):
-            for t, q in self.postings.get(w, ()):
-                votes[t, p - q] += self.idf[w]
-        found = []
-        for (t, at), own in votes.items():
-            near = own + sum(votes.get((t, at + d), 0.0) for d in range(-self.settings.drift, self.settings.drift + 1) if d)
-            share = min(1.0, near / self.total[t])
-            if share >= self.settings.share and self.verify(words, t, at):
-                found.append((NOTICES[t][0], max(0, at), round(share, 6)))
+        spots: dict[bytes, list[int]] | None = None
         best: dict[tuple[str, int], float] = {}
-        for label, at, share in found:
-            best[label, at] = max(share, best.get((label, at), 0.0))
+        for t, at_of in enumerate(self.postings):
+            if not self.key_words[t] <= present:  # a key phrase cannot stand here
+                continue
+            if spots is None:
+                spots = defaultdict(list)
+                for p, w in enumerate(words):
+                    if w in VOCABULARY:
+                        spots[w].append(p)
+            for at, share in self.aligned(t, at_of, spots):
+                if share >= self.settings.share and self.verify(words, t, at):
+                    found = (NOTICES[t][0], max(0, at))
+                    best[found] = max(round(share, 6), best.get(found, 0.0))
         return [(label, at, share) for (label, at), share in sorted(best.items(), key=lambda x: (x[0][1], x[0][0]))]
 
+    def aligned(self, t: int, at_of: dict[bytes, list[int]], spots: dict[bytes, list[int]]) -> Iterator[tuple[int, float]]:
+        """Places where the file's rarest words of the notice agree, and the share of the notice that stands there."""
+        drift = self.settings.drift
+        rare = sorted((w for w in at_of if w in spots), key=lambda w: (-self.idf[w], w))[: self.settings.probes]
+        votes: dict[int, set[bytes]] = defaultdict(set)
+        for w in rare:
+            for p in spots[w]:
+                for q in at_of[w]:
+                    votes[p - q].add(w)
+        need = self.settings.agree * len(rare)
+        near = range(-drift, drift + 1)
+        for at in votes:
+            agreed = set().union(*(votes[at + d] for d in near if at + d in votes))
+            if len(agreed) >= need:
+                yield at, self.weight(t, at, spots) / self.total[t]
+
+    def weight(self, t: int, at: int, spots: dict[bytes, list[int]]) -> float:
+        """The weight of the notice's words that stand where they should, or a few words beside it."""
+        drift, total = self.settings.drift, 0.0
+        for q, w in enumerate(self.bodies[t]):
+            places_of = spots.get(w)
+            if places_of:
+                k = bisect_left(places_of, at + q - drift)
+                if k < len(places_of) and places_of[k] <= at + q + drift:
+                    total += self.idf[w]
+        return total
+
     def verify(self, words: list[bytes], t: int, at: int) -> bool:
         """All key phrases of the notice stand where it was found."""
         low, high = max(0, at - self.settings.drift), at + self.lengths[t] + self.settings.drift
@@ -210,7 +242,7 @@ def scan(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
             return 0, 0, None, None, "", "", 0.0, []
         present = VOCABULARY.intersection(words)
         hits = [(p, label) for phrase, label in phrases if present.issuperset(phrase) for p in places(words, phrase)]
-        matches = index.match(words) if not present.isdisjoint(index.postings) else []
+        matches = index.match(words, present)
         base = {label for _, label in hits}
         starts = [p for p, _ in hits]
         return (

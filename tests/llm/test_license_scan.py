@@ -53,6 +53,22 @@ def test_notices(spark):
     assert found[4].labels == "cc-by,cc-by-nc-4.0"
 
 
+def test_a_notice_that_all_files_carry(spark):
+    apache = license_scan.NOTICES[1][1]
+    for texts in ([apache], [f"file {i} {apache} body{i}" for i in range(20)]):
+        found = scan(spark, texts)
+        assert all(r.labels == "apache,apache-2.0" and r.score == 1.0 for r in found.values())
+
+
+def test_two_notices_in_one_file_and_words_between(spark):
+    apache, bsd = license_scan.NOTICES[1][1], next(b for label, b, _ in license_scan.NOTICES if label == "bsd")
+    words = apache.split()
+    text = " ".join(words[:20]) + " or so " + " ".join(words[20:]) + " x " * 50 + bsd
+    found = scan(spark, [text, "nothing here"])
+    assert found[0].labels == "apache,apache-2.0,bsd" and found[1].labels == ""
+    assert {m.label for m in found[0].matches} == {"apache-2.0", "bsd"}
+
+
 def test_frequencies_cover_all_documents(spark):
     n, df = license_scan.document_frequencies(documents(spark))
     texts = [r.text for r in documents(spark).collect()]
