@@ -26,14 +26,14 @@ SCHEMA = "doc_id long, lang_pred string, score double, rejected boolean"
 class Settings:
     """``dictionary_bytes`` a language, shared equally by at most ``sample_rows`` rows, bound what is learned.
 
-    With the defaults and a full sample that is the first 81 bytes of each row; ``sample_chars`` only bounds what
-    the driver gets of a row.
+    With the defaults and a full sample that is the first 81 bytes of each row. The driver gets ``raw_chars``
+    characters for each of these bytes, at most ``sample_chars`` of a row.
     """
 
     sample_rows: int = 200
     sample_chars: int = 4096
+    raw_chars: int = 16
     dictionary_bytes: int = 1 << 14
-    max_languages: int = 512
     chunk_bytes: int = 2048
     level: int = 7
     margin: float = 0.005
@@ -48,25 +48,23 @@ def learn(docs: DataFrame, settings: Settings = Settings()) -> dict[str, bytes]:
     """A dictionary per label of ``lang``, from a bounded sample of the rows that have text and label.
 
     The sample is the ``sample_rows`` rows of smallest hash per language. Only keys are ranked; the
-    texts of the chosen rows, at most ``sample_rows * max_languages``, are then looked up and sent to
-    the driver, ``sample_chars`` characters each. Of rows that repeat a key the least text is taken. No rows give
-    no dictionaries.
+    texts of the chosen rows, at most ``sample_rows`` a language, are then looked up and their beginnings sent to
+    the driver, some ``raw_chars * dictionary_bytes`` characters a language, however many there are. Of rows that
+    repeat a key the least text is taken. No rows give no dictionaries.
     """
     rows = docs.where("lang is not null and text is not null").selectExpr(
         "cast(doc_id as string) key", "cast(lang as string) lang", "cast(text as string) text"
     )
     order = Window.partitionBy("lang").orderBy(F.xxhash64("key"), "key")
     chosen = rows.select("key", "lang").withColumn("n", F.row_number().over(order)).where(F.col("n") <= settings.sample_rows)
-    chosen = chosen.select("key", "lang").distinct()
-    picked = rows.join(F.broadcast(chosen), ["key", "lang"]).select(
-        "lang", "key", F.left("text", F.lit(settings.sample_chars)).alias("text")
-    )
+    chosen = chosen.groupBy("lang").agg(F.collect_set("key").alias("keys"))  # `sample_rows` keys at most
+    need = F.least(F.lit(settings.sample_chars), F.ceil(F.lit(settings.raw_chars * settings.dictionary_bytes) / F.size("keys")))
+    chosen = chosen.select("lang", need.cast("int").alias("need"), F.explode("keys").alias("key"))
+    picked = rows.join(F.broadcast(chosen), ["key", "lang"]).select("lang", "key", F.left("text", F.col("need")).alias("text"))
     picked = picked.groupBy("lang", "key").agg(F.min("text").alias("text"))
     found: dict[str, list[tuple[str, str]]] = {}
     for row in picked.toLocalIterator():
         found.setdefault(row.lang, []).append((row.key, row.text))
-        if len(found) > settings.max_languages:
-            raise ValueError(f"more than {settings.max_languages} languages")
     out = {}
     for lang, texts in sorted(found.items()):
         # zstandard weighs nothing: every sample row gets an equal share, the cut falls on all alike
@@ -130,15 +128,18 @@ def held_out(doc_id: Column) -> Column:
 
 
 def accepted(docs: DataFrame, dictionaries: dict[str, bytes], settings: Settings = Settings()) -> DataFrame:
-    """The documents whose language is told with a clear lead; all columns stay as they are."""
+    """The documents whose language is told with a clear lead; all columns stay as they are, whatever their names."""
     kept: list[Classifier] = []
+    names = docs.columns
+    plain_names = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text = f"c{names.index('text')}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not kept:
             kept.append(Classifier(dictionaries, settings))
         for batch in batches:
-            for part in T.slices(batch):
-                clear = [not kept[0].classify(x.as_py())[2] for x in part.column("text")]
+            for part in T.slices(batch, text):
+                clear = [not kept[0].classify(x.as_py())[2] for x in part.column(text)]
                 yield part.filter(pa.array(clear, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return plain_names.mapInArrow(run, plain_names.schema).toDF(*names)

@@ -72,3 +72,12 @@ def test_repeated_key_gives_one_sample_row(spark):
     rows = [(1, f"{chr(97 + i % 26)} text of many under one id number", "xx") for i in range(40)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert language_id.learn(docs) == {"xx": language_id.plain(min(t for _, t, _ in rows))}
+
+
+def test_many_languages_and_names_with_dots(spark):
+    rows = [(i, f"{w} " * 60, f"l{i}", 1) for i, w in enumerate("".join(chr(97 + (i * k) % 26) for k in (1, 3, 7, 11)) + f"{chr(97 + i % 26)}" for i in range(600))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, `a.b` int")
+    assert len(language_id.learn(docs)) == 600
+    few = docs.where("doc_id < 6")
+    kept = language_id.accepted(few, language_id.learn(few), language_id.Settings(margin=0.0))
+    assert kept.columns == docs.columns and kept.count() == 6
