@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandspark.operators.running import running_sum
+from demandspark.llm.running import running_sum
 from demandspark.llm.text import word_count
 from demandspark.sources.staging import stage
 
@@ -35,8 +35,10 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("0"), source.cast("string")), F.lit("1"))
 
 
-def random_key(doc_id: Column, seed: int) -> Column:
-    return F.md5(F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(str(seed))).cast("binary"))
+def random_key(doc_id: Column, text: Column, seed: int) -> Column:
+    """A hash of the id, or of the text of a row without one."""
+    own = F.coalesce(doc_id.cast("string"), F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+    return F.md5(F.concat_ws(":", own, F.lit(str(seed))).cast("binary"))
 
 
 def sized(docs: DataFrame, recipe: Recipe) -> DataFrame:
@@ -45,7 +47,8 @@ def sized(docs: DataFrame, recipe: Recipe) -> DataFrame:
         F.col("doc_id"),
         source_key(F.col("source")).alias("source_key"),
         word_count(F.col("text").cast("string")).alias("size"),
-        random_key(F.col("doc_id"), recipe.seed).alias("key"),
+        random_key(F.col("doc_id"), F.col("text"), recipe.seed).alias("key"),
+        F.monotonically_increasing_id().alias("row"),
     )
     return stage(rows, "sizes")
 
@@ -87,16 +90,17 @@ def targets(sizes: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
 
 def placed(sizes: DataFrame, per: DataFrame) -> DataFrame:
     """Sized rows with the words before them in their source and the source's target."""
-    order = [F.col("key"), F.col("doc_id")]
+    # rows that agree in all but the last are alike; it only lets ranges part them
+    order = [F.col("key"), F.col("doc_id"), F.col("size"), F.col("row")]
     return running_sum(sizes, ["source_key"], order, "size", "before").join(per, "source_key")
 
 
 def mix(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     """How many words the mix takes of every document, repeats counted.
 
-    A null text has no words and none are taken; null sources are one source. Rows that repeat a document
-    are documents of their own with the same key and stand next to each other. An empty table gives an
-    empty result. The words taken of a source are its target, rounded down.
+    A null text has no words and none are taken; null sources are one source. Rows that repeat a ``doc_id``
+    are documents of their own with the same key and come by size, so that reruns agree however the rows are dealt; a row without an id has a key of its text.
+    An empty table gives an empty result. The words taken of a source are its target, rounded down.
     """
     sizes = sized(docs, recipe)
     size, part = F.col("size"), F.col("rest") - F.col("before")
@@ -118,9 +122,9 @@ def mixed(docs: DataFrame, recipe: Recipe = Recipe()) -> DataFrame:
     cuts = stage(per.select("source_key", "epochs").join(ends, "source_key", "left"), "cuts")
     names = docs.columns
     marked = docs.select(
-        F.struct(*[docs[c] for c in names]).alias("row"),
+        F.struct(*[docs[f"`{c}`"] for c in names]).alias("row"),
         source_key(docs["source"]).alias("source_key"),
-        random_key(docs["doc_id"], recipe.seed).alias("key"),
+        random_key(docs["doc_id"], docs["text"], recipe.seed).alias("key"),
         (word_count(docs["text"].cast("string")) > 0).alias("filled"),
     ).where("filled")
     times = F.col("epochs") + F.when(F.col("key") <= F.col("end_key"), 1).otherwise(0)

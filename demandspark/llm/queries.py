@@ -126,7 +126,7 @@ ORACLE: dict[str, str] = {
     "op5_source_mix": r"""
         WITH d AS (
             SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                   md5(coalesce(doc_id::VARCHAR, '') || ':42') AS k
+                   md5(coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))) || ':42') AS k
             FROM documents),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
         w AS (
@@ -143,7 +143,7 @@ ORACLE: dict[str, str] = {
         t AS (SELECT source, source_size, least(most, weight * (SELECT arg_min(level, n) FROM l WHERE level <= full_at)) AS target FROM l),
         p AS (
             SELECT d.*, t.source_size, t.target, floor(t.target)::BIGINT AS budget,
-                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id
+                   coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size
                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
         SELECT doc_id, size, source_size, target,

@@ -93,3 +93,13 @@ def test_native_plan_and_empty_table(spark):
 def test_runs_agree(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     assert result(mixing.mix(docs)) == result(mixing.mix(docs.repartition(5)))
+
+
+def test_reruns_agree_on_repeated_ids_with_other_sizes(spark):
+    rows = [(i % 7, " ".join(["w"] * (1 + i % 5)), "a" if i % 3 else "b") for i in range(200)]
+    rows += [(None, " ".join(["n"] * (i % 4)), "a") for i in range(40)]
+    schema = "doc_id long, text string, source string"
+    found = [
+        sorted(map(tuple, mixing.mix(spark.createDataFrame(rows, schema).repartition(n)).collect()), key=repr) for n in (1, 3, 7)
+    ]
+    assert found[0] == found[1] == found[2] and len({r[4] for r in found[0] if r[0] is None}) > 1
