@@ -338,6 +338,6 @@ def without_copies(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     """
     keep = classes(docs, settings).where("doc_id = class_id").select("doc_id").distinct()
     place = "__place"
-    order = Window.partitionBy("doc_id").orderBy("text", *[c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind])
+    order = Window.partitionBy("doc_id").orderBy("text", *[f"`{c}`" for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind])
     first = docs.join(keep, "doc_id", "left_semi").withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    return first.select(*[f"`{c}`" for c in docs.columns]).unionByName(docs.where("doc_id is null"))

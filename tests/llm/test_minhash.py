@@ -169,6 +169,12 @@ def test_edges(spark):
     assert len(left) == len(set(left)) and 6 in left and 7 not in left
 
 
+def test_names_with_dots_stay(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1), (2, "a b c d e f", 2)], "doc_id long, text string, `a.b` int")
+    kept = minhash.without_copies(docs)
+    assert kept.columns == docs.columns and [tuple(r) for r in kept.collect()] == [(1, "a b c d e f", 1)]
+
+
 def test_rows_with_null_or_repeated_ids(spark):
     texts = [" ".join(f"{x}{k}" for k in range(30)) for x in "cab"]
     rows = [(None, "no id"), (None, texts[0]), *[(7, t) for t in texts], (8, texts[1] + " more")]
