@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.functions import rules as R
+from demandspark.sources.tables import months
 
 
 def only(df: DataFrame, store: str | None = None, product: str | None = None) -> DataFrame:
@@ -38,6 +40,40 @@ def sales_page(
     return ordered.offset(offset).limit(limit)
 
 
+def sales_page_after(
+    spark: SparkSession,
+    path: str,
+    cursor: tuple[date, str, str] | None = None,
+    store: str | None = None,
+    product: str | None = None,
+    limit: int = 50,
+) -> DataFrame:
+    """The page of sales that follows ``cursor`` (date, store and product of the last sale seen), newest first; the
+    first page without one.
+
+    The table at ``path`` is one of ``tables.save_by_month``. From the cursor's month on back only as many months are
+    read as the page needs, however deep it lies: 1, 2, 4, ... are counted until they hold a page. The last row of a
+    page is the next cursor; sales that agree in all three columns must lie on one page.
+    """
+    if not 1 <= limit <= 500:
+        raise ValueError(f"limit must be 1 to 500: {limit}")
+    behind = [m for m in months(spark, path) if cursor is None or m <= (cursor[0].year, cursor[0].month)]
+    sales = only(spark.read.parquet(path), store, product)
+    if cursor is not None:
+        day, last_store, last_product = (F.lit(x) for x in cursor)
+        later = (F.col("store_id") > last_store) | ((F.col("store_id") == last_store) & (F.col("product_id") > last_product))
+        sales = sales.filter((F.col("date") < day) | ((F.col("date") == day) & later))
+    number = F.col("Year") * 12 + F.col("Month")
+    taken = 1
+    while True:
+        first, last = (behind[min(taken, len(behind)) - 1], behind[0]) if behind else ((0, 1), (0, 0))
+        part = sales.filter(number.between(first[0] * 12 + first[1], last[0] * 12 + last[1]))
+        if taken >= len(behind) or part.count() >= limit:
+            break
+        taken *= 2
+    return part.drop("Year", "Month").orderBy(F.desc("date"), "store_id", "product_id").limit(limit)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` per key.
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from demandspark import schemas
@@ -13,7 +14,8 @@ from demandspark.functions import columns as C
 from demandspark.operators.quantiles import exact_quantiles, grouped_quantiles
 from demandspark.sources.staging import stage
 
-# Cleaning steps in order; a row is charged to the first step it fails.
+# Cleaning steps in order; a row is charged to the first step it fails. A feed with raw lines has one step before.
+BAD_LINES = "malformed_lines_dropped"
 STEPS = [
     "invalid_dates_dropped",
     "invalid_ids_dropped",
@@ -133,29 +135,56 @@ def _first_failure() -> Column:
     )
 
 
+def steps_of(df: DataFrame) -> list[str]:
+    """The cleaning steps that apply to a feed."""
+    return [*STEPS, BAD_LINES] if schemas.RAW_LINE in df.columns else STEPS
+
+
 def judge_rows(raw: DataFrame) -> DataFrame:
     """The distinct rows of the feed with their ``copies`` and the step they ``failed``; NaN
-    counts as missing."""
+    counts as missing. A line that could not be read fails before all else."""
     floats = [name for name, kind in raw.dtypes if kind in ("double", "float")]
     raw = raw.withColumns({name: C.nan_to_null(F.col(name)) for name in floats})
-    return _copies(raw, schemas.RAW_SALES.names).withColumn("failed", _first_failure())
-
-
-def cleaning_waterfall(judged: DataFrame, outlier_k: float = 3.0) -> DataFrame:
-    """The cleaning counters as (step, metric, value) rows, from the result of judge_rows."""
+    names, failed = list(schemas.RAW_SALES.names), _first_failure()
+    if schemas.RAW_LINE in raw.columns:
+        names.append(schemas.RAW_LINE)
+        failed = F.when(F.col(schemas.RAW_LINE).isNotNull(), len(STEPS)).otherwise(failed)
+    return _copies(raw, names).withColumn("failed", failed)
+
+
+def _counters(judged: DataFrame) -> dict[str, Column]:
+    """The counts of the waterfall as aggregates over judged rows, in order."""
+    kept, steps = F.col("failed").isNull(), steps_of(judged)
+    order = [*range(len(STEPS), len(steps)), *range(len(STEPS))]
+    return {
+        "initial_rows": F.sum("copies"),
+        "duplicates_removed": F.sum(F.col("copies") - 1),
+        **{steps[i]: F.count_if(F.col("failed") == i) for i in order},
+        "final_rows": F.count_if(kept),
+        **{f"missing_{c}": F.count_if(kept & F.col(c).isNull()) for c in schemas.RAW_SALES.names},
+    }
+
+
+def store_judged(judged: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """The judged rows as a stored table and the counts of the waterfall, taken while it is written."""
+    observed = Observation("waterfall")
+    stored = stage(judged.observe(observed, *[c.alias(m) for m, c in _counters(judged).items()]), "judged-sales")
+    return stored, {name: value or 0 for name, value in observed.get.items()}
+
+
+def cleaning_waterfall(judged: DataFrame, outlier_k: float = 3.0, counts: dict[str, int] | None = None) -> DataFrame:
+    """The cleaning counters as (step, metric, value) rows, from the result of judge_rows. ``counts`` are those that
+    ``store_judged`` has taken; without them the rows are read for it."""
+    counters = _counters(judged)
+    names = list(counters)
+    if counts is None:
+        wide = judged.agg(*[c.alias(m) for m, c in counters.items()])
+    else:
+        wide = judged.sparkSession.range(1).select(*[F.lit(counts[m]).cast("long").alias(m) for m in names])
+    cut = names.index("final_rows") + 1
+    metrics = [*names[:cut], "rows_removed", *names[cut:]]
+    wide = wide.withColumn("rows_removed", F.col("initial_rows") - F.col("final_rows"))
     kept = F.col("failed").isNull()
-    nulls = schemas.RAW_SALES.names
-    wide = judged.agg(
-        F.sum("copies").alias("initial_rows"),
-        F.sum(F.col("copies") - 1).alias("duplicates_removed"),
-        *[F.count_if(F.col("failed") == i).alias(step) for i, step in enumerate(STEPS)],
-        F.count_if(kept).alias("final_rows"),
-        *[F.count_if(kept & F.col(c).isNull()).alias(f"missing_{c}") for c in nulls],
-    ).withColumn("rows_removed", F.col("initial_rows") - F.col("final_rows"))
-    metrics = (
-        ["initial_rows", "duplicates_removed", *STEPS, "final_rows", "rows_removed"]
-        + [f"missing_{c}" for c in nulls]
-    )
     counters = C.unfold(
         wide,
         [
@@ -240,31 +269,38 @@ def enforce_types(df: DataFrame) -> DataFrame:
 
 @dataclass
 class CleanResult:
-    clean: DataFrame
-    rejects: DataFrame
-    waterfall: DataFrame
+    """``clean`` is the panel with dates and enforced types, ``rejects`` the distinct rows that were dropped with the
+    ``reason``, ``waterfall`` the counters. Each is planned when it is asked for."""
+
+    judged: DataFrame
+    counts: dict[str, int] | None = None
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        kept = self.judged.filter(F.col("failed").isNull()).select(*schemas.RAW_SALES.names)
+        return enforce_types(impute(kept.withColumn("Date", C.parse_day(F.col("Date")))))
+
+    @cached_property
+    def rejects(self) -> DataFrame:
+        reason = F.get(F.array(*[F.lit(step) for step in steps_of(self.judged)]), F.col("failed"))
+        dropped = self.judged.filter(F.col("failed").isNotNull())
+        return dropped.select(*[c for c in dropped.columns if c not in ("copies", "failed")], reason.alias("reason"))
+
+    @cached_property
+    def waterfall(self) -> DataFrame:
+        return cleaning_waterfall(self.judged, counts=self.counts)
 
 
 def clean_sales(raw: DataFrame, staged: bool = True) -> CleanResult:
     """Clean the raw feed.
 
-    ``clean`` holds the panel with dates and enforced types, ``rejects`` the distinct rows that
-    were dropped with the ``reason``, ``waterfall`` the counters.
-
     The distinct rows are the one thing that needs the whole feed shuffled, and all three
-    results start from them. They are therefore written once to the shared folder; medians and
-    counters then read only their columns. With ``staged=False`` nothing is written, and each
-    result that is used repeats the shuffle.
+    results start from them. They are therefore written once to the shared folder, and the
+    counters are taken from the rows as they are written; medians then read only their columns. With ``staged=False``
+    nothing is written, and each result that is used repeats the shuffle.
     """
     judged = judge_rows(raw)
-    if staged:
-        judged = stage(judged, "judged-sales")
-    names = schemas.RAW_SALES.names
-    kept = judged.filter(F.col("failed").isNull()).select(*names)
-    kept = kept.withColumn("Date", C.parse_day(F.col("Date")))
-    reason = F.get(F.array(*[F.lit(step) for step in STEPS]), F.col("failed"))
-    rejects = judged.filter(F.col("failed").isNotNull()).select(*names, reason.alias("reason"))
-    return CleanResult(enforce_types(impute(kept)), rejects, cleaning_waterfall(judged))
+    return CleanResult(*store_judged(judged)) if staged else CleanResult(judged)
 
 
 def quality_gate(clean: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -16,7 +16,7 @@ from demandspark.functions import columns as C
 from demandspark.functions import rules as R
 from demandspark.operators import evaluate as E
 from demandspark.operators import explore, features, forecast, history_store, inventory, lookup, quality, replenish
-from demandspark.plans import jobs, reports
+from demandspark.plans import jobs, reports, sql_reports
 from demandspark.sources import bindings as B
 from demandspark.sources import keyed, tables
 from demandspark.sources.staging import new_folder, stage
@@ -76,6 +76,19 @@ def clean_waterfall(spark, sf_dir):
     return quality.clean_sales(B.dirty(spark, sf_dir)).waterfall
 
 
+def malformed_lines(spark, sf_dir):
+    """Lines of a CSV feed that are too short, too long or hold a word for a number, as the cleaning rejects them."""
+    raw = B.dirty(spark, sf_dir)
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in raw.columns]
+    fields[4] = F.when(F.col("Units_Sold") % 97 == 7, F.lit("many")).otherwise(fields[4])
+    line = F.concat_ws(",", *fields)
+    line = F.when(F.col("Units_Sold") % 97 == 3, F.concat_ws(",", *fields[:9])).when(F.col("Units_Sold") % 97 == 5, F.concat(line, F.lit(",more"))).otherwise(line)
+    folder = new_folder(spark, "csv-feed")
+    raw.select(line.alias("value")).write.text(folder)
+    rejects = quality.clean_sales(tables.read_sales(spark, folder, keep_bad_lines=True, header=False)).rejects
+    return rejects.filter(F.col("reason") == quality.BAD_LINES).select(schemas.RAW_LINE, "reason")
+
+
 def quality_gate(spark, sf_dir):
     return quality.quality_gate(quality.clean_sales(B.dirty(spark, sf_dir)).clean)
 
@@ -216,6 +229,19 @@ def r5_forecast_accuracy(spark, sf_dir):
     return reports.forecast_accuracy(B.forecasts(daily), B.sales(daily))
 
 
+def _sql_report(call: str) -> Query:
+    """A report as SQL callers get it: a table function over the registered tables."""
+
+    def query(spark, sf_dir):
+        daily = stored_panel(spark, sf_dir)
+        named = {"products": B.products(daily), "sales": B.sales(daily), "inventory": B.inventory(daily), "forecasts": B.forecasts(daily)}
+        tables.register_catalog(spark, named)
+        sql_reports.register(spark)
+        return spark.sql(f"SELECT * FROM {call}")
+
+    return query
+
+
 def forecast_errors(spark, sf_dir):
     daily = stored_panel(spark, sf_dir)
     return reports.forecast_errors(B.forecasts(daily), B.sales(daily))
@@ -233,6 +259,14 @@ def sales_page_of_store(spark, sf_dir):
     return _plain_sales(page)
 
 
+def sales_page_after(spark, sf_dir):
+    """The page after a sale far back, from sales stored by month."""
+    root = new_folder(spark, "sales-by-month")
+    tables.save_by_month(B.sales(B.panel(spark, sf_dir)), root)
+    cursor = (date(1996, 7, 15), "S10", "P120")
+    return _plain_sales(lookup.sales_page_after(spark, root, cursor, limit=50))
+
+
 def inventory_listing(spark, sf_dir):
     return lookup.only(B.inventory(B.panel(spark, sf_dir)))
 
@@ -704,6 +738,20 @@ def stream_sales_rejects(spark, sf_dir):
     return rejects.withColumn("reasons", F.concat_ws(",", "reasons"))
 
 
+def stream_sales_once(spark, sf_dir):
+    """The sales of a stream whose every file is delivered twice."""
+    out = new_folder(spark, "stream-sales-once")
+    catalog = stage(B.products(B.panel(spark, sf_dir)), "catalog")
+    requests = B.sale_requests(spark, sf_dir).withColumn("requested_at", F.col("date").cast("timestamp"))
+    requests = stage(requests.withColumn("request_id", F.monotonically_increasing_id()), "requests")
+    for _ in range(2):
+        requests.write.mode("append").parquet(f"{out}/in")
+    stream = ingest.read_requests(spark, f"{out}/in", requests.schema)
+    for query in ingest.start_once_only_stream(stream, catalog, out, f"{out}/checkpoint", ["request_id"], "requested_at", "3700 days"):
+        query.awaitTermination()
+    return _plain_sales(spark.read.parquet(f"{out}/sales").drop("batch", "requested_at", "request_id"))
+
+
 def _restocked(spark, sf_dir) -> str:
     """Runs the stream of reorders to its end; returns its folder."""
     out = new_folder(spark, "stream-reorders")
@@ -733,6 +781,7 @@ QUERIES: dict[str, Query] = {
     "clean_table": clean_table,
     "clean_rejects": clean_rejects,
     "clean_waterfall": clean_waterfall,
+    "malformed_lines": malformed_lines,
     "quality_gate": quality_gate,
     "impute_price": impute_price,
     "impute_inventory": impute_inventory,
@@ -766,9 +815,15 @@ QUERIES: dict[str, Query] = {
     "r3_stockout": r3_stockout,
     "r4_promo_elasticity": r4_promo_elasticity,
     "r5_forecast_accuracy": r5_forecast_accuracy,
+    "sql_monthly_category": _sql_report("monthly_category_report()"),
+    "sql_top_products": _sql_report("top_products_report(3)"),
+    "sql_stockout": _sql_report("stockout_report(7)"),
+    "sql_promo_elasticity": _sql_report("promo_elasticity_report()"),
+    "sql_forecast_accuracy": _sql_report("forecast_accuracy_report(50)"),
     "forecast_errors": forecast_errors,
     "sales_page": sales_page,
     "sales_page_of_store": sales_page_of_store,
+    "sales_page_after": sales_page_after,
     "inventory_listing": inventory_listing,
     "inventory_of_store": inventory_of_store,
     "inventory_of_product": inventory_of_product,
@@ -822,6 +877,7 @@ QUERIES: dict[str, Query] = {
     "catalog_upsert": catalog_upsert,
     "stream_sales": stream_sales,
     "stream_sales_rejects": stream_sales_rejects,
+    "stream_sales_once": stream_sales_once,
     "stream_reorders": stream_reorders,
     "stream_reorder_receipts": stream_reorder_receipts,
 }

@@ -23,6 +23,9 @@ RAW_SALES = T.StructType(
     ]
 )
 
+# A line of a CSV feed that does not fit the columns, as it stands in the file.
+RAW_LINE = "raw_line"
+
 PRODUCTS = T.StructType(
     [
         T.StructField("product_id", T.StringType(), False),

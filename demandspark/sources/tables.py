@@ -7,18 +7,29 @@ from collections.abc import Mapping, Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from demandspark import schemas
 from demandspark.functions import columns as C
 from demandspark.sources.staging import folders, remove
 
 
-def read_sales(spark: SparkSession, path: str, file_format: str = "csv", **options) -> DataFrame:
-    """The raw sales feed with its fixed schema; NaN becomes null at the door."""
-    reader = spark.read.schema(schemas.RAW_SALES).options(**options)
+def read_sales(spark: SparkSession, path: str, file_format: str = "csv", keep_bad_lines: bool = False, **options) -> DataFrame:
+    """The raw sales feed with its fixed schema; NaN becomes null at the door.
+
+    With ``keep_bad_lines`` a line of a CSV feed that has too few or too many fields, or a field that is no number, is
+    kept as it stands in the column ``raw_line`` (null for good lines); ``clean_sales`` then rejects and counts it.
+    Without, such a line becomes a row with nulls.
+    """
+    schema = schemas.RAW_SALES
+    if keep_bad_lines:
+        if file_format != "csv":
+            raise ValueError("only CSV feeds have lines")
+        schema = StructType([*schema.fields, StructField(schemas.RAW_LINE, StringType())])
+        options["columnNameOfCorruptRecord"] = schemas.RAW_LINE
     if file_format == "csv":
-        reader = reader.option("header", True)
+        options = {"header": True, **options}
+    reader = spark.read.schema(schema).options(**options)
     try:
         feed = reader.format(file_format).load(path)
     except AnalysisException as error:
@@ -60,6 +71,22 @@ def save_cleaned(clean: DataFrame, path: str) -> None:
     write_table(dated, path, partition_by=["Year", "Month"], sort_by=schemas.PANEL_KEYS)
 
 
+def save_by_month(sales: DataFrame, path: str) -> None:
+    """Sales by month, newest first within each file, for ``lookup.sales_page_after``."""
+    dated = sales.withColumns({"Year": F.year("date"), "Month": F.month("date")})
+    write_table(dated, path, partition_by=["Year", "Month"], sort_by=["date", "store_id", "product_id"])
+
+
+def months(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Year and month of every month a table by month holds, newest first, from the names of its folders."""
+    found = []
+    for year in folders(spark, path):
+        if year.startswith("Year="):
+            names = folders(spark, f"{path}/{year}")
+            found += [(int(year[5:]), int(month[6:])) for month in names if month.startswith("Month=")]
+    return sorted(found, reverse=True)
+
+
 def save_leaderboard(board: DataFrame, path: str) -> None:
     if board.isEmpty():
         raise ValueError("the leaderboard has no rows; evaluate models first")

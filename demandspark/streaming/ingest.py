@@ -6,7 +6,11 @@ again after a failure leaves the same result.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -28,6 +32,39 @@ def read_requests(
     return reader.load(folder)
 
 
+def start_once_only_stream(
+    requests: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str, keys: list[str], event_time: str, delay: str
+) -> list[StreamingQuery]:
+    """``start_sales_stream`` for sources that deliver a request more than once: sales and rejects are recorded once
+    per request, named by ``keys``.
+
+    The stream remembers a request for ``delay`` behind the newest ``event_time`` it has seen, so its state does not
+    grow with the stream. A request older than that when it comes is not taken, as nobody can tell whether it was
+    taken before; ``late_requests`` tells which these are. Requests need a time; one without is late.
+    All requests as they came are kept in ``<out_dir>/received``.
+    """
+    timed = requests.withColumn(event_time, F.col(event_time).cast("timestamp"))
+    once = timed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
+    received = (
+        requests.writeStream.format("parquet")
+        .option("path", f"{out_dir}/received")
+        .option("checkpointLocation", f"{checkpoint}/received")
+        .trigger(availableNow=True)
+        .start()
+    )
+    return [start_sales_stream(once, catalog, out_dir, f"{checkpoint}/sales"), received]
+
+
+def late_requests(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:
+    """Requests that came too late to be taken, once each, with the reason: received, but neither recorded nor refused."""
+    received = spark.read.parquet(f"{out_dir}/received").dropDuplicates(keys)
+    for part in ("sales", "rejects"):
+        known = spark.read.parquet(f"{out_dir}/{part}").select(*keys).distinct()
+        same = [received[k].eqNullSafe(known[k]) for k in keys]
+        received = received.join(known, reduce(and_, same), "left_anti")
+    return received.withColumn("reasons", F.array(F.lit("too late")))
+
+
 def start_sales_stream(
     requests: DataFrame, catalog: DataFrame, out_dir: str, checkpoint: str
 ) -> StreamingQuery:

@@ -2,11 +2,13 @@ from __future__ import annotations
 
 from datetime import date
 
+import pytest
 import samples
 from pyspark.sql import functions as F
 
 from demandspark import schemas
 from demandspark.operators import quality
+from demandspark.sources import tables
 
 
 def test_audit_of_dirty_rows(spark):
@@ -89,3 +91,35 @@ def test_stock_falls_back_to_global_median(spark):
     stock = {(r.Store_ID, r.Date.day): r.Inventory_Level for r in clean.collect()}
     # series median 15.5; then the median of 10, 15.5, 21 is 15.5; both are cut to 15
     assert stock == {("S01", 1): 10, ("S01", 2): 15, ("S01", 3): 21, ("S02", 1): 15}
+
+
+def test_malformed_lines_are_rejects(spark, tmp_path):
+    good = "2025-01-01,S01,P101,Electronics,50,120.0,0.0,0,0,300.0,North"
+    bad = [good.rsplit(",", 1)[0], good + ",more", good.replace(",50,", ",fifty,")]
+    (tmp_path / "feed.csv").write_text("\n".join([",".join(schemas.RAW_SALES.names), good, *bad, bad[1], good.replace("01-01", "01-02")]) + "\n")
+    raw = tables.read_sales(spark, str(tmp_path / "feed.csv"), keep_bad_lines=True)
+    for staged in (True, False):
+        result = quality.clean_sales(raw, staged)
+        assert result.clean.count() == 2
+        rejects = result.rejects.collect()
+        assert sorted(r.raw_line for r in rejects) == sorted(bad) and {r.reason for r in rejects} == {quality.BAD_LINES}
+        counts = {r.metric: int(r.value) for r in result.waterfall.orderBy("step").collect()}
+        assert list(counts)[2] == quality.BAD_LINES
+        assert (counts["initial_rows"], counts["duplicates_removed"], counts[quality.BAD_LINES], counts["final_rows"]) == (6, 1, 3, 2)
+    plain = tables.read_sales(spark, str(tmp_path / "feed.csv"))
+    assert plain.columns == schemas.RAW_SALES.names and plain.count() == 6
+    with pytest.raises(ValueError, match="CSV"):
+        tables.read_sales(spark, str(tmp_path), "parquet", keep_bad_lines=True)
+
+
+def test_counters_are_taken_while_the_rows_are_written(spark, tmp_path):
+    samples.dirty(spark).write.parquet(str(tmp_path / "feed"))
+    raw = spark.read.parquet(str(tmp_path / "feed"))
+    result = quality.clean_sales(raw)
+    plan = result.waterfall._jdf.queryExecution().optimizedPlan().toString()
+    assert "[1,initial_rows,8.0],[2,duplicates_removed,1.0]" in plan  # constants: the rows are not read for them
+    assert all("/feed" not in f for df in (result.clean, result.rejects, result.waterfall) for f in df.inputFiles())
+    read_again = quality.cleaning_waterfall(result.judged)
+    assert sorted(map(tuple, result.waterfall.collect())) == sorted(map(tuple, read_again.collect()))
+    empty = quality.clean_sales(samples.dirty(spark).limit(0))
+    assert {r.value for r in empty.waterfall.filter("metric like '%rows%'").collect()} == {0.0}

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 import pandas as pd
 import samples
@@ -41,6 +41,29 @@ def test_sales_stream_equals_batch_over_several_batches(spark, tmp_path):
     assert spark.read.parquet(f"{out}/sales").count() == 7
 
 
+def test_repeated_requests_are_recorded_once_and_late_ones_told(spark, tmp_path):
+    schema = "request_id long, at timestamp, date date, store_id string, product_id string, units_sold long, discount double, promotion int"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    catalog = samples.products(spark, "P101")
+
+    def deliver(*requests):
+        rows = [(i, datetime(2025, 1, day), date(2025, 1, day), "S01", product, 2, None, None) for i, day, product in requests]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+        stream = ingest.read_requests(spark, folder, spark.createDataFrame([], schema).schema, files_per_batch=1)
+        for query in ingest.start_once_only_stream(stream, catalog, out, f"{out}/checkpoint", ["request_id"], "at", "5 days"):
+            query.awaitTermination()
+
+    first = [(1, 2, "P101"), (2, 3, "P101"), (3, 3, "P9"), (2, 3, "P101")]
+    deliver(*first)
+    deliver(*first)  # the file comes twice
+    deliver((4, 20, "P101"))
+    deliver((4, 20, "P101"), (5, 18, "P101"), (6, 4, "P101"))  # 6 is older than 5 days before the newest
+    deliver((7, 21, "P101"), (1, 2, "P101"))
+    assert sorted(r.request_id for r in spark.read.parquet(f"{out}/sales").collect()) == [1, 2, 4, 5, 7]
+    assert [r.request_id for r in spark.read.parquet(f"{out}/rejects").collect()] == [3]
+    assert [(r.request_id, r.reasons) for r in ingest.late_requests(spark, out, ["request_id"]).collect()] == [(6, ["too late"])]
+
+
 STOCK = "product_id string, store_id string, inventory_level long"
 
 

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 import samples
@@ -191,3 +191,28 @@ def test_box_stats(spark):
     box = explore.box_stats(samples.panel(spark, rows), "Promotion").first()
     assert (box.q25, box.q50, box.q75) == (2.0, 3.0, 4.0)
     assert (box.whisker_low, box.whisker_high, box.outliers) == (1.0, 4.0, 1)
+
+
+def test_pages_by_seeking_equal_pages_by_offset(spark, tmp_path):
+    rows = [(date(2024, 11, 1) + timedelta(days=d), f"S0{s}", f"P{p}", d, 0.0, 0) for d in range(0, 200, 3) for s in (1, 2) for p in (101, 102)]
+    sales, path = _sales(spark, rows), str(tmp_path / "sales")
+    tables.save_by_month(sales, path)
+    for store, product in ((None, None), ("S02", None), ("S01", "P102")):
+        cursor, offset = None, 0
+        while True:
+            page = lookup.sales_page_after(spark, path, cursor, store, product, limit=17)
+            want = lookup.sales_page(sales, store, product, limit=17, offset=offset).collect()
+            got = page.collect()
+            assert [tuple(r) for r in got] == [tuple(r) for r in want]
+            if not got:
+                break
+            cursor, offset = (got[-1].date, got[-1].store_id, got[-1].product_id), offset + len(got)
+    deep = lookup.sales_page_after(spark, path, (date(2024, 12, 10), "S01", "P101"), limit=5)
+    plan = deep._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull" in plan or "PartitionFilters: [(" in plan or "PartitionFilters: [" in plan
+    scanned = deep._jdf.queryExecution().optimizedPlan().toString()
+    assert "24300" in scanned  # December 2024 only: 2024 * 12 + 12
+    empty = str(tmp_path / "none")
+    tables.save_by_month(sales.limit(0), empty)
+    with pytest.raises(ValueError):
+        lookup.sales_page_after(spark, path, None, limit=0)
