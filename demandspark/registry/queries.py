@@ -229,6 +229,28 @@ def r5_forecast_accuracy(spark, sf_dir):
     return reports.forecast_accuracy(B.forecasts(daily), B.sales(daily))
 
 
+def _colocated(spark, sf_dir) -> dict[str, DataFrame]:
+    daily = stored_panel(spark, sf_dir)
+    named = {"products": B.products(daily), "sales": B.sales(daily), "inventory": B.inventory(daily), "forecasts": B.forecasts(daily)}
+    return tables.register_colocated(spark, named, new_folder(spark, "colocated"), buckets=8, prefix="colocated_")
+
+
+def colocated_stockout(spark, sf_dir):
+    t = _colocated(spark, sf_dir)
+    return reports.stockout_report(t["inventory"], t["products"], t["sales"])
+
+
+def colocated_forecast_accuracy(spark, sf_dir):
+    t = _colocated(spark, sf_dir)
+    return reports.forecast_accuracy(t["forecasts"], t["sales"])
+
+
+def colocated_risk_job(spark, sf_dir):
+    t = _colocated(spark, sf_dir)
+    newest = lookup.latest_per_key(t["forecasts"], ["product_id", "store_id"], ["forecast_date", "model_name"])
+    return inventory.risk_job(newest, t["inventory"], lead=3)
+
+
 def _sql_report(call: str) -> Query:
     """A report as SQL callers get it: a table function over the registered tables."""
 
@@ -815,6 +837,9 @@ QUERIES: dict[str, Query] = {
     "r3_stockout": r3_stockout,
     "r4_promo_elasticity": r4_promo_elasticity,
     "r5_forecast_accuracy": r5_forecast_accuracy,
+    "colocated_stockout": colocated_stockout,
+    "colocated_forecast_accuracy": colocated_forecast_accuracy,
+    "colocated_risk_job": colocated_risk_job,
     "sql_monthly_category": _sql_report("monthly_category_report()"),
     "sql_top_products": _sql_report("top_products_report(3)"),
     "sql_stockout": _sql_report("stockout_report(7)"),

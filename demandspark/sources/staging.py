@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from py4j.protocol import Py4JJavaError
@@ -39,9 +42,24 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/demandspark/{spark.sparkContext.applicationId}"
 
 
+_SCRATCH: ContextVar[str] = ContextVar("scratch", default="")
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path nobody has used yet below the application's part of the shared folder."""
-    return f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{work_folder(spark)}/{_SCRATCH.get()}{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[None]:
+    """What is staged inside is removed at the end; write what is wanted of it to a folder taken before."""
+    part = f"{name}-{uuid.uuid4().hex}/"
+    token = _SCRATCH.set(part)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(token)
+        remove(spark, f"{work_folder(spark)}/{part}")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

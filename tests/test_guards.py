@@ -207,3 +207,8 @@ def test_exact_quantiles(spark):
     empty = df.filter("x < 0")
     profile = {r.column_name: r for r in quality.numeric_profile(empty, ["x", "y"]).collect()}
     assert profile["x"].value_count == 0 and profile["x"].q50 is None
+
+
+def test_base_names_of_tests_are_unique():
+    names = [p.name for p in Path(__file__).parent.rglob("test_*.py")]
+    assert len(names) == len(set(names))

@@ -10,7 +10,7 @@ from demandspark import schemas
 from demandspark.functions import rules as R
 from demandspark.operators import explore, lookup, replenish
 from demandspark.plans import reports
-from demandspark.sources import tables
+from demandspark.sources import staging, tables
 
 
 def test_csv_feed_and_missing_path(spark, tmp_path):
@@ -216,3 +216,15 @@ def test_pages_by_seeking_equal_pages_by_offset(spark, tmp_path):
     tables.save_by_month(sales.limit(0), empty)
     with pytest.raises(ValueError):
         lookup.sales_page_after(spark, path, None, limit=0)
+
+
+def test_scratch_tables_go_and_others_stay(spark):
+    keep = staging.new_folder(spark, "kept")
+    with staging.scratch(spark, "work"):
+        part = staging.stage(spark.range(5), "part")
+        assert part.count() == 5
+        part.write.parquet(keep)
+        inside = part.inputFiles()[0].rsplit("/", 2)[0]
+    assert spark.read.parquet(keep).count() == 5
+    assert not any("work-" in name for name in staging.folders(spark, staging.work_folder(spark))) and "work-" in inside
+    assert staging.stage(spark.range(2), "part").count() == 2
