@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from demandspark.llm import language_id, minhash, mixing, secret_scan, unigram
 from demandspark.llm.queries import TOKENIZER
-from demandspark.sources.staging import stage as staged
+from demandspark.sources.staging import new_folder, remove, scratch
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,8 +56,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; between stages the rows are written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; between stages the rows are written and read again. What a stage has written for
+    itself is removed when it is done, and so are the rows that it has read; the last stage's input stays."""
+    docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, function in STAGES[:-1]:
-        docs = staged(function(spark, docs, sf_dir), name)
+        folder = new_folder(spark, name)
+        with scratch(spark, f"{name}-scratch"):
+            kept = function(spark, docs, sf_dir)
+            kept.write.parquet(folder)
+        if read:
+            remove(spark, read)
+        docs, read = spark.read.schema(kept.schema).parquet(folder), folder
     return STAGES[-1][1](spark, docs, sf_dir)
