@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 from math import ceil
 
 import numpy as np
@@ -25,8 +26,6 @@ from pyspark.sql import functions as F
 
 from demandspark.sources.staging import stage
 
-#: Rows of the index and rows that stream past it, in one table: ``side`` 0 comes first within a ``part``.
-_BESIDE = "part long, side int, id long, label long, dim int, low_label long, vec array<double>, high array<double>, bounds array<long>, anchor long"
 _FOUND = "anchor long, slot int, vec_id long, score long"
 
 
@@ -111,6 +110,13 @@ class Tree:
             base += len(least)
         self.first, self.last, self.least, self.most, self.low, self.high = (np.concatenate(x) for x in zip(*parts, strict=True))
 
+    @classmethod
+    def of(cls, table: pa.Table, settings: Settings) -> Tree:
+        dim = table.column("dim")[0].as_py()
+        low, high = (_vectors(table.column(c).combine_chunks(), dim) for c in ("vec", "high"))
+        ids, labels, least = (table.column(c).to_numpy() for c in ("id", "label", "low_label"))
+        return cls(ids, labels, low, high, least, settings)
+
     @staticmethod
     def _level(at, n, least, most, low, high):
         return (
@@ -183,17 +189,19 @@ def _vectors(column: pa.Array, dim: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
-def beside(index: DataFrame, rows: DataFrame, parts: int, work: Callable, schema: str, settings: Settings) -> DataFrame:
-    """Per ``part``: build trees of the index rows, one for each length of vector, then stream ``rows`` past them.
+def beside(index: DataFrame, rows: DataFrame, parts: int, build: Callable, work: Callable, schema: str) -> DataFrame:
+    """Per ``part``: ``build`` something of the index rows of each length of vector, then stream ``rows`` past it.
 
-    ``work(tree, batch)`` yields batches of ``schema``. A task holds the index rows of one part and one batch.
+    Both tables have the same columns, ``part`` and ``dim`` among them. ``build(table)`` gets the index rows of one
+    part and length, ``work(built, batch)`` yields batches of ``schema``. A task holds the index rows of one part and
+    one batch of rows; rows whose part has no index rows of their length give nothing.
     """
-    names = [f.split()[0] for f in _BESIDE.split(", ")]
-    both = index.select(*names).unionByName(rows.select(*names))
+    names = index.columns
+    both = index.withColumn("side", F.lit(0)).unionByName(rows.select(*names).withColumn("side", F.lit(1)))
     dealt = both.repartition(parts, "part").sortWithinPartitions("part", "side", "dim")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, held, trees = None, [], {}
+        part, held, built = None, [], {}
         for batch in batches:
             keys = np.stack([batch.column(c).to_numpy() for c in ("part", "side", "dim")])
             cuts = np.concatenate([[0], np.flatnonzero((np.diff(keys) != 0).any(axis=0)) + 1, [batch.num_rows]])
@@ -203,18 +211,16 @@ def beside(index: DataFrame, rows: DataFrame, parts: int, work: Callable, schema
                 rows = batch.slice(a, b - a)
                 now, side, dim = (int(x) for x in keys[:, a])
                 if now != part:
-                    part, held, trees = now, [], {}
+                    part, held, built = now, [], {}
                 if side == 0:
                     held.append((dim, rows))
                     continue
                 if held:
                     for d in {d for d, _ in held}:
-                        table = pa.Table.from_batches([r for e, r in held if e == d]).combine_chunks()
-                        low, high = (_vectors(table.column(c).combine_chunks(), d) for c in ("vec", "high"))
-                        trees[d] = Tree(*(table.column(c).to_numpy() for c in ("id", "label")), low, high, table.column("low_label").to_numpy(), settings)
+                        built[d] = build(pa.Table.from_batches([r for e, r in held if e == d]).combine_chunks())
                     held = []
-                if dim in trees:
-                    yield from work(trees[dim], rows)
+                if dim in built:
+                    yield from work(built[dim], rows)
 
     return dealt.mapInArrow(run, schema)
 
@@ -284,11 +290,11 @@ def routed(boxes: DataFrame, anchors: DataFrame, wanted: Callable, settings: Set
     page = F.pmod(F.xxhash64("part", "dim"), F.lit(pages))
     index = boxes.select(
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"), page.alias("page"), F.col("part").alias("id"), "low_label", "label", "dim", "vec", "high"
-    ).withColumns({"bounds": F.lit(None).cast("array<long>"), "anchor": F.lit(None).cast("long"), "side": F.lit(0)})
-    index = index.withColumn("part", F.col("page") * salts + F.col("salt"))
+    ).withColumns({"bounds": F.lit(None).cast("array<long>"), "anchor": F.lit(None).cast("long")})
+    index = index.withColumn("part", F.col("page") * salts + F.col("salt")).drop("page", "salt")
     salt = F.pmod(F.xxhash64("anchor"), F.lit(salts))
     rows = anchors.select("*", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page")).select(
-        (F.col("page") * salts + salt).alias("part"), F.lit(1).alias("side"), F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"),
+        (F.col("page") * salts + salt).alias("part"), F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"),
         "vec", F.lit(None).cast("array<double>").alias("high"), "bounds", "anchor",
     )
 
@@ -302,18 +308,18 @@ def routed(boxes: DataFrame, anchors: DataFrame, wanted: Callable, settings: Set
             if len(at):
                 yield pa.record_batch([pa.array(np.repeat(batch.column("anchor")[i].as_py(), len(at))), pa.array(tree.ids[at])], names=["anchor", "part"])
 
-    found = beside(index, rows, pages * salts, work, "anchor long, part long", settings).distinct()
+    found = beside(index, rows, pages * salts, partial(Tree.of, settings=settings), work, "anchor long, part long").distinct()
     return found.join(anchors, "anchor")
 
 
 def searched(sharded: DataFrame, visits: DataFrame, same: bool, settings: Settings) -> DataFrame:
     """The best ``k`` rows of each shard for each anchor sent there and each of its windows (``slot``)."""
     index = sharded.select(
-        "part", F.lit(0).alias("side"), F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"), "vec",
+        "part", F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"), "vec",
         F.col("vec").alias("high"), F.lit(None).cast("array<long>").alias("bounds"), F.lit(None).cast("long").alias("anchor"),
     )
     rows = visits.select(
-        "part", F.lit(1).alias("side"), F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"), "vec",
+        "part", F.col("vec_id").alias("id"), "label", "dim", F.col("label").alias("low_label"), "vec",
         F.lit(None).cast("array<double>").alias("high"), "bounds", "anchor",
     )
     k, percent = settings.k, settings.percent
@@ -337,7 +343,7 @@ def searched(sharded: DataFrame, visits: DataFrame, same: bool, settings: Settin
             yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["anchor", "slot", "vec_id", "score"])
 
     parts = max(1, int(sharded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    found = beside(index, rows, parts, work, _FOUND, settings)
+    found = beside(index, rows, parts, partial(Tree.of, settings=settings), work, _FOUND)
     order = Window.partitionBy("anchor", "slot").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

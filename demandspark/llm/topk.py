@@ -1,21 +1,27 @@
 """Exact top-k search by inner product: a dual-tree search over cover trees.
 
-Candidates are dealt into shards and queries into blocks, both of bounded size. The task of a shard and a
-block builds a cover tree over each and walks both at once: a pair of nodes is left out if no query under
-the one can score higher with any candidate under the other than the worst k-th score found so far for
-those queries. The k best of every shard are merged per query.
+Pivots chosen from a bounded sample, a cover of it, are the first level: every candidate belongs to the cell of its
+nearest pivot, and shards of bounded size follow the cells. A cell of a shard is a ball around its pivot. A query
+first visits the shard of its best cell, and then only shards with a ball in which a score can reach the worst of
+the k found there. Each shard is one cover tree; queries stream past it in batches, each batch a cover tree too, and
+both are walked at once: a pair of nodes is left out if no query under the one can score higher with any
+candidate under the other than the worst k-th score found so far for those queries.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (binds pa.compute)
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from demandspark.llm.hard_negatives import beside
 from demandspark.sources.staging import stage
 
 SCHEMA = "query long, query_id long, vec_id long, score long"
@@ -23,10 +29,17 @@ SCHEMA = "query long, query_id long, vec_id long, score long"
 
 @dataclass(frozen=True)
 class Settings:
+    """``sample_rows`` bounds the rows that pivots are chosen from; what is found does not depend on them. Shards hold
+    ``shard_rows``, or fewer in a table that has too few for all tasks, down to ``least_rows``."""
+
     k: int = 5
     shard_rows: int = 16384
-    block_rows: int = 2048
+    least_rows: int = 2048
     leaf: int = 64
+    sample_rows: int = 4096
+    pivots: int = 256
+    page_shards: int = 4096
+    salt_queries: int = 1024
 
 
 @dataclass
@@ -87,18 +100,23 @@ def cover_tree(points: np.ndarray, leaf: int) -> tuple[np.ndarray, Node]:
 
 
 class Search:
-    """The k best candidates of every query of a block among the candidates of a shard."""
+    """The k best candidates of every query of a batch among the candidates of a shard.
+
+    ``floor`` holds a score for each query that is known to be reached k times elsewhere: lower ones are not wanted.
+    """
 
-    def __init__(self, q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray, settings: Settings) -> None:
-        """``q_ids`` and ``c_ids`` are vec_ids; what is found is told by the query's row number."""
+    def __init__(self, q_ids: np.ndarray, q: np.ndarray, shard: Shard, floor: np.ndarray, settings: Settings) -> None:
         self.q_order, self.q_root = cover_tree(q, settings.leaf)
-        self.c_order, self.c_root = cover_tree(c, settings.leaf)
-        self.q_ids, self.q, self.c_ids, self.c = q_ids[self.q_order], q[self.q_order], c_ids[self.c_order], c[self.c_order]
+        self.q_ids, self.q, self.floor = q_ids[self.q_order], q[self.q_order], floor[self.q_order]
+        self.c_ids, self.c, self.c_root = shard.ids, shard.rows, shard.root
         self.k = settings.k
         self.score = np.full((len(q), self.k), -np.inf)
         self.best = np.full((len(q), self.k), np.iinfo(np.int64).max)
         # rounding of the bound, far above that of its float operations
-        self.slack = 1e-9 * (1.0 + np.abs(q).max(initial=0.0) * np.abs(c).max(initial=0.0) * q.shape[1])
+        self.slack = 1e-9 * (1.0 + np.abs(q).max(initial=0.0) * np.abs(self.c).max(initial=0.0) * q.shape[1])
+
+    def worst(self, rows: slice | np.ndarray) -> np.ndarray:
+        return np.maximum(self.score[rows, -1], self.floor[rows])
 
     def bound(self, a: Node, b: Node) -> float:
         """No query under ``a`` scores higher with a candidate under ``b``."""
@@ -110,7 +128,7 @@ class Search:
         todo = [(self.bound(self.q_root, self.c_root), self.q_root, self.c_root)]
         while todo:
             most, a, b = todo.pop()
-            if most < self.score[a.low : a.high, -1].min():  # an equal score may still win by its smaller id
+            if most < self.worst(slice(a.low, a.high)).min():  # an equal score may still win by its smaller id
                 continue
             if a.children and (a.radius >= b.radius or not b.children):
                 pairs = [(self.bound(x, b), x, b) for x in a.children]
@@ -126,7 +144,7 @@ class Search:
         new = self.q[q] @ self.c[c].T
         ids = self.c_ids[c]
         new[self.q_ids[q][:, None] == ids[None, :]] = -np.inf
-        rows = np.flatnonzero((new >= self.score[q, -1:]).any(axis=1))
+        rows = np.flatnonzero((new >= self.worst(q)[:, None]).any(axis=1))
         if not len(rows):
             return
         at = rows + a.low
@@ -137,7 +155,7 @@ class Search:
         self.best[at] = np.take_along_axis(best, order, axis=1)
 
     def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row, column = np.nonzero(np.isfinite(self.score))
+        row, column = np.nonzero(np.isfinite(self.score) & (self.score >= self.floor[:, None]))
         return self.q_order[row], self.best[row, column], self.score[row, column].astype(np.int64)
 
 
@@ -153,45 +171,173 @@ def whole_vectors(df: DataFrame, scale: int = 256) -> DataFrame:
     return rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec"), F.size(vec).alias("dim"))
 
 
+@dataclass
+class Shard:
+    ids: np.ndarray
+    rows: np.ndarray
+    root: Node
+
+    @classmethod
+    def of(cls, table: pa.Table, settings: Settings) -> Shard:
+        points = _vectors(table.column("vec").combine_chunks(), table.column("dim")[0].as_py())
+        order, root = cover_tree(points, settings.leaf)
+        return cls(table.column("id").to_numpy()[order], points[order], root)
+
+
+def cover_pivots(sample: np.ndarray, most: int) -> np.ndarray:
+    """Up to ``most`` rows of a sample, each as far from those before as can be: whatever the number, the sample lies
+    within the smallest distance between two of them."""
+    if not len(sample):
+        return sample
+    chosen, far = [0], ((sample - sample[0]) ** 2).sum(axis=1)
+    while len(chosen) < most and far.max() > 0:
+        chosen.append(int(far.argmax()))
+        far = np.minimum(far, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
+    return sample[chosen]
+
+
+def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    squares = (x**2).sum(axis=1)[:, None] - 2 * x @ pivots.T + (pivots**2).sum(axis=1)[None, :]
+    return np.sqrt(np.maximum(squares, 0))
+
+
+def pivots_of(candidates: DataFrame, total: int, settings: Settings) -> np.ndarray:
+    """Pivots for the most usual length of vector, from a bounded sample."""
+    share = min(1.0, 2.0 * settings.sample_rows / max(1, total))
+    sample = candidates.select("dim", "vec").sample(share, seed=1).limit(settings.sample_rows).toArrow()
+    if not sample.num_rows:
+        return np.zeros((0, 1))
+    usual = pa.compute.mode(sample.column("dim").combine_chunks())[0]["mode"].as_py()
+    seen = sample.filter(pa.compute.equal(sample.column("dim"), usual)).column("vec").combine_chunks()
+    return cover_pivots(_vectors(seen, usual), settings.pivots)
+
+
+def in_cells(candidates: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Candidates with the ``cell`` of their nearest pivot and its distance; 0 and infinite for other lengths."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column("dim").to_numpy()
+            cell, far = np.zeros(len(dims), dtype=np.int32), np.full(len(dims), np.inf)
+            same = np.flatnonzero(dims == pivots.shape[1])
+            if len(pivots):
+                for at in np.array_split(same, max(1, len(same) // 2048)):
+                    d = _distances(_vectors(batch.column("vec").take(pa.array(at)), pivots.shape[1]), pivots)
+                    cell[at] = d.argmin(axis=1)
+                    far[at] = d.min(axis=1)
+            yield pa.record_batch([*batch.columns, pa.array(cell), pa.array(far)], names=[*batch.schema.names, "cell", "far"])
+
+    return candidates.select("vec_id", "vec", "dim").mapInArrow(work, "vec_id long, vec array<double>, dim int, cell int, far double")
+
+
+def routed(balls: DataFrame, queries: DataFrame, pivots: np.ndarray, first: bool, settings: Settings) -> DataFrame:
+    """``part`` of every shard that a query must visit: the one of its best ball, or all others that can matter.
+
+    ``queries`` have a ``floor``, and for the second visit the ``home`` of the first. Pages of the balls are copied
+    for every ``salt_queries`` queries.
+    """
+    salts = max(1, ceil(queries.count() / settings.salt_queries))
+    pages = 1 if first else max(1, ceil(balls.count() / settings.page_shards))
+    if first:  # one ball per cell is enough to choose a home
+        balls = balls.groupBy("dim", "cell").agg(F.min("part").alias("part"), F.max("radius").alias("radius"))
+    page = F.pmod(F.xxhash64("part"), F.lit(pages))
+    copies = balls.select("*", page.alias("page"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    index = copies.select(
+        (F.col("page") * salts + F.col("salt")).alias("part"), "dim", F.col("part").cast("long").alias("id"),
+        F.col("cell").cast("long").alias("cell"), "radius", F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("long").alias("query"),
+    )
+    salt = F.pmod(F.xxhash64("query"), F.lit(salts))
+    rows = queries.select("*", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))).alias("page")).select(
+        (F.col("page") * salts + salt).alias("part"), "dim", F.col("home").alias("id"), F.lit(None).cast("long").alias("cell"),
+        F.col("floor").alias("radius"), "vec", "query",
+    )
+
+    def build(table: pa.Table) -> tuple[np.ndarray, ...]:
+        return tuple(table.column(c).to_numpy() for c in ("id", "cell", "radius"))
+
+    def work(ball: tuple[np.ndarray, ...], batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        part, cell, radius = ball
+        dim = batch.column("dim")[0].as_py()
+        q = _vectors(batch.column("vec"), dim)
+        if dim == pivots.shape[1]:
+            with np.errstate(invalid="ignore"):
+                bound = (q @ pivots.T)[:, cell] + np.linalg.norm(q, axis=1)[:, None] * radius[None, :]
+            bound += 1e-9 * (1.0 + np.abs(bound))
+        else:  # lengths without pivots: every shard may hold something
+            bound = np.full((len(q), len(part)), np.inf)
+        if first:
+            at = np.arange(len(q)), bound.argmax(axis=1)
+        else:
+            floor, home = batch.column("radius").to_numpy(), batch.column("id").to_numpy()
+            at = np.nonzero((bound >= floor[:, None]) & (part[None, :] != home[:, None]))
+        pairs = np.unique(np.stack([batch.column("query").to_numpy()[at[0]], part[at[1]]]), axis=1)
+        yield pa.record_batch([pa.array(pairs[0]), pa.array(pairs[1])], names=["query", "part"])
+
+    found = beside(index, rows, pages * salts, build, work, "query long, part long").distinct()
+    return found.join(queries, "query")
+
+
+def visited(sharded: DataFrame, visits: DataFrame, settings: Settings) -> DataFrame:
+    """The k best of each shard for each query sent there: ``query``, ``query_id``, ``vec_id``, ``score``."""
+    index = sharded.select(
+        F.col("part").cast("long").alias("part"), "dim", F.col("vec_id").alias("id"), "vec", F.lit(None).cast("double").alias("floor"), F.lit(None).cast("long").alias("query")
+    )
+    rows = visits.select(F.col("part").cast("long").alias("part"), "dim", F.col("vec_id").alias("id"), "vec", "floor", "query")
+
+    def work(shard: Shard, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        q = _vectors(batch.column("vec"), batch.column("dim")[0].as_py())
+        task = Search(batch.column("id").to_numpy(), q, shard, batch.column("floor").to_numpy(), settings)
+        task.run()
+        row, best, score = task.found()
+        asked = batch.take(pa.array(row))
+        columns = [asked.column("query"), asked.column("id"), pa.array(best), pa.array(score)]
+        yield pa.record_batch(columns, names=["query", "query_id", "vec_id", "score"])
+
+    parts = max(1, int(sharded.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return beside(index, rows, parts, partial(Shard.of, settings=settings), work, SCHEMA)
+
+
+def dealt(queries: DataFrame, candidates: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame, np.ndarray]:
+    """Queries with a number, candidates in shards, the balls of the shards, and the pivots."""
+    queries = stage(queries.select("vec_id", "vec", "dim").distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
+    total = candidates.count()
+    pivots = pivots_of(candidates, total, settings)
+    spread = min(ceil(total / settings.least_rows), int(candidates.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = max(1, ceil(total / settings.shard_rows), spread)
+    ranged = in_cells(candidates, pivots).repartitionByRange(n, "dim", "cell", "vec_id", F.xxhash64("vec"))
+    sharded = stage(ranged.withColumn("part", F.spark_partition_id()), "shards")
+    balls = stage(sharded.groupBy("part", "dim", "cell").agg(F.max("far").alias("radius")), "balls")
+    return queries, sharded, balls, pivots
+
+
 def search(queries: DataFrame, candidates: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The k best candidates of each query: ``query_id``, ``rank`` from 1, ``vec_id``, ``score``.
 
     Both sides hold whole-numbered vectors as ``whole_vectors`` makes them. A query row that is repeated is asked
-    once; rows that share an id but not the vector are queries each, whose ranks come one after the other. Scores are exact while sums of
-    products stay below 2**53. Ties go to the smaller ``vec_id``; a candidate with the query's own id is not
-    compared; rows that repeat a candidate are candidates each. Vectors are compared with those of their
-    own length. No queries or no candidates give no rows.
+    once; rows that share an id but not the vector are queries each, whose ranks come one after the other. Scores are
+    exact while sums of products stay below 2**53. Ties go to the smaller ``vec_id``; a candidate with the query's
+    own id is not compared; rows that repeat a candidate are candidates each. Vectors are compared with those of
+    their own length. No queries or no candidates give no rows. Candidates are shuffled once, however many queries
+    there are; pass a stored table.
     """
-    queries = stage(queries.distinct().withColumn("query", F.monotonically_increasing_id()), "queries")
-    n_shards = max(1, ceil(candidates.count() / settings.shard_rows))
-    n_blocks = max(1, ceil(queries.count() / settings.block_rows))
-    dealt = F.pmod(F.xxhash64("vec_id"), F.lit(n_shards)).cast("int")
-    shards = candidates.select("*", dealt.alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"))
-    blocked = F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(n_blocks)).cast("int")
-    blocks = queries.select("*", blocked.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
-
-    def matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        values = table.column("vec").combine_chunks()
-        flat = values.flatten().to_numpy(zero_copy_only=False)
-        n = table.num_rows
-        return table.column("vec_id").to_numpy(), flat.reshape(n, len(flat) // n)
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            empty = pa.array([], pa.int64())
-            return pa.table({name: empty for name in ("query", "query_id", "vec_id", "score")})
-        task = Search(*matrix(left), *matrix(right), settings)
-        task.run()
-        row, best, score = task.found()
-        asked = left.select(["query", "vec_id"]).take(pa.array(row))
-        return pa.table({"query": asked.column(0), "query_id": asked.column(1), "vec_id": best, "score": score})
-
-    keys = ["shard", "block", "dim"]
-    found = blocks.groupBy(*keys).cogroup(shards.groupBy(*keys)).applyInArrow(run, SCHEMA)
+    queries, sharded, balls, pivots = dealt(queries, candidates, settings)
+    start = queries.withColumns({"floor": F.lit(float("-inf")), "home": F.lit(-1).cast("long")})
+    homes = stage(routed(balls, start, pivots, True, settings), "homes")
+    first = stage(visited(sharded, homes, settings), "first")
+    kth = first.groupBy("query").agg(
+        F.when(F.count(F.lit(1)) >= settings.k, F.min("score").cast("double")).otherwise(F.lit(float("-inf"))).alias("floor")
+    )
+    again = homes.select("query", "vec_id", "vec", "dim", F.col("part").alias("home")).join(kth, "query", "left")
+    again = stage(again.withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))), "again")
+    found = first.unionByName(visited(sharded, routed(balls, again, pivots, False, settings), settings))
     order = Window.partitionBy("query", "query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= settings.k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
+
+
 def staged_vectors(df: DataFrame) -> DataFrame:
     return stage(whole_vectors(df), "vectors")

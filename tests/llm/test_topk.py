@@ -41,7 +41,7 @@ def test_shards_blocks_ties_and_clusters(spark):
     rows = [(i, (centers[i % 6] + 0.01 * rng.normal(size=8)).astype(np.float32).tolist()) for i in range(700)]
     rows += [(1000 + i, rows[0][1]) for i in range(200)]  # equal vectors: the smallest ids win
     df = topk.staged_vectors(vectors(spark, rows))
-    settings = topk.Settings(shard_rows=100, block_rows=30, leaf=8)
+    settings = topk.Settings(shard_rows=100, leaf=8, pivots=20, page_shards=3, salt_queries=16)
     assert result(topk.search(df.where("vec_id % 10 = 0"), df, settings)) == plain(rows, 10)
 
 
@@ -100,9 +100,39 @@ def test_cover_tree():
 def test_pruning_leaves_pairs_out():
     rng = np.random.default_rng(6)
     far = np.concatenate([rng.normal(size=(2000, 4)) * 0.1 + c for c in ([50, 0, 0, 0], [-50, 0, 0, 0], [0, -50, 0, 0])]).round(3) * 256
-    task = topk.Search(np.arange(10) + 10**6, far[:10], np.arange(len(far)), far, topk.Settings())
+    order, root = topk.cover_tree(far, 64)
+    shard = topk.Shard(np.arange(len(far))[order], far[order], root)
+    task = topk.Search(np.arange(10) + 10**6, far[:10], shard, np.full(10, -np.inf), topk.Settings())
     seen = []
     inner = task.compare
     task.compare = lambda a, b: (seen.append(b.high - b.low), inner(a, b))
     task.run()
     assert sum(seen) < len(far) / 2
+
+
+def test_queries_go_to_the_shards_that_can_matter_only(spark):
+    rng = np.random.default_rng(6)
+    centers = np.array([[50, 0, 0, 0], [-50, 0, 0, 0], [0, -50, 0, 0], [0, 0, 50, 0], [0, 0, 0, 50]])
+    rows = [(i, (centers[i % 5] + 0.1 * rng.normal(size=4)).astype(np.float32).tolist()) for i in range(1000)]
+    df = topk.staged_vectors(vectors(spark, rows))
+    settings = topk.Settings(shard_rows=100, leaf=8, pivots=10)
+    queries, sharded, balls, pivots = topk.dealt(df.where("vec_id % 10 = 0"), df, settings)
+    n = sharded.select("part").distinct().count()
+    assert n >= 10 and len(pivots) == 10
+    start = queries.withColumns({"floor": topk.F.lit(2000.0 * 65536), "home": topk.F.lit(-1).cast("long")})
+    sent = topk.routed(balls, start, pivots, False, settings).count()
+    assert sent < queries.count() * n / 2
+    assert result(topk.search(df.where("vec_id % 10 = 0"), df, settings)) == plain(rows, 10)
+
+
+def test_balls_hold_their_rows_and_pivots_cover_the_sample(spark):
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.normal(size=(500, 6)) * 256)
+    pivots = topk.cover_pivots(x, 20)
+    gaps = topk._distances(pivots, pivots)[~np.eye(20, dtype=bool)]
+    assert topk._distances(x, pivots).min(axis=1).max() <= gaps.min() + 1e-6
+    df = topk.staged_vectors(vectors(spark, [(i, (v / 256).tolist()) for i, v in enumerate(x)]))
+    _, sharded, balls, pivots = topk.dealt(df, df, topk.Settings(shard_rows=100, pivots=20))
+    radius = {(r.part, r.cell): r.radius for r in balls.collect()}
+    for r in sharded.collect():
+        assert np.linalg.norm(np.array(r.vec) - pivots[r.cell]) <= radius[r.part, r.cell] + 1e-6
