@@ -76,7 +76,7 @@ def test_sales_page(spark):
 def test_request_rules_and_catalog(spark):
     rows = [
         (date(2026, 10, 1), "S01", "P101", 45, 10.0, 1),
-        (date(2026, 10, 1), "S01", "P9999_DOES_NOT_EXIST", 10, 0.0, 0),
+        (date(2026, 10, 1), "S01", "P9999", 10, 0.0, 0),
         (date(2026, 10, 1), "S01", "P101", -25, 0.0, 0),
         (date(2026, 10, 1), "S01", "P101", 5, 120.0, 2),
         (None, "S01", "P101", None, None, None),
