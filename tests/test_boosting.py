@@ -103,3 +103,15 @@ def test_one_value_no_split_and_bad_settings(spark):
         G.BoostedTrees(numTrees=3)
     with pytest.raises(ValueError, match="maxBins"):
         G.BoostedTrees(maxBins=1000)
+
+
+def test_a_rare_value_of_a_flag_has_a_bin(spark):
+    """Quantiles alone would put both values of a flag into one bin if one of them is rarer than a bin."""
+    flag = [0.0] * 5 + [1.0] * 995
+    y = [50.0 if f == 0 else 1.0 for f in flag]
+    df = spark.createDataFrame([(f, float(i), t) for i, (f, t) in enumerate(zip(flag, y, strict=True))], "a double, b double, y double")
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df.repartition(3))
+    settings = {"maxIter": 1, "maxDepth": 1, "stepSize": 1.0, "regLambda": 0.0, "subsamplingRate": 1.0, "columnRate": 1.0}
+    model = G.BoostedTrees(labelCol="y", **settings).fit(df)
+    scored = {(r.a, round(r.prediction, 9)) for r in model.transform(df).collect()}
+    assert scored == {(0.0, 50.0), (1.0, 1.0)}
