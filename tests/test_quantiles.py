@@ -64,3 +64,11 @@ def test_only_a_bracket_is_put_in_order(spark):
     plan = found._jdf.queryExecution().toString()
     assert " percentile(" not in plan and "collect_" not in plan and " median(" not in plan
     assert found.first().q == df.agg(F.array(F.median("v")).alias("q")).first().q
+
+
+def test_bounds_are_taken_once(spark):
+    """Sketches depend on the order in which their parts arrive; the counts of the cells and the rows in them must
+    come from the same one."""
+    df = spark.range(50_000, numPartitions=16).select((F.col("id") % 3).alias("g"), F.rand(7).alias("v"))
+    plan = grouped_quantiles(df, ["g"], "v", [0.5])._jdf.queryExecution().toString()
+    assert "percentile_approx" not in plan
