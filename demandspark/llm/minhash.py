@@ -241,6 +241,16 @@ def merged(label: DataFrame, found: DataFrame) -> DataFrame:
     return stage(label.join(moved, "label", "left").select("doc_id", F.coalesce("to", "label").alias("label")), "classes")
 
 
+def open_seats(members: DataFrame, label: DataFrame, total: int, settings: Settings) -> DataFrame:
+    """``members`` with their ``label``, of the buckets of three and more that hold several classes; a bucket of two
+    has been checked in full."""
+    seats = members.where("crowd > 2").join(label, "doc_id")
+    several = seats.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("crowd").alias("crowd"))
+    several = stage(several.where("low <> high").select("bucket", "crowd"), "open")
+    rows = joined(members.select("bucket", "doc_id"), several, total, settings)
+    return stage(rows.join(label, "doc_id"), "seats")
+
+
 def close(members: DataFrame, total: int, label: DataFrame, texts: DataFrame, tested: DataFrame, settings: Settings) -> DataFrame:
     """``label`` after every link between texts of a bucket is in it, by a prefix-filter join.
 
@@ -250,12 +260,9 @@ def close(members: DataFrame, total: int, label: DataFrame, texts: DataFrame, te
     shared one on can still be enough. Pairs come in blocks of some ``block_rows`` joined rows; classes that one
     block has merged are not compared by the next.
     """
-    seats = members.where("crowd > 2").join(label, "doc_id")
-    several = seats.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.first("crowd").alias("crowd"))
-    several = stage(several.where("low <> high").select("bucket", "crowd"), "open")
-    if not several.count():
+    odd = stage(open_seats(members, label, total, settings).select("doc_id").distinct(), "odd")
+    if not odd.count():
         return label
-    odd = joined(members.select("bucket", "doc_id"), several, total, settings).select("doc_id").distinct()
     rare = stage(prefixes(texts.join(odd, "doc_id"), settings), "prefixes")
     was = label.select("doc_id", F.col("label").alias("was"))
     each = rare.join(was, "doc_id").groupBy("token", "was").agg(F.count(F.lit(1)).alias("n"))
@@ -287,14 +294,27 @@ def close(members: DataFrame, total: int, label: DataFrame, texts: DataFrame, te
     return label
 
 
+def meetings(chosen: DataFrame, members: DataFrame, total: int, settings: Settings) -> DataFrame:
+    """The pairs ``a``, ``b`` of each member and those that stand for its bucket, once each; with a ``label`` of both
+    only those of different classes."""
+    by_class = "label" in members.columns
+    met = joined(members.withColumnRenamed("doc_id", "b").select("bucket", "b", *["label"] * by_class), stage(chosen, "chosen"), total, settings)
+    if by_class:
+        met = met.select(F.explode("stand").alias("x"), "b", "label").where(F.col("x.label") != F.col("label")).select(F.col("x.doc_id").alias("a"), "b")
+    else:
+        met = met.select(F.explode("stand").alias("a"), "b").where("a <> b")
+    once = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")) if by_class else met
+    return stage(once.distinct(), "pairs")
+
+
 def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id`` and ``class_id``, the smallest ``doc_id`` that similar texts lead to; one row per input row.
 
     Texts of equal words are one text from the start. Texts that share a band are a bucket. A bucket's pairs are
-    never listed: its members are checked against a few of them that stand for it. These are the member whose
-    buckets are the most crowded, which is the original of a group of edited copies or close to it, and two by
-    hashes of text and bucket. Texts of similarity 0.8 share some 13 of 32 bands, so a text meets many of a
-    large group's members, and a bucket of two is checked in full. ``close`` then finds what links are left
+    never listed: its members are checked against a few of them that stand for it. This is the member whose
+    buckets are the most crowded, which is the original of a group of edited copies or close to it; a bucket of two
+    is checked in full by that. Only members of buckets that hold several classes after that meet two more, picked by
+    hashes of text and bucket, and only those of another class. ``close`` then finds what links are left
     between texts of a bucket that are in different classes.
 
     Null and empty texts have no shingles and are classes of their own, as are rows with a null ``doc_id`` (null
@@ -313,14 +333,21 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     texts = stage(rows.join(nodes.select("doc_id"), "doc_id"), "texts")
 
     seats = members.join(nodes, "doc_id")
-    stand = [F.max(F.struct("middle", (-F.col("doc_id")).alias("order"), "doc_id"))["doc_id"]]
-    stand += [F.max(F.struct(F.xxhash64("doc_id", "bucket", F.lit(i)), "doc_id"))["doc_id"] for i in (1, 2)]
-    chosen = seats.groupBy("bucket").agg(F.first("crowd").alias("crowd"), F.array(*stand).alias("stand"))
-    met = joined(members.select("bucket", F.col("doc_id").alias("b")), stage(chosen, "chosen"), total, settings)
-    pairs = stage(met.select(F.explode("stand").alias("a"), "b").where("a <> b").distinct(), "pairs")
+    first = F.max(F.struct("middle", (-F.col("doc_id")).alias("order"), "doc_id"))["doc_id"]
+    pairs = meetings(seats.groupBy("bucket").agg(F.first("crowd").alias("crowd"), F.array(first).alias("stand")), members, total, settings)
     found = stage(similar(pairs, texts, settings), "found")
     label = merged(near_labels(found, nodes), found)
-    label = close(members, total, label, texts, pairs, settings)
+    # only buckets that still hold several classes need more to stand for them
+    seats = open_seats(members, label, total, settings)
+    if seats.count():
+        more = [F.max(F.struct(F.xxhash64("doc_id", "bucket", F.lit(i)), "doc_id", "label")) for i in (1, 2)]
+        more = F.transform(F.array(*more), lambda x: F.struct(x["doc_id"].alias("doc_id"), x["label"].alias("label")))
+        chosen = seats.groupBy("bucket").agg(F.first("crowd").alias("crowd"), more.alias("stand"))
+        met = meetings(chosen, seats.select("bucket", "doc_id", "label"), total, settings)
+        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        met = stage(met.join(done, ["a", "b"], "left_anti"), "pairs")
+        label = merged(label, stage(similar(met, texts, settings), "found"))
+        label = close(members, total, label, texts, pairs.unionByName(met), settings)
 
     least = label.groupBy("label").agg(F.min("doc_id").alias("class_id"))
     head_class = label.join(least, "label").select(F.col("doc_id").alias("head"), "class_id")
