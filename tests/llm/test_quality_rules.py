@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import Counter
 
+import numpy as np
 import zstandard
 from helpers import documents, edge_docs, empty_docs, words
 
@@ -105,3 +106,16 @@ def test_a_wrong_label_moves_no_limit_and_clashing_columns_are_ignored(spark):
         assert all(r.kept for r in quality.judge(spark.createDataFrame(rows, schema), limits).collect())
     for (_, low, high), (_, low2, high2) in zip(*learned, strict=True):
         assert abs(low - low2) < 0.02 and abs(high - high2) < 0.02
+
+
+def test_limits_come_from_all_good_documents(spark):
+    """No sample: every good document's ratio counts, and the quantiles are those of all of them."""
+    rng = random.Random(3)
+    pool = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(500)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(20))) for i in range(4500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id long, quality int")
+    learned = quality.learn(docs, marks, quality.Sample(edges=(100_000, float("inf"))))
+    seen = [r.ratio for r in quality.judge(docs).where("not base_failed").collect()]
+    low, middle, high = np.quantile(seen, [0.05, 0.5, 0.95])
+    assert np.allclose(learned.bands[0][1:], (2 * low - middle - 0.005, 2 * high - middle + 0.005), rtol=1e-12)
