@@ -17,6 +17,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from demandspark.llm import text as T
 
@@ -298,8 +299,11 @@ def blanked(text: str | None, mark: str) -> str | None:
 def redact(docs: DataFrame, text: str = "text", mark: str = "<secret>") -> DataFrame:
     """The documents with every secret replaced by ``mark``; all rows and all columns stay."""
 
-    @F.pandas_udf("string")
-    def clean(column):
-        return column.map(lambda x: blanked(x, mark) if isinstance(x, str) else None)
+    fields = [f if f.name != text else StructField(text, StringType()) for f in docs.schema.fields]
 
-    return docs.withColumn(text, clean(F.col(text).cast("string")))
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.schema.get_field_index(text)
+        clean = pa.array([blanked(x.as_py(), mark) for x in batch.column(at)], batch.schema.field(at).type)
+        return batch.set_column(at, batch.schema.field(at), clean)
+
+    return T.by_slice(docs.withColumn(text, F.col(text).cast("string")), work, StructType(fields), text)
