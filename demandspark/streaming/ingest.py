@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from demandspark.operators.lookup import judge_sales, parted, price_sales
+from demandspark.streaming.state import state_in_rocksdb
 
 
 def read_requests(
@@ -39,8 +40,9 @@ def start_once_only_stream(
     per request, named by ``keys``.
 
     The stream remembers a request for ``delay`` behind the newest ``event_time`` it has seen, so its state does not
-    grow with the stream. A request older than that when it comes is not taken, as nobody can tell whether it was
-    taken before; ``late_requests`` tells which these are. Requests need a time; one without is late.
+    grow with the stream; it lies in RocksDB, as it may hold more requests than memory does. A request older than
+    that when it comes is not taken, as nobody can tell whether it was taken before; ``late_requests`` tells which
+    these are. Requests need a time; one without is late.
     All requests as they came are kept in ``<out_dir>/received``.
     """
     timed = requests.withColumn(event_time, F.col(event_time).cast("timestamp"))
@@ -52,7 +54,8 @@ def start_once_only_stream(
         .trigger(availableNow=True)
         .start()
     )
-    return [start_sales_stream(once, catalog, out_dir, f"{checkpoint}/sales"), received]
+    with state_in_rocksdb(requests.sparkSession):
+        return [start_sales_stream(once, catalog, out_dir, f"{checkpoint}/sales"), received]
 
 
 def late_requests(spark: SparkSession, out_dir: str, keys: list[str]) -> DataFrame:

@@ -8,7 +8,6 @@ balances of all pairs can be read from the checkpoint at any time.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from typing import Any
 
 import pandas as pd
@@ -19,14 +18,13 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, St
 from demandspark import schemas
 from demandspark.functions import rules as R
 from demandspark.operators.lookup import admit
+from demandspark.streaming.state import state_in_rocksdb
 
 KEYS = ["product_id", "store_id"]
 RECEIPT = (
     "product_id string, store_id string, request_count long, reorder_quantity long, previous_inventory long, new_inventory long"
 )
 _PARTIAL = "product_id string, store_id string, request_count long, reorder_quantity long"
-_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class Balance(StatefulProcessor):
@@ -76,20 +74,6 @@ def balances(accepted: DataFrame, opening: DataFrame) -> DataFrame:
     )
 
 
-@contextmanager
-def _state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
-    """Queries started inside keep their state in RocksDB, which holds more keys than memory does."""
-    before = spark.conf.get(_PROVIDER, None)
-    spark.conf.set(_PROVIDER, _ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(_PROVIDER)
-        else:
-            spark.conf.set(_PROVIDER, before)
-
-
 def start_restocking(
     requests: DataFrame, catalog: DataFrame, opening: DataFrame, out_dir: str, checkpoint: str
 ) -> list[StreamingQuery]:
@@ -100,7 +84,7 @@ def start_restocking(
     goes on from its balances, and ``opening`` is not read.
     """
     accepted, rejects = admit(requests, R.REORDER_RULES, catalog)
-    with _state_in_rocksdb(requests.sparkSession):
+    with state_in_rocksdb(requests.sparkSession):
         return [
             df.writeStream.format("parquet")
             .outputMode("append")

@@ -64,6 +64,20 @@ def test_repeated_requests_are_recorded_once_and_late_ones_told(spark, tmp_path)
     assert [(r.request_id, r.reasons) for r in ingest.late_requests(spark, out, ["request_id"]).collect()] == [(6, ["too late"])]
 
 
+def test_requests_remembered_lie_in_rocksdb(spark, tmp_path):
+    schema = "request_id long, at timestamp, date date, store_id string, product_id string, units_sold long, discount double, promotion int"
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([(1, datetime(2025, 1, 1), date(2025, 1, 1), "S01", "P101", 2, None, None)] * 2, schema).write.parquet(folder)
+    stream = ingest.read_requests(spark, folder, spark.createDataFrame([], schema).schema)
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
+    queries = ingest.start_once_only_stream(stream, samples.products(spark, "P101"), out, f"{out}/checkpoint", ["request_id"], "at", "5 days")
+    for query in queries:
+        query.awaitTermination()
+    states = [dict(s.customMetrics) for p in queries[0].recentProgress for s in p.stateOperators]
+    assert sum(s.get("rocksdbPutCount", 0) for s in states) == 1
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) == before
+
+
 STOCK = "product_id string, store_id string, inventory_level long"
 
 
