@@ -115,3 +115,16 @@ def test_a_rare_value_of_a_flag_has_a_bin(spark):
     model = G.BoostedTrees(labelCol="y", **settings).fit(df)
     scored = {(r.a, round(r.prediction, 9)) for r in model.transform(df).collect()}
     assert scored == {(0.0, 50.0), (1.0, 1.0)}
+
+
+def test_few_rows_are_added_up_in_few_tasks(spark, monkeypatch):
+    """900 levels of a model are 900 jobs, and each task of a job costs more than adding up some thousand rows."""
+    df, _, _ = data(spark)
+    made, blocks_of = [], G.blocks_of
+    monkeypatch.setattr(G, "blocks_of", lambda *given: made.append(blocks_of(*given)) or made[-1])
+    settings = {"maxIter": 2, "maxDepth": 2}
+    G.BoostedTrees(labelCol="y", **settings).fit(df)
+    monkeypatch.setattr(G, "TASK_ROWS", 300)
+    G.BoostedTrees(labelCol="y", **settings).fit(df)
+    cores = spark.sparkContext.defaultParallelism
+    assert [b.getNumPartitions() for b in made] == [1, min(2, cores)]
