@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import sys
 import threading
 from datetime import date, timedelta
 
@@ -14,6 +15,7 @@ from demandspark.operators import evaluate as E
 from demandspark.operators import features, forecast
 from demandspark.operators.side_by_side import side_by_side
 from demandspark.plans import jobs
+from demandspark.registry import queries as Q
 from demandspark.sources.models import load_forecaster
 
 
@@ -122,6 +124,44 @@ def test_a_model_that_fails_does_not_stop_the_others(spark):
         forecast.fit_models(train, [schemas.FOREST], bad)
 
 
+def test_ranking_needs_every_model(spark, tmp_path):
+    market, path, board = _market(spark, 60), tmp_path / "best", tmp_path / "board"
+    kinds, bad = [schemas.LINEAR, schemas.FOREST], {schemas.FOREST: {"maxBins": 1}}
+    with pytest.raises(ExceptionGroup, match="Random Forest") as told:
+        jobs.train_and_rank(market, kinds=kinds, params=bad, model_path=str(path), board_path=str(board))
+    assert ["maxBins" in str(e) for e in told.value.exceptions] == [True]
+    assert not path.exists() and not board.exists()
+    with pytest.warns(UserWarning, match="Random Forest"):
+        models, _, ranks = jobs.train_and_rank(market, kinds=kinds, params=bad, leave_out=True)
+    assert list(models) == [schemas.LINEAR]
+    assert {r.model for r in ranks.collect()} == {schemas.LINEAR, schemas.NAIVE, schemas.MOVING_AVERAGE}
+
+
+def test_queries_about_five_models_tell_of_a_failure(spark, monkeypatch):
+    small, regressor = {schemas.FOREST: {"numTrees": 2}, schemas.BOOSTED: {"maxIter": 2}}, forecast.regressor
+    broken, market = {schemas.BOOSTED}, _market(spark, 60)
+
+    def fails(name, **params):
+        if name in broken:
+            raise MemoryError(name)
+        return regressor(name, **small.get(name, {}), **params)
+
+    monkeypatch.setattr(forecast, "regressor", fails)
+    monkeypatch.setattr(Q, "stored_panel", lambda spark, sf_dir: market)
+    for query in (Q.best_of_five, Q.leaderboard_five, Q.prediction_pivot_five):
+        with pytest.raises(ExceptionGroup, match=schemas.BOOSTED):
+            query(spark, "broken")
+    broken.clear()  # a failure is not remembered
+    assert Q.leaderboard_five(spark, "broken").count() == 5 and Q.best_of_five(spark, "broken").count() == 1
+
+
+def test_a_thread_that_just_ends_is_a_failure(spark):
+    tasks = {"good": lambda: 5, "exit": lambda: sys.exit(3), 7: lambda: 5}  # a pool cannot be named by a number
+    results, failures = side_by_side(spark, tasks)
+    assert results == {"good": 5} and list(failures) == ["exit", 7]
+    assert all(isinstance(e, Exception) for e in failures.values()) and isinstance(failures["exit"].__cause__, SystemExit)
+
+
 def test_jobs_run_side_by_side_in_their_own_pools(spark):
     seen, meet = {}, threading.Barrier(2, timeout=60)
 
